@@ -1,7 +1,7 @@
 """Column expressions.  Everything here returns a ``Column``; nothing runs Python per row."""
 
 from convoy.functions.casts import cast_columns, flatten_struct, pad_columns
-from convoy.functions.text import location_text, zfill
+from convoy.functions.text import location_text, zfill, zfill_int
 from convoy.functions.time import (
     EPOCH_NTZ,
     epoch_to_timestamp,
@@ -29,4 +29,5 @@ __all__ = [
     "timestamp_micros",
     "truncate_to_millis",
     "zfill",
+    "zfill_int",
 ]

@@ -12,6 +12,12 @@ def zfill(c: Column | str, width: int) -> Column:
     return F.lpad(s, F.greatest(F.lit(width), F.length(s)), "0")
 
 
+def zfill_int(c: Column | str, width: int, prefix: str = "") -> Column:
+    """``prefix`` + a non-negative integer with at least ``width`` digits (never cut)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.format_string(f"{prefix}%0{width}d", c)
+
+
 def location_text(lat: Column | str, lon: Column | str) -> Column:
     """``"lat,lon"``; NULL when either coordinate is missing."""
     lat = F.col(lat) if isinstance(lat, str) else lat

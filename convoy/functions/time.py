@@ -32,8 +32,13 @@ def ntz(text: str) -> Column:
 
 
 def timestamp_micros(c: Column | str) -> Column:
-    """Microseconds since 1970-01-01 of a ``timestamp_ntz``; monotone and zone-free."""
-    return F.timestamp_diff("MICROSECOND", ntz(EPOCH_NTZ), _col(c))
+    """Microseconds since 1970-01-01 of a ``timestamp_ntz``, computed from its calendar
+    fields so that no session time zone (and no daylight-saving gap) is involved."""
+    c = _col(c)
+    day_us = F.unix_date(F.to_date(c)).cast("long") * F.lit(86_400_000_000)
+    clock_us = F.hour(c).cast("long") * F.lit(3_600_000_000) + F.minute(c).cast("long") * F.lit(60_000_000)
+    second_us = (F.date_part(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long")
+    return day_us + clock_us + second_us
 
 
 def epoch_to_timestamp(c: Column | str, mode: str = "permissive", is_text: bool = False) -> Column:

@@ -2,58 +2,69 @@
 
 A window ``ORDER BY seq`` with no ``PARTITION BY`` moves every row into one task.  Here the
 ordering key (a unique integer, e.g. the file position or an order number) is cut into
-fixed-width blocks, ``floor(seq / block)``:
+fixed-width blocks, ``seq div block``:
 
-1. per block: the block total (a hash aggregate, one row per block);
+1. per block: the block totals (a hash aggregate with map-side combine, one row per block);
 2. per block: the exclusive prefix of the block totals (a window over the block totals only,
-   at most ``key range / block`` rows);
-3. per row: the running value inside its block (a window partitioned by block), plus the
-   block's prefix (joined back on the block id).
+   at most ``key range / block`` rows, so it is tiny and broadcast back);
+3. per row: the running values inside its block (one window partitioned by block), plus the
+   block's prefix.
 
 A block holds at most ``block`` rows because the key is unique, so no task ever holds more
 than that, whatever the data size.  Block ids come from the key itself, so a recomputed
-task after an executor loss sees the same blocks.
+task after an executor loss sees the same blocks.  Running sums and row numbers share the
+same exchange, sort and window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCK = 1 << 20
 
 
-def _blocked(df: DataFrame, order_by: str, block: int) -> DataFrame:
-    return df.withColumn("__blk", F.floor(F.col(order_by) / F.lit(block)))
-
+def accumulate(
+    df: DataFrame,
+    order_by: str,
+    sums: dict[str, str] | None = None,
+    row_number: str | None = None,
+    block: int = DEFAULT_BLOCK,
+) -> DataFrame:
+    """Add inclusive running sums (``{out: value}``) and/or a 1-based row number in ascending
+    ``order_by`` (a unique integer key).  NULL values are skipped by the sums; the running
+    sum of a row whose own value is NULL is NULL."""
+    sums = dict(sums or {})
+    d = df.withColumn("__blk", F.expr(f"cast(`{order_by}` AS bigint) div {int(block)}"))
 
-def _with_prefix(d: DataFrame, per_block: Column, local: Column, out: str) -> DataFrame:
-    totals = d.groupBy("__blk").agg(per_block.alias("__tot"))
+    totals = [F.coalesce(F.sum(v), F.lit(0)).alias(f"__tot_{o}") for o, v in sums.items()]
+    if row_number:
+        totals.append(F.count(F.lit(1)).alias("__tot_rn"))
     prior = Window.orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__blk", F.coalesce(F.sum("__tot").over(prior), F.lit(0)).alias("__off"))
-    return d.withColumn("__loc", local).join(offsets, "__blk", "left").withColumn(
-        out, F.col("__loc") + F.col("__off")
+    names = [*sums, *([row_number] if row_number else [])]
+    tot_cols = [f"__tot_{o}" for o in sums] + (["__tot_rn"] if row_number else [])
+    offsets = d.groupBy("__blk").agg(*totals).select(
+        "__blk",
+        *[F.coalesce(F.sum(t).over(prior), F.lit(0)).alias(f"__off_{n}") for t, n in zip(tot_cols, names)],
     )
 
+    w = Window.partitionBy("__blk").orderBy(order_by)
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    local = {f"__loc_{o}": F.coalesce(F.sum(v).over(running), F.lit(0)) for o, v in sums.items()}
+    if row_number:
+        local[f"__loc_{row_number}"] = F.row_number().over(w).cast("long")
+    res = d.withColumns(local).join(offsets, "__blk", "left")
+    outs = {o: F.when(F.col(v).isNotNull(), F.col(f"__loc_{o}") + F.col(f"__off_{o}")) for o, v in sums.items()}
+    if row_number:
+        outs[row_number] = F.col(f"__loc_{row_number}") + F.col(f"__off_{row_number}")
+    return res.withColumns(outs).select(*df.columns, *names)
 
-def running_sum(
-    df: DataFrame, value: str, order_by: str, out: str, block: int = DEFAULT_BLOCK
-) -> DataFrame:
-    """Inclusive running sum of ``value`` in ascending ``order_by`` (unique integer key).
 
-    NULL values are skipped by the sum; their own output is NULL.
-    """
-    d = _blocked(df, order_by, block)
-    w = Window.partitionBy("__blk").orderBy(order_by).rowsBetween(Window.unboundedPreceding, 0)
-    local = F.coalesce(F.sum(value).over(w), F.lit(0))
-    res = _with_prefix(d, F.coalesce(F.sum(value), F.lit(0)), local, out)
-    res = res.withColumn(out, F.when(F.col(value).isNotNull(), F.col(out)))
-    return res.select(*df.columns, out)
+def running_sum(df: DataFrame, value: str, order_by: str, out: str, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Inclusive running sum of ``value`` in ascending ``order_by`` (unique integer key)."""
+    return accumulate(df, order_by, sums={out: value}, block=block)
 
 
 def surrogate_key(df: DataFrame, order_by: str, out: str, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Row number 1..n in ascending ``order_by`` (unique integer key)."""
-    d = _blocked(df, order_by, block)
-    w = Window.partitionBy("__blk").orderBy(order_by)
-    res = _with_prefix(d, F.count(F.lit(1)), F.row_number().over(w).cast("long"), out)
-    return res.select(*df.columns, out)
+    return accumulate(df, order_by, row_number=out, block=block)

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from convoy.session import materialize, remove_path
+
 META_DIR = "_convoy_table"
 
 
@@ -158,34 +160,45 @@ def _upsert(spark: SparkSession, batch: DataFrame, spec: TableSpec, path: str) -
     _, schema = table_meta(spark, path)
     existing = read_table(spark, path, schema=schema)
     batch = batch.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
-    fresh = dedupe_latest(batch, spec.unique_by, spec.order_by)
+    # the de-duplicated batch is staged once: every later step reads the same rows, and the
+    # batch's own lineage (often a join) is not recomputed per step
+    fresh, batch_path = materialize(dedupe_latest(batch, spec.unique_by, spec.order_by), "batch")
     if not spec.partition_by:
         merged = dedupe_latest(existing.unionByName(fresh), spec.unique_by, spec.order_by)
-        # cut the lineage to the files about to be replaced: materialise in the checkpoint dir
-        merged = merged.checkpoint(eager=True)
-        _save(merged, spec, path, dynamic=False)
+        # stage in the checkpoint folder: the write must not read the files it replaces
+        staged, stage_path = materialize(merged, "upsert")
+        _save(staged, spec, path, dynamic=False)
+        remove_path(spark, stage_path)
+        remove_path(spark, batch_path)
         return path
 
     parts = list(spec.partition_by)
     touched = fresh.select(*parts)
+    homes = None
     if spec.scope == "table":
         # partitions a batch key lives in now: its row must leave them if it moved
-        homes = existing.join(fresh.select(*spec.keys).distinct(), list(spec.keys), "left_semi").select(*parts)
+        homes = existing.join(fresh.select(*spec.keys), list(spec.keys), "left_semi").select(*parts).distinct()
         touched = touched.unionByName(homes)
     touched = touched.distinct()
     old = existing.alias("e").join(touched.alias("t"), _null_safe_on("e", "t", parts), "left_semi")
-    merged = dedupe_latest(old.unionByName(fresh), spec.unique_by, spec.order_by)
-
-    # partitions that lose all their rows are not rewritten by a dynamic overwrite: find them
-    # first (partition values only, bounded by the number of partitions) and remove them after
-    kept = merged.select(*parts).distinct()
-    emptied = (
-        touched.alias("t").join(kept.alias("k"), _null_safe_on("t", "k", parts), "left_anti").collect()
-    )
+    # the merged rows of the touched partitions, computed once and staged in the checkpoint
+    # folder; the write and the emptied-partition check both read that copy, and the write
+    # never reads the files it replaces
+    merged, stage_path = materialize(dedupe_latest(old.unionByName(fresh), spec.unique_by, spec.order_by), "upsert")
+
+    # a partition can only lose all its rows when a key moved out of it; such partitions are
+    # not rewritten by a dynamic overwrite, so find them (partition values only, bounded by
+    # the number of partitions) and remove them after the write
+    emptied = []
+    if homes is not None:
+        kept = merged.select(*parts).distinct()
+        emptied = homes.alias("h").join(kept.alias("k"), _null_safe_on("h", "k", parts), "left_anti").collect()
 
     _save(merged, spec, path, dynamic=True)
     for row in emptied:
         _delete_partition(spark, path, parts, row)
+    remove_path(spark, stage_path)
+    remove_path(spark, batch_path)
     return path
 
 
@@ -205,11 +218,7 @@ def _escape(text: str) -> str:
 
 
 def _delete_partition(spark: SparkSession, path: str, parts, row) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(_partition_dir(path, parts, row))
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(target):
-        fs.delete(target, True)
+    remove_path(spark, _partition_dir(path, parts, row))
 
 
 def write_layouts(df: DataFrame, specs: dict[str, TableSpec], root: str) -> dict[str, str]:

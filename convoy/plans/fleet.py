@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from convoy.functions.time import epoch_to_timestamp
 from convoy.operators.intervals import window_enrich_left
-from convoy.operators.sequence import running_sum, surrogate_key
+from convoy.operators.sequence import accumulate
+from convoy.session import materialize as stage
 
 # The first window starts at epoch 1704085200 = 2024-01-01 05:00:00 UTC.
 CHAIN_START_EPOCH = 1704085200
@@ -25,11 +26,14 @@ DAILY_AS_OF = "2024-01-01"  # the "today" of the daily orders table
 DEFAULT_BUCKET_SECONDS = 900.0
 
 
-def chained_windows(parcels: DataFrame, seq: str = "seq", duration: str = "delivery_time") -> DataFrame:
+def chained_windows(
+    parcels: DataFrame, seq: str = "seq", duration: str = "delivery_time", number_as: str | None = None
+) -> DataFrame:
     """Windows laid end to end in ``seq`` order: the end of order i is the chain start plus
     the durations of orders 1..i; its start is the end of order i-1.  A NULL duration gives a
-    NULL end and is skipped by later orders."""
-    d = running_sum(parcels, duration, seq, "__elapsed")
+    NULL end and is skipped by later orders.  ``number_as`` also numbers the orders 1..n in
+    the same pass."""
+    d = accumulate(parcels, seq, sums={"__elapsed": duration}, row_number=number_as)
     end_epoch = F.lit(CHAIN_START_EPOCH).cast("bigint") + F.col("__elapsed")
     return (
         d.withColumn("delivery_end_epoch", end_epoch)
@@ -70,10 +74,23 @@ def enrich_windows(
     return out.drop("__start")
 
 
-def bronze(parcels: DataFrame, samples: DataFrame, bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Chained windows, enriched, numbered 1..n in file order as ``order_id``."""
-    enriched = enrich_windows(chained_windows(parcels), samples, bucket_seconds=bucket_seconds)
-    return surrogate_key(enriched, "seq", "order_id")
+def bronze(
+    parcels: DataFrame,
+    samples: DataFrame,
+    bucket_seconds: float = DEFAULT_BUCKET_SECONDS,
+    materialize: bool = True,
+) -> DataFrame:
+    """Chained windows numbered 1..n in file order as ``order_id``, then enriched.
+
+    The chained orders feed both sides of the enrichment (the interval join and the left
+    join back), so with ``materialize`` they are staged once as parquet in the session's
+    checkpoint folder (the hand-off file of the original design): the chain is computed once
+    and lineage is cut there."""
+    chained = chained_windows(parcels, number_as="order_id")
+    if materialize:
+        chained, _ = stage(chained, "chained_orders")
+    enriched = enrich_windows(chained, samples, bucket_seconds=bucket_seconds)
+    return enriched.select(*[c for c in enriched.columns if c != "order_id"], "order_id")
 
 
 def transit_orders(bronze_df: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -50,3 +51,25 @@ def workspace(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder under the checkpoint root for written tables."""
     root = checkpoint_root(spark).rstrip("/")
     return "/".join([root, "convoy", *parts, uuid.uuid4().hex])
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as parquet under the checkpoint folder and return it read back.
+
+    This cuts lineage like ``checkpoint()`` but runs the plan once (an eager checkpoint of
+    an unpersisted plan computes it twice) and keeps the data columnar.  The folder is shared
+    storage on a cluster, so lost executors re-read files instead of recomputing.
+    """
+    spark = df.sparkSession
+    path = workspace(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove_path(spark, path: str) -> None:
+    """Delete a folder this library staged (Hadoop file system of the path)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)

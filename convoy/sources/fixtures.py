@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convoy.functions.text import zfill
+from convoy.functions.text import zfill_int
 from convoy.functions.time import ntz
 
 # Fixed values of the fixture derivation (shared with the DuckDB twins).
@@ -44,7 +44,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     e = F.col("event_id")
     return ev.select(
-        F.concat(F.lit("V"), zfill("user_id", 5)).alias("vehicle_id"),
+        zfill_int("user_id", 5, "V").alias("vehicle_id"),
         F.col("ts").alias("sample_ts"),
         ((e * 13) % 101).cast("double").alias("fuel_level"),
         (F.lit(25) + (e * 7) % 31).cast("double").alias("engine_temperature"),
@@ -68,9 +68,9 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k * 37) % ORDER_MINUTES + WINDOW_BASE_MINUTES + WINDOW_STEP_MINUTES * (k % WINDOW_STEPS),
         ntz(FIXTURE_START),
     )
-    vehicle = F.concat(F.lit("V"), zfill(F.col("o_custkey") % fleet_size(spark, sf_dir), 5))
+    vehicle = zfill_int(F.col("o_custkey") % fleet_size(spark, sf_dir), 5, "V")
     return o.select(
-        F.concat(F.lit("O"), zfill(k, 7)).alias("order_id"),
+        zfill_int(k, 7, "O").alias("order_id"),
         order_status(F.col("o_orderstatus")).alias("order_status"),
         start.cast("date").alias("order_date"),
         F.when(active, start).alias("delivery_start_datetime"),
@@ -90,7 +90,7 @@ def raw_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
         order_status(F.col("o_orderstatus")).alias("delivery_status"),
         (F.lit(60) + (k * 37) % 240).cast("bigint").alias("delivery_time"),
         F.col("o_totalprice").alias("delivery_cost"),
-        F.concat(F.lit("Customer#"), zfill(c, 9)).alias("recipient_name"),
+        zfill_int(c, 9, "Customer#").alias("recipient_name"),
         F.date_format(_order_start(k), "M/d/yyyy").alias("order_date"),
     )
 
