@@ -47,12 +47,11 @@ def _ordinal(df: DataFrame, name: str) -> tuple[Column, int]:
     raise TypeError(f"interval bound {name} has unsupported type {dt}")
 
 
-def _levels(intervals: DataFrame, start: str, end: str, width: int, fanout: int) -> list[int]:
-    lo, _ = _ordinal(intervals, start)
-    hi, _ = _ordinal(intervals, end)
-    longest = intervals.select(F.max(hi - lo).alias("d")).first()["d"]
+def _widths(width: int, fanout: int) -> list[int]:
+    """Bucket widths per level, coarser by ``fanout`` each, until one level covers any span a
+    64-bit ordinal can hold (at most a handful of levels)."""
     widths = [width]
-    while longest is not None and longest > widths[-1] * (fanout - 1):
+    while widths[-1] * (fanout - 1) < 2**63 and widths[-1] * fanout < 2**62:
         widths.append(widths[-1] * fanout)
     return widths
 
@@ -75,21 +74,20 @@ def interval_join(
     Returns all interval columns and all point columns except the point copies of ``on``.
     NULL keys or bounds never match; an interval with ``start > end`` matches nothing.
     ``method="plain"`` gives the unbucketed equi + range join (test oracle, needs ``on``).
+    The plan is lazy: the bucket levels in use are an uncorrelated scalar subquery.
     """
     on = list(on)
     clash = (set(intervals.columns) & set(points.columns)) - set(on)
     if clash:
         raise ValueError(f"columns on both sides of the interval join: {sorted(clash)}")
     p = points.withColumnsRenamed({k: f"__p_{k}" for k in on})
-    keys = [intervals[k] == p[f"__p_{k}"] for k in on]
-    in_range = (p[at] >= intervals[start]) & (p[at] <= intervals[end])
-    out_cols = [intervals[c] for c in intervals.columns] + [
-        p[c] for c in points.columns if c not in on
-    ]
 
     if method == "plain":
         if not on:
             raise ValueError("plain interval join needs equi keys (it would be a cross join)")
+        keys = [intervals[k] == p[f"__p_{k}"] for k in on]
+        in_range = (p[at] >= intervals[start]) & (p[at] <= intervals[end])
+        out_cols = [intervals[c] for c in intervals.columns] + [p[c] for c in points.columns if c not in on]
         return intervals.join(p, keys + [in_range], "inner").select(*out_cols)
     if method != "bucket":
         raise ValueError(f"unknown method {method}")
@@ -102,37 +100,28 @@ def interval_join(
     lo, unit = _ordinal(iv, start)
     hi, _ = _ordinal(iv, end)
     width = max(1, int(round(bucket_seconds * unit)))
-    widths = _levels(iv, start, end, width, fanout)
-
-    if len(widths) == 1:
-        level = F.lit(0)
-        span = F.sequence(F.floor(lo / width), F.floor(hi / width))
-    else:
-        # the finest level on which the interval spans at most `fanout` buckets
-        level = F.lit(len(widths) - 1)
-        for i in reversed(range(len(widths) - 1)):
-            w = widths[i]
-            level = F.when(F.floor(hi / w) - F.floor(lo / w) < fanout, F.lit(i)).otherwise(level)
-        w_of = F.element_at(F.array(*[F.lit(w) for w in widths]), level + 1)
-        span = F.sequence(F.floor(lo / w_of), F.floor(hi / w_of))
-    iv = iv.withColumn("__i_lvl", level.cast("int")).withColumn("__i_bkt", F.explode(span))
-
+    widths = _widths(width, fanout)
+    width_of = F.array(*[F.lit(w).cast("long") for w in widths])
+
+    # the finest level on which the interval spans at most `fanout` buckets
+    level = F.lit(len(widths) - 1)
+    for i in reversed(range(len(widths) - 1)):
+        w = widths[i]
+        level = F.when(F.floor(hi / w) - F.floor(lo / w) < fanout, F.lit(i)).otherwise(level)
+    iv = iv.withColumn("__i_lvl", level.cast("int"))
+    w_iv = F.element_at(width_of, F.col("__i_lvl") + 1)
+    iv = iv.withColumn("__i_bkt", F.explode(F.sequence(F.floor(lo / w_iv), F.floor(hi / w_iv))))
+
+    # levels in use (a handful of values at most): points are bucketed once per level in use,
+    # which is a single level unless some interval is more than `fanout` buckets long
+    in_use = iv.select(F.collect_set("__i_lvl").alias("l")).scalar()
     pt = p.filter(F.col(at).isNotNull())
     for k in on:
         pt = pt.filter(F.col(f"__p_{k}").isNotNull())
     t, _ = _ordinal(pt, at)
-    if len(widths) == 1:
-        pt = pt.withColumn("__p_lvl", F.lit(0)).withColumn("__p_bkt", F.floor(t / width))
-    else:
-        per_level = F.array(
-            *[F.struct(F.lit(i).alias("l"), F.floor(t / w).alias("b")) for i, w in enumerate(widths)]
-        )
-        pt = (
-            pt.withColumn("__p_lb", F.explode(per_level))
-            .withColumn("__p_lvl", F.col("__p_lb.l"))
-            .withColumn("__p_bkt", F.col("__p_lb.b"))
-            .drop("__p_lb")
-        )
+    all_levels = F.array(*[F.lit(i) for i in range(len(widths))])
+    pt = pt.withColumn("__p_lvl", F.explode(F.array_intersect(all_levels, in_use)))
+    pt = pt.withColumn("__p_bkt", F.floor(t / F.element_at(width_of, F.col("__p_lvl") + 1)))
 
     cond = [iv[k] == pt[f"__p_{k}"] for k in on]
     cond += [iv["__i_lvl"] == pt["__p_lvl"], iv["__i_bkt"] == pt["__p_bkt"]]
