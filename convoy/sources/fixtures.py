@@ -59,7 +59,11 @@ def fleet_size(spark: SparkSession, sf_dir: str) -> Column:
 
 
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
+    return shipments_from(read_table(spark, sf_dir, "orders"), fleet_size(spark, sf_dir))
+
+
+def shipments_from(o: DataFrame, fleet: Column) -> DataFrame:
+    """Delivery orders from rows of ``orders``; ``fleet`` is the number of vehicles."""
     k = F.col("o_orderkey")
     start = _order_start(k)
     active = F.col("o_orderstatus") != "P"
@@ -68,7 +72,7 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k * 37) % ORDER_MINUTES + WINDOW_BASE_MINUTES + WINDOW_STEP_MINUTES * (k % WINDOW_STEPS),
         ntz(FIXTURE_START),
     )
-    vehicle = zfill_int(F.col("o_custkey") % fleet_size(spark, sf_dir), 5, "V")
+    vehicle = zfill_int(F.col("o_custkey") % fleet, 5, "V")
     return o.select(
         zfill_int(k, 7, "O").alias("order_id"),
         order_status(F.col("o_orderstatus")).alias("order_status"),
