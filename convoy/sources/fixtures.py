@@ -28,8 +28,20 @@ WINDOW_STEPS = 43
 SMALL_FLEET = 3  # vehicles in the small-pipeline telemetry
 
 
+# The declared schemas of the two testdata tables the fixtures read.  Passing
+# them skips schema inference (a footer-reading job per scan) and pins the types.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def order_status(code: Column) -> Column:
