@@ -31,9 +31,21 @@ def ntz(text: str) -> Column:
     return F.expr(f"timestamp_ntz'{text}'")
 
 
+def timestamp_micros_sql(name: str) -> str:
+    """SQL text of ``timestamp_micros`` for a column name (one expression, parsed JVM-side)."""
+    c = f"`{name}`"
+    return (
+        f"(cast(unix_date(to_date({c})) AS bigint) * 86400000000L"
+        f" + cast(hour({c}) AS bigint) * 3600000000L + cast(minute({c}) AS bigint) * 60000000L"
+        f" + cast(date_part('SECOND', {c}) * 1000000 AS bigint))"
+    )
+
+
 def timestamp_micros(c: Column | str) -> Column:
     """Microseconds since 1970-01-01 of a ``timestamp_ntz``, computed from its calendar
     fields so that no session time zone (and no daylight-saving gap) is involved."""
+    if isinstance(c, str):
+        return F.expr(timestamp_micros_sql(c))
     c = _col(c)
     day_us = F.unix_date(F.to_date(c)).cast("long") * F.lit(86_400_000_000)
     clock_us = F.hour(c).cast("long") * F.lit(3_600_000_000) + F.minute(c).cast("long") * F.lit(60_000_000)

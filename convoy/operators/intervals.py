@@ -27,21 +27,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-from convoy.functions.time import timestamp_micros
+from convoy.functions.time import timestamp_micros_sql
 
 _SECOND_US = 1_000_000
 
 
-def _ordinal(df: DataFrame, name: str) -> tuple[Column, int]:
-    """A monotone long view of a time or numeric column and its unit per second."""
-    dt = df.schema[name].dataType
-    c = F.col(name)
+def _ordinal(schema, name: str) -> tuple[str, int]:
+    """SQL text of a monotone long view of a time or numeric column, and its unit per second."""
+    dt = schema[name].dataType
+    c = f"`{name}`"
     if isinstance(dt, TimestampNTZType):
-        return timestamp_micros(c), _SECOND_US
+        return timestamp_micros_sql(name), _SECOND_US
     if isinstance(dt, TimestampType):
-        return F.unix_micros(c), _SECOND_US
+        return f"unix_micros({c})", _SECOND_US
     if isinstance(dt, DateType):
-        return F.unix_date(c).cast("long"), 1
+        return f"cast(unix_date({c}) AS bigint)", 1
     if isinstance(dt, NumericType):
         return c, 1
     raise TypeError(f"interval bound {name} has unsupported type {dt}")
@@ -92,36 +92,35 @@ def interval_join(
     if method != "bucket":
         raise ValueError(f"unknown method {method}")
 
-    valid = F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) <= F.col(end))
-    for k in on:
-        valid = valid & F.col(k).isNotNull()
+    valid = " AND ".join(
+        [f"`{start}` IS NOT NULL", f"`{end}` IS NOT NULL", f"`{start}` <= `{end}`"]
+        + [f"`{k}` IS NOT NULL" for k in on]
+    )
     iv = intervals.filter(valid)
 
-    lo, unit = _ordinal(iv, start)
-    hi, _ = _ordinal(iv, end)
+    ischema = intervals.schema
+    lo, unit = _ordinal(ischema, start)
+    hi, _ = _ordinal(ischema, end)
     width = max(1, int(round(bucket_seconds * unit)))
     widths = _widths(width, fanout)
-    width_of = F.array(*[F.lit(w).cast("long") for w in widths])
+    width_of = "array(" + ", ".join(f"{w}L" for w in widths) + ")"
 
     # the finest level on which the interval spans at most `fanout` buckets
-    level = F.lit(len(widths) - 1)
-    for i in reversed(range(len(widths) - 1)):
-        w = widths[i]
-        level = F.when(F.floor(hi / w) - F.floor(lo / w) < fanout, F.lit(i)).otherwise(level)
-    iv = iv.withColumn("__i_lvl", level.cast("int"))
-    w_iv = F.element_at(width_of, F.col("__i_lvl") + 1)
-    iv = iv.withColumn("__i_bkt", F.explode(F.sequence(F.floor(lo / w_iv), F.floor(hi / w_iv))))
+    level = "CASE " + " ".join(
+        f"WHEN floor({hi} / {w}L) - floor({lo} / {w}L) < {fanout} THEN {i}" for i, w in enumerate(widths[:-1])
+    ) + f" ELSE {len(widths) - 1} END" if len(widths) > 1 else "0"
+    iv = iv.withColumn("__i_lvl", F.expr(f"cast({level} AS int)"))
+    w_iv = f"element_at({width_of}, __i_lvl + 1)"
+    iv = iv.withColumn("__i_bkt", F.expr(f"explode(sequence(floor({lo} / {w_iv}), floor({hi} / {w_iv})))"))
 
     # levels in use (a handful of values at most): points are bucketed once per level in use,
     # which is a single level unless some interval is more than `fanout` buckets long
     in_use = iv.select(F.collect_set("__i_lvl").alias("l")).scalar()
-    pt = p.filter(F.col(at).isNotNull())
-    for k in on:
-        pt = pt.filter(F.col(f"__p_{k}").isNotNull())
-    t, _ = _ordinal(pt, at)
-    all_levels = F.array(*[F.lit(i) for i in range(len(widths))])
+    pt = p.filter(" AND ".join([f"`{at}` IS NOT NULL"] + [f"`__p_{k}` IS NOT NULL" for k in on]))
+    t, _ = _ordinal(points.schema, at)
+    all_levels = F.expr("array(" + ", ".join(str(i) for i in range(len(widths))) + ")")
     pt = pt.withColumn("__p_lvl", F.explode(F.array_intersect(all_levels, in_use)))
-    pt = pt.withColumn("__p_bkt", F.floor(t / F.element_at(width_of, F.col("__p_lvl") + 1)))
+    pt = pt.withColumn("__p_bkt", F.expr(f"floor({t} / element_at({width_of}, __p_lvl + 1))"))
 
     cond = [iv[k] == pt[f"__p_{k}"] for k in on]
     cond += [iv["__i_lvl"] == pt["__p_lvl"], iv["__i_bkt"] == pt["__p_bkt"]]

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.functions.text import zfill_int
-from convoy.functions.time import ntz
 
 # Fixed values of the fixture derivation (shared with the DuckDB twins).
 FIXTURE_START = "2024-01-01 00:00:00"  # first order minute
@@ -44,24 +43,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def order_status(code: Column) -> Column:
-    return F.when(code == "P", "pending").when(code == "O", "in transit").otherwise("delivered")
-
-
-def _order_start(k: Column) -> Column:
-    return F.timestamp_add("MINUTE", (k * 37) % ORDER_MINUTES, ntz(FIXTURE_START))
+_ORDER_START = f"timestamp_ntz'{FIXTURE_START}' + make_dt_interval(0, 0, cast((o_orderkey * 37) % {ORDER_MINUTES} AS int), 0)"
+_STATUS = "CASE o_orderstatus WHEN 'P' THEN 'pending' WHEN 'O' THEN 'in transit' ELSE 'delivered' END"
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
-    e = F.col("event_id")
-    return ev.select(
-        zfill_int("user_id", 5, "V").alias("vehicle_id"),
-        F.col("ts").alias("sample_ts"),
-        ((e * 13) % 101).cast("double").alias("fuel_level"),
-        (F.lit(25) + (e * 7) % 31).cast("double").alias("engine_temperature"),
-        (F.lit(20) + (e * 3) % 21).cast("double").alias("battery_temperature"),
-        F.col("value").alias("speed"),
+    return read_table(spark, sf_dir, "events").selectExpr(
+        "format_string('V%05d', user_id) AS vehicle_id",
+        "ts AS sample_ts",
+        "cast((event_id * 13) % 101 AS double) AS fuel_level",
+        "cast(25 + (event_id * 7) % 31 AS double) AS engine_temperature",
+        "cast(20 + (event_id * 3) % 21 AS double) AS battery_temperature",
+        "value AS speed",
     )
 
 
@@ -76,55 +69,45 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shipments_from(o: DataFrame, fleet: Column) -> DataFrame:
     """Delivery orders from rows of ``orders``; ``fleet`` is the number of vehicles."""
-    k = F.col("o_orderkey")
-    start = _order_start(k)
-    active = F.col("o_orderstatus") != "P"
-    end = F.timestamp_add(
-        "MINUTE",
-        (k * 37) % ORDER_MINUTES + WINDOW_BASE_MINUTES + WINDOW_STEP_MINUTES * (k % WINDOW_STEPS),
-        ntz(FIXTURE_START),
+    end_minutes = (
+        f"(o_orderkey * 37) % {ORDER_MINUTES} + {WINDOW_BASE_MINUTES} + {WINDOW_STEP_MINUTES} * (o_orderkey % {WINDOW_STEPS})"
     )
-    vehicle = zfill_int(F.col("o_custkey") % fleet, 5, "V")
+    end = f"timestamp_ntz'{FIXTURE_START}' + make_dt_interval(0, 0, cast({end_minutes} AS int), 0)"
     return o.select(
-        zfill_int(k, 7, "O").alias("order_id"),
-        order_status(F.col("o_orderstatus")).alias("order_status"),
-        start.cast("date").alias("order_date"),
-        F.when(active, start).alias("delivery_start_datetime"),
-        F.when(active, end).alias("delivery_end_datetime"),
-        F.when(active, vehicle).alias("vehicle_id"),
+        F.expr("format_string('O%07d', o_orderkey)").alias("order_id"),
+        F.expr(_STATUS).alias("order_status"),
+        F.expr(f"cast({_ORDER_START} AS date)").alias("order_date"),
+        F.expr(f"CASE WHEN o_orderstatus <> 'P' THEN {_ORDER_START} END").alias("delivery_start_datetime"),
+        F.expr(f"CASE WHEN o_orderstatus <> 'P' THEN {end} END").alias("delivery_end_datetime"),
+        F.when(F.col("o_orderstatus") != "P", zfill_int(F.col("o_custkey") % fleet, 5, "V")).alias("vehicle_id"),
     )
 
 
 def raw_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order records as the small CSV holds them; ``seq`` is the file order."""
-    o = read_table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    c = F.col("o_custkey")
-    return o.select(
-        k.alias("seq"),
-        F.concat(c.cast("string"), F.lit(" Main Street")).alias("delivery_address"),
-        order_status(F.col("o_orderstatus")).alias("delivery_status"),
-        (F.lit(60) + (k * 37) % 240).cast("bigint").alias("delivery_time"),
-        F.col("o_totalprice").alias("delivery_cost"),
-        zfill_int(c, 9, "Customer#").alias("recipient_name"),
-        F.date_format(_order_start(k), "M/d/yyyy").alias("order_date"),
+    return read_table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS seq",
+        "concat(cast(o_custkey AS string), ' Main Street') AS delivery_address",
+        f"{_STATUS} AS delivery_status",
+        "cast(60 + (o_orderkey * 37) % 240 AS bigint) AS delivery_time",
+        "o_totalprice AS delivery_cost",
+        "format_string('Customer#%09d', o_custkey) AS recipient_name",
+        f"date_format({_ORDER_START}, 'M/d/yyyy') AS order_date",
     )
 
 
 def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Telemetry records as the small JSON file holds them (epoch seconds, coordinates)."""
-    ev = read_table(spark, sf_dir, "events")
-    e = F.col("event_id")
-    return ev.select(
-        (F.col("user_id") % SMALL_FLEET).alias("vehicle"),
-        (((e * 7) % 721) / 4.0 - 90.0).cast("double").alias("latitude"),
-        (((e * 11) % 1441) / 4.0 - 180.0).cast("double").alias("longitude"),
-        (F.lit(20) + (e * 3) % 21).cast("double").alias("battery_temperature"),
-        (F.lit(25) + (e * 7) % 31).cast("double").alias("engine_temperature"),
-        F.col("value").alias("speed"),
-        ((e * 13) % 101).cast("double").alias("fuel_level"),
-        (F.lit(30.0) + ((e * 5) % 11) / 2.0).cast("double").alias("tire_pressure"),
-        F.timestamp_diff("SECOND", ntz("1970-01-01 00:00:00"), F.col("ts")).alias("timestamp"),
+    return read_table(spark, sf_dir, "events").selectExpr(
+        f"user_id % {SMALL_FLEET} AS vehicle",
+        "cast(((event_id * 7) % 721) / 4.0 - 90.0 AS double) AS latitude",
+        "cast(((event_id * 11) % 1441) / 4.0 - 180.0 AS double) AS longitude",
+        "cast(20 + (event_id * 3) % 21 AS double) AS battery_temperature",
+        "cast(25 + (event_id * 7) % 31 AS double) AS engine_temperature",
+        "value AS speed",
+        "cast((event_id * 13) % 101 AS double) AS fuel_level",
+        "cast(30.0 + ((event_id * 5) % 11) / 2.0 AS double) AS tire_pressure",
+        "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts) AS timestamp",
     )
 
 
