@@ -48,18 +48,20 @@ class TableSpec:
     order_by: tuple[str, ...]
     partition_by: tuple[str, ...] = field(default=())
     scope: str = "table"  # "table": a key is unique in the table; "partition": per partition
+    cluster_by: tuple[str, ...] = field(default=())  # sort order inside partitions (data skipping)
 
     def __post_init__(self):
         object.__setattr__(self, "keys", _tuple(self.keys))
         object.__setattr__(self, "order_by", _tuple(self.order_by))
         object.__setattr__(self, "partition_by", _tuple(self.partition_by))
+        object.__setattr__(self, "cluster_by", _tuple(self.cluster_by))
         if not self.keys:
             raise ValueError("a table needs a record key")
         if self.scope not in ("table", "partition"):
             raise ValueError(f"unknown key scope {self.scope}")
 
-    def with_partitions(self, partition_by) -> "TableSpec":
-        return TableSpec(self.name, self.keys, self.order_by, partition_by, self.scope)
+    def with_partitions(self, partition_by, cluster_by=()) -> "TableSpec":
+        return TableSpec(self.name, self.keys, self.order_by, partition_by, self.scope, cluster_by)
 
     @property
     def unique_by(self) -> tuple[str, ...]:
@@ -82,9 +84,14 @@ def dedupe_latest(df: DataFrame, keys, order_by) -> DataFrame:
 
 
 def _layout(df: DataFrame, spec: TableSpec) -> DataFrame:
+    order = [*spec.partition_by, *spec.cluster_by, *spec.keys]
+    if spec.cluster_by:
+        # contiguous ranges of the cluster columns per file (tight min/max statistics); the key
+        # is part of the range so a hot cluster value is still split across tasks
+        return df.repartitionByRange(*order).sortWithinPartitions(*order)
     if not spec.partition_by:
         return df.sortWithinPartitions(*spec.keys)
-    return df.hint("rebalance", *spec.partition_by).sortWithinPartitions(*spec.partition_by, *spec.keys)
+    return df.hint("rebalance", *spec.partition_by).sortWithinPartitions(*order)
 
 
 def _save(df: DataFrame, spec: TableSpec, path: str, dynamic: bool) -> None:
@@ -103,6 +110,7 @@ def _write_meta(spark: SparkSession, spec: TableSpec, schema: StructType, path:
         "order_by": list(spec.order_by),
         "partition_by": list(spec.partition_by),
         "scope": spec.scope,
+        "cluster_by": list(spec.cluster_by),
         "schema": json.loads(schema.json()),
     }
     spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(
@@ -118,7 +126,9 @@ def table_meta(spark: SparkSession, path: str) -> tuple[TableSpec, StructType] |
     if row is None:
         return None
     meta = json.loads(row["value"])
-    spec = TableSpec(meta["name"], meta["keys"], meta["order_by"], meta["partition_by"], meta["scope"])
+    spec = TableSpec(
+        meta["name"], meta["keys"], meta["order_by"], meta["partition_by"], meta["scope"], meta.get("cluster_by", ())
+    )
     return spec, StructType.fromJson(meta["schema"])
 
 
