@@ -30,7 +30,7 @@ from pyspark.sql.types import StructType
 
 from convoy.session import materialize, remove_path
 
-META_DIR = "_convoy_table"
+META_FILE = "_convoy_table.json"  # ignored by parquet readers (leading underscore)
 
 
 def _tuple(v) -> tuple[str, ...]:
@@ -103,7 +103,14 @@ def _save(df: DataFrame, spec: TableSpec, path: str, dynamic: bool) -> None:
     w.parquet(path)
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _write_meta(spark: SparkSession, spec: TableSpec, schema: StructType, path: str) -> None:
+    """One small JSON file at the table root, written by the driver (no Spark job)."""
     meta = {
         "name": spec.name,
         "keys": list(spec.keys),
@@ -113,19 +120,25 @@ def _write_meta(spark: SparkSession, spec: TableSpec, schema: StructType, path:
         "cluster_by": list(spec.cluster_by),
         "schema": json.loads(schema.json()),
     }
-    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{path}/{META_DIR}"
-    )
+    p, fs = _fs(spark, f"{path.rstrip('/')}/{META_FILE}")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(json.dumps(meta).encode("utf-8")))
+    finally:
+        out.close()
 
 
 def table_meta(spark: SparkSession, path: str) -> tuple[TableSpec, StructType] | None:
-    try:
-        row = spark.read.text(f"{path}/{META_DIR}").first()
-    except Exception:  # no table at this path yet
-        return None
-    if row is None:
+    p, fs = _fs(spark, f"{path.rstrip('/')}/{META_FILE}")
+    if not fs.exists(p):
         return None
-    meta = json.loads(row["value"])
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        text = reader.readLine()
+    finally:
+        reader.close()
+    meta = json.loads(text)
     spec = TableSpec(
         meta["name"], meta["keys"], meta["order_by"], meta["partition_by"], meta["scope"], meta.get("cluster_by", ())
     )
