@@ -64,6 +64,19 @@ def q_order_telemetry_means(spark, sf):
     return rounded(_enriched(spark, sf))
 
 
+def _dense(spark, sf):
+    return fx.shipments(spark, sf, fx.REFERENCE_FLEET), fx.telemetry(spark, sf, fx.REFERENCE_FLEET)
+
+
+def q_order_means_fleet50(spark, sf):
+    """Per-order means on the dense variant (50 vehicles, tens of samples per window)."""
+    return rounded(dl.enriched_orders(*_dense(spark, sf)))
+
+
+def q_order_means_fleet50_plain(spark, sf):
+    return rounded(dl.enriched_orders(*_dense(spark, sf), method="plain"))
+
+
 def q_pending_orders(spark, sf):
     return dl.pending_orders(fx.shipments(spark, sf))
 
@@ -322,6 +335,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interval_join_plain": q_interval_join_plain,
     "interval_join_delivered": q_interval_join_delivered,
     "order_telemetry_means": q_order_telemetry_means,
+    "order_means_fleet50": q_order_means_fleet50,
+    "order_means_fleet50_plain": q_order_means_fleet50_plain,
     "pending_orders": q_pending_orders,
     "unmatched_orders": q_unmatched_orders,
     "silver_orders": q_silver_orders,

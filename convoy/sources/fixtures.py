@@ -25,6 +25,7 @@ WINDOW_BASE_MINUTES = 360  # every delivery window lasts 6 h ...
 WINDOW_STEP_MINUTES = 60  # ... plus 0..42 more hours
 WINDOW_STEPS = 43
 SMALL_FLEET = 3  # vehicles in the small-pipeline telemetry
+REFERENCE_FLEET = 50  # the original generator's fleet size (dense variant of the scaled inputs)
 
 
 # The declared schemas of the two testdata tables the fixtures read.  Passing
@@ -47,9 +48,11 @@ _ORDER_START = f"timestamp_ntz'{FIXTURE_START}' + make_dt_interval(0, 0, cast((o
 _STATUS = "CASE o_orderstatus WHEN 'P' THEN 'pending' WHEN 'O' THEN 'in transit' ELSE 'delivered' END"
 
 
-def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+def telemetry(spark: SparkSession, sf_dir: str, fleet: int | None = None) -> DataFrame:
+    """One sample per ``events`` row; ``fleet`` folds the users onto that many vehicles."""
+    vehicle = "user_id" if fleet is None else f"user_id % {int(fleet)}"
     return read_table(spark, sf_dir, "events").selectExpr(
-        "format_string('V%05d', user_id) AS vehicle_id",
+        f"format_string('V%05d', {vehicle}) AS vehicle_id",
         "ts AS sample_ts",
         "cast((event_id * 13) % 101 AS double) AS fuel_level",
         "cast(25 + (event_id * 7) % 31 AS double) AS engine_temperature",
@@ -63,8 +66,9 @@ def fleet_size(spark: SparkSession, sf_dir: str) -> Column:
     return read_table(spark, sf_dir, "events").select((F.max("user_id") + 1).alias("n")).scalar()
 
 
-def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shipments_from(read_table(spark, sf_dir, "orders"), fleet_size(spark, sf_dir))
+def shipments(spark: SparkSession, sf_dir: str, fleet: int | None = None) -> DataFrame:
+    size = fleet_size(spark, sf_dir) if fleet is None else F.lit(int(fleet)).cast("bigint")
+    return shipments_from(read_table(spark, sf_dir, "orders"), size)
 
 
 def shipments_from(o: DataFrame, fleet: Column) -> DataFrame:
