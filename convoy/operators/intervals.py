@@ -92,11 +92,17 @@ def interval_join(
     if method != "bucket":
         raise ValueError(f"unknown method {method}")
 
+    return _bucketed(intervals, p, points.columns, start, end, at, on, bucket_seconds, fanout, "inner")
+
+
+def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, fanout, how):
+    """The bucketed join.  ``how="left"`` keeps every interval: an interval with no point gives
+    one row per touched bucket (one row if it has no valid bounds) with NULL point columns."""
     valid = " AND ".join(
         [f"`{start}` IS NOT NULL", f"`{end}` IS NOT NULL", f"`{start}` <= `{end}`"]
         + [f"`{k}` IS NOT NULL" for k in on]
     )
-    iv = intervals.filter(valid)
+    iv = intervals.filter(valid) if how == "inner" else intervals
 
     ischema = intervals.schema
     lo, unit = _ordinal(ischema, start)
@@ -109,15 +115,17 @@ def interval_join(
     level = "CASE " + " ".join(
         f"WHEN floor({hi} / {w}L) - floor({lo} / {w}L) < {fanout} THEN {i}" for i, w in enumerate(widths[:-1])
     ) + f" ELSE {len(widths) - 1} END" if len(widths) > 1 else "0"
-    iv = iv.withColumn("__i_lvl", F.expr(f"cast({level} AS int)"))
+    iv = iv.withColumn("__i_lvl", F.expr(f"CASE WHEN {valid} THEN cast({level} AS int) END"))
     w_iv = f"element_at({width_of}, __i_lvl + 1)"
-    iv = iv.withColumn("__i_bkt", F.expr(f"explode(sequence(floor({lo} / {w_iv}), floor({hi} / {w_iv})))"))
+    span = f"CASE WHEN {valid} THEN sequence(floor({lo} / {w_iv}), floor({hi} / {w_iv})) END"
+    explode = "explode" if how == "inner" else "explode_outer"
+    iv = iv.withColumn("__i_bkt", F.expr(f"{explode}({span})"))
 
     # levels in use (a handful of values at most): points are bucketed once per level in use,
     # which is a single level unless some interval is more than `fanout` buckets long
-    in_use = iv.select(F.collect_set("__i_lvl").alias("l")).scalar()
+    in_use = iv.filter(valid).select(F.collect_set("__i_lvl").alias("l")).scalar()
     pt = p.filter(" AND ".join([f"`{at}` IS NOT NULL"] + [f"`__p_{k}` IS NOT NULL" for k in on]))
-    t, _ = _ordinal(points.schema, at)
+    t, _ = _ordinal(p.schema, at)
     all_levels = F.expr("array(" + ", ".join(str(i) for i in range(len(widths))) + ")")
     pt = pt.withColumn("__p_lvl", F.explode(F.array_intersect(all_levels, in_use)))
     pt = pt.withColumn("__p_bkt", F.expr(f"floor({t} / element_at({width_of}, __p_lvl + 1))"))
@@ -125,8 +133,8 @@ def interval_join(
     cond = [iv[k] == pt[f"__p_{k}"] for k in on]
     cond += [iv["__i_lvl"] == pt["__p_lvl"], iv["__i_bkt"] == pt["__p_bkt"]]
     cond += [(pt[at] >= iv[start]) & (pt[at] <= iv[end])]
-    out = [iv[c] for c in intervals.columns] + [pt[c] for c in points.columns if c not in on]
-    return iv.join(pt, cond, "inner").select(*out)
+    out = [iv[c] for c in intervals.columns] + [pt[c] for c in point_columns if c not in on]
+    return iv.join(pt, cond, how).select(*out)
 
 
 def window_means(
@@ -156,34 +164,45 @@ def window_enrich_left(
     NULL key are ignored.  Intervals without a point keep their columns; the attached
     columns are NULL.  ``key`` must identify an interval.  A ``group_by`` column that the
     intervals also have is overwritten by the group's value when a group exists.
+
+    One pass: a bucketed left outer join carries each interval's row (as a struct) through
+    two aggregates, per (interval, group) and per interval, so the intervals are read once
+    and never joined back.
     """
-    pcols = [c for c in points.columns]
-    renamed = {c: f"__pt_{c}" for c in pcols if c in intervals.columns}
+    renamed = {c: f"__pt_{c}" for c in points.columns if c in intervals.columns or c == "__iv"}
     pts = points.withColumnsRenamed(renamed)
     g = [renamed.get(c, c) for c in group_by]
     ms = [renamed.get(c, c) for c in measures]
-    slim = intervals.select(key, start, end)
-    valid = pts
+    p_at = renamed.get(at, at)
     for c in g:
-        valid = valid.filter(F.col(c).isNotNull())
-    pairs = interval_join(
-        slim, valid.select(renamed.get(at, at), *g, *ms), start=start, end=end,
-        at=renamed.get(at, at), bucket_seconds=bucket_seconds, fanout=fanout,
+        pts = pts.filter(F.col(c).isNotNull())
+    pts = pts.select(p_at, *g, *ms)
+
+    iv = intervals.select(key, start, end, F.struct(*[F.col(f"`{c}`") for c in intervals.columns]).alias("__iv"))
+    pairs = _bucketed(iv, pts, pts.columns, start, end, p_at, [], bucket_seconds, fanout, "left")
+
+    per_group = pairs.groupBy(key, *g).agg(
+        *[F.avg(m).alias(m) for m in ms], F.any_value("__iv").alias("__iv")
     )
-    per_group = pairs.groupBy(key, *g).agg(*[F.avg(m).alias(m) for m in ms])
-    # the first group in key order: min over a struct is a hash aggregate, no sort needed
+    # the first group in key order; rows of buckets without a point have NULL group keys
+    has_group = F.col(g[0]).isNotNull()
+    for c in g[1:]:
+        has_group = has_group & F.col(c).isNotNull()
     first = per_group.groupBy(key).agg(
-        F.min(F.struct(*[F.col(c) for c in g], *[F.col(m) for m in ms])).alias("__first")
+        F.min(F.when(has_group, F.struct(*[F.col(c) for c in g], *[F.col(m) for m in ms]))).alias("__first"),
+        F.any_value("__iv").alias("__iv"),
     )
-    first = first.select(key, *[F.col(f"__first.{c}").alias(c) for c in g + ms])
-    joined = intervals.join(first, key, "left")
     out = []
     for c in intervals.columns:
-        if c in renamed and c in group_by:
-            out.append(F.coalesce(F.col(renamed[c]), intervals[c]).alias(c))
-        elif c in renamed and c in measures:
-            out.append(F.col(renamed[c]).alias(c))
+        if c in group_by:
+            out.append(F.coalesce(F.col(f"__first.{renamed.get(c, c)}"), F.col(f"__iv.{c}")).alias(c))
+        elif c in measures:
+            out.append(F.col(f"__first.{renamed.get(c, c)}").alias(c))
         else:
-            out.append(intervals[c])
-    out += [F.col(renamed.get(c, c)).alias(c) for c in list(group_by) + list(measures) if c not in intervals.columns]
-    return joined.select(*out)
+            out.append(F.col(f"__iv.{c}").alias(c))
+    out += [
+        F.col(f"__first.{renamed.get(c, c)}").alias(c)
+        for c in list(group_by) + list(measures)
+        if c not in intervals.columns
+    ]
+    return first.select(*out)
