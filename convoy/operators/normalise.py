@@ -50,10 +50,14 @@ def normalise_telemetry(
     ``service_fields`` adds the two optional fields (flag pass-through, ``m/d/Y`` date).
     """
     ts = df.schema["timestamp"].dataType.simpleString() if "timestamp" in df.columns else "bigint"
+    stamp = epoch_to_timestamp(_field(df, "timestamp"), mode=mode, is_text=(ts == "string"))
+    if mode == "strict":
+        # the timestamp is required: a record without one fails the job
+        stamp = F.when(_field(df, "timestamp").isNull(), F.raise_error(F.lit("telemetry record without timestamp"))).otherwise(stamp)
     cols = [
         location_text(_field(df, "latitude"), _field(df, "longitude")).alias("location"),
         *[_field(df, f).alias(f) for f in TELEMETRY_FIELDS[1:6]],
-        epoch_to_timestamp(_field(df, "timestamp"), mode=mode, is_text=(ts == "string")).alias("timestamp"),
+        stamp.alias("timestamp"),
     ]
     if service_fields:
         cols += [

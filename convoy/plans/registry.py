@@ -238,6 +238,26 @@ def q_ingest_orders_csv(spark, sf):
     )
 
 
+def q_ingest_rejects(spark, sf):
+    """Order text in which one priority class writes its dates as dd.MM.yyyy: those rows
+    are the rejects of the permissive typed ingest."""
+    from convoy.operators.typed import typed_with_rejects
+
+    o = fx.read_table(spark, sf, "orders")
+    text = o.selectExpr(
+        "format_string('O%07d', o_orderkey) AS order_id",
+        "o_orderpriority AS order_priority",
+        "CASE WHEN o_orderpriority = '1-URGENT' THEN date_format(o_orderdate, 'dd.MM.yyyy') "
+        "ELSE date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss.SSSSSS') END AS order_date",
+        "cast(o_totalprice AS string) AS delivery_cost",
+    )
+    path = files.sink_csv(text, workspace(spark, "orders_text"))
+    _, rejects = typed_with_rejects(
+        files.scan_csv(spark, path), {"order_date": ("date", None), "delivery_cost": ("double", None)}
+    )
+    return rejects.select("order_id", "order_priority", "order_date", F.col("rejected_columns")[0].alias("rejected"))
+
+
 def q_ingest_telemetry_csv(spark, sf):
     t = fx.telemetry(spark, sf).withColumn(
         "sample_ts", F.date_format("sample_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
@@ -359,6 +379,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # ingest
     "ingest_orders_csv": q_ingest_orders_csv,
     "ingest_telemetry_csv": q_ingest_telemetry_csv,
+    "ingest_rejects": q_ingest_rejects,
     "ingest_telemetry_json": q_ingest_telemetry_json,
     "normalise_telemetry": q_normalise_telemetry,
     "normalise_orders": q_normalise_orders,

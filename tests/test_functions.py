@@ -74,3 +74,28 @@ def test_casts_pad_flatten_millis(spark):
     t = spark.createDataFrame([(datetime(2024, 1, 1, 0, 0, 0, 123456),)], "t timestamp_ntz")
     r = t.select(truncate_to_millis("t").alias("m"))
     assert r.first()[0] == datetime(2024, 1, 1, 0, 0, 0, 123000) and r.schema[0].dataType.simpleString() == "timestamp_ntz"
+
+
+def test_typed_with_rejects(spark):
+    from convoy.operators.typed import typed_with_rejects
+
+    df = spark.createDataFrame(
+        [("2024-01-05 10:11:12", "1.5"), ("05.01.2024", "x"), ("", None), ("2024-01-05 10:11:12.5", "2")],
+        "ts string, v string",
+    )
+    typed, rejects = typed_with_rejects(df, {"ts": ("timestamp", None), "v": ("float", None)})
+    assert typed.schema["ts"].dataType.simpleString() == "timestamp_ntz"
+    assert [r["v"] for r in typed.collect()] == [1.5, None, None, 2.0]
+    rej = [(r["ts"], r["rejected_columns"]) for r in rejects.collect()]
+    assert rej == [("05.01.2024", ["ts", "v"])]  # empty text is missing, not rejected
+    with pytest.raises(Exception):
+        typed_with_rejects(df, {"v": ("float", None)}, mode="strict")[0].collect()
+
+
+def test_strict_telemetry_requires_timestamp(spark):
+    from convoy.operators.normalise import normalise_telemetry
+
+    df = spark.createDataFrame([(1.0, None)], "speed double, timestamp bigint")
+    assert normalise_telemetry(df).first()["timestamp"] is None
+    with pytest.raises(Exception):
+        normalise_telemetry(df, mode="strict").collect()

@@ -118,3 +118,27 @@ def test_write_layouts(spark, tmp_dir):
     paths = write_layouts(df, specs, tmp_dir)
     for p in paths.values():
         assert rows(read_table(spark, p)) == rows(df)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_row = st.tuples(
+    st.sampled_from(["o1", "o2", "o3", "o4"]),
+    st.sampled_from([D1, D2, D3]),
+    st.sampled_from(["pending", "in transit", "delivered"]),
+    st.sampled_from([None, "V1", "V2"]),
+    st.sampled_from([None, 1.0, 2.0]),
+)
+
+
+@settings(max_examples=6, deadline=None)
+@given(batches=st.lists(st.lists(_row, min_size=1, max_size=5), min_size=1, max_size=3))
+def test_sequential_upserts_equal_latest_over_all_batches(spark, batches):
+    import tempfile
+
+    path = os.path.join(tempfile.mkdtemp(prefix="convoy-prop-"), "t")
+    for b in batches:
+        write_table(spark.createDataFrame(b, SCHEMA), SPEC, path, "upsert")
+    everything = spark.createDataFrame([r for b in batches for r in b], SCHEMA)
+    assert rows(read_table(spark, path)) == rows(dedupe_latest(everything, "order_id", "order_date"))
