@@ -95,14 +95,13 @@ def interval_join(
     return _bucketed(intervals, p, points.columns, start, end, at, on, bucket_seconds, fanout, "inner")
 
 
-def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, fanout, how):
-    """The bucketed join.  ``how="left"`` keeps every interval: an interval with no point gives
-    one row per touched bucket (one row if it has no valid bounds) with NULL point columns."""
+def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, fanout, how="inner"):
+    """The bucketed inner join (``p`` has its ``on`` columns renamed to ``__p_<name>``)."""
     valid = " AND ".join(
         [f"`{start}` IS NOT NULL", f"`{end}` IS NOT NULL", f"`{start}` <= `{end}`"]
         + [f"`{k}` IS NOT NULL" for k in on]
     )
-    iv = intervals.filter(valid) if how == "inner" else intervals
+    iv = intervals.filter(valid)
 
     ischema = intervals.schema
     lo, unit = _ordinal(ischema, start)
@@ -115,15 +114,13 @@ def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, f
     level = "CASE " + " ".join(
         f"WHEN floor({hi} / {w}L) - floor({lo} / {w}L) < {fanout} THEN {i}" for i, w in enumerate(widths[:-1])
     ) + f" ELSE {len(widths) - 1} END" if len(widths) > 1 else "0"
-    iv = iv.withColumn("__i_lvl", F.expr(f"CASE WHEN {valid} THEN cast({level} AS int) END"))
+    iv = iv.withColumn("__i_lvl", F.expr(f"cast({level} AS int)"))
     w_iv = f"element_at({width_of}, __i_lvl + 1)"
-    span = f"CASE WHEN {valid} THEN sequence(floor({lo} / {w_iv}), floor({hi} / {w_iv})) END"
-    explode = "explode" if how == "inner" else "explode_outer"
-    iv = iv.withColumn("__i_bkt", F.expr(f"{explode}({span})"))
+    iv = iv.withColumn("__i_bkt", F.expr(f"explode(sequence(floor({lo} / {w_iv}), floor({hi} / {w_iv})))"))
 
     # levels in use (a handful of values at most): points are bucketed once per level in use,
     # which is a single level unless some interval is more than `fanout` buckets long
-    in_use = iv.filter(valid).select(F.collect_set("__i_lvl").alias("l")).scalar()
+    in_use = iv.select(F.collect_set("__i_lvl").alias("l")).scalar()
     pt = p.filter(" AND ".join([f"`{at}` IS NOT NULL"] + [f"`__p_{k}` IS NOT NULL" for k in on]))
     t, _ = _ordinal(p.schema, at)
     all_levels = F.expr("array(" + ", ".join(str(i) for i in range(len(widths))) + ")")
@@ -165,11 +162,13 @@ def window_enrich_left(
     columns are NULL.  ``key`` must identify an interval.  A ``group_by`` column that the
     intervals also have is overwritten by the group's value when a group exists.
 
-    One pass: a bucketed left outer join carries each interval's row (as a struct) through
-    two aggregates, per (interval, group) and per interval, so the intervals are read once
-    and never joined back.
+    Plan: a bucketed *inner* join (adaptive execution can split a hot bucket on either side,
+    which it cannot do for the NULL-supplying side of an outer join), means per (interval,
+    group), then one aggregate per interval over those candidates unioned with a plain
+    projection of all intervals; the union keeps intervals without points, so nothing is
+    joined back.
     """
-    renamed = {c: f"__pt_{c}" for c in points.columns if c in intervals.columns or c == "__iv"}
+    renamed = {c: f"__pt_{c}" for c in points.columns if c in intervals.columns or c in ("__iv", "__cand")}
     pts = points.withColumnsRenamed(renamed)
     g = [renamed.get(c, c) for c in group_by]
     ms = [renamed.get(c, c) for c in measures]
@@ -178,19 +177,23 @@ def window_enrich_left(
         pts = pts.filter(F.col(c).isNotNull())
     pts = pts.select(p_at, *g, *ms)
 
-    iv = intervals.select(key, start, end, F.struct(*[F.col(f"`{c}`") for c in intervals.columns]).alias("__iv"))
-    pairs = _bucketed(iv, pts, pts.columns, start, end, p_at, [], bucket_seconds, fanout, "left")
-
-    per_group = pairs.groupBy(key, *g).agg(
-        *[F.avg(m).alias(m) for m in ms], F.any_value("__iv").alias("__iv")
+    slim = intervals.select(key, start, end)
+    pairs = _bucketed(slim, pts, pts.columns, start, end, p_at, [], bucket_seconds, fanout)
+    per_group = pairs.groupBy(key, *g).agg(*[F.avg(m).alias(m) for m in ms])
+    iv_type = intervals.select(F.struct(*[F.col(f"`{c}`") for c in intervals.columns]).alias("s")).schema["s"].dataType
+    candidates = per_group.select(
+        key,
+        F.struct(*[F.col(c) for c in g], *[F.col(m) for m in ms]).alias("__cand"),
+        F.lit(None).cast(iv_type).alias("__iv"),
+    )
+    rows = intervals.select(
+        key,
+        F.lit(None).cast(candidates.schema["__cand"].dataType).alias("__cand"),
+        F.struct(*[F.col(f"`{c}`") for c in intervals.columns]).alias("__iv"),
     )
-    # the first group in key order; rows of buckets without a point have NULL group keys
-    has_group = F.col(g[0]).isNotNull()
-    for c in g[1:]:
-        has_group = has_group & F.col(c).isNotNull()
-    first = per_group.groupBy(key).agg(
-        F.min(F.when(has_group, F.struct(*[F.col(c) for c in g], *[F.col(m) for m in ms]))).alias("__first"),
-        F.any_value("__iv").alias("__iv"),
+    # the first group in key order (min over the struct), and the interval's own row
+    first = candidates.unionByName(rows).groupBy(key).agg(
+        F.min("__cand").alias("__first"), F.any_value("__iv", ignoreNulls=True).alias("__iv")
     )
     out = []
     for c in intervals.columns:
