@@ -27,3 +27,17 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert digest(rows, df.columns)[0] == digest(orows, ocols)[0]
+
+
+@pytest.mark.parametrize("name", ["fleet_bronze", "compliance_check", "normalise_telemetry", "chained_windows"])
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = entry.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = con.execute(entry.oracle_sql()[name])
+    ocols = [d[0] for d in res.description]
+    assert digest(rows, df.columns)[0] == digest(res.fetchall(), ocols)[0]
