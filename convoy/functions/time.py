@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # The parse patterns of the source formats.
 TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
@@ -94,7 +93,3 @@ def event_date(c: Column | str) -> Column:
 def truncate_to_millis(c: Column | str) -> Column:
     """Cut a ``timestamp_ntz`` to milliseconds and keep it zone-free."""
     return F.date_trunc("MILLISECOND", _col(c)).cast("timestamp_ntz")
-
-
-def as_text(c: Column | str) -> Column:
-    return _col(c).cast(StringType())
