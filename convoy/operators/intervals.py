@@ -67,10 +67,15 @@ def interval_join(
     bucket_seconds: float = 3600.0,
     fanout: int = 64,
     method: str = "bucket",
+    salt: int = 1,
 ) -> DataFrame:
     """Inner join of each interval with every point where ``start <= at <= end`` (both ends
     inclusive) and the ``on`` keys are equal.
 
+    ``salt > 1`` splits every (key, bucket) into ``salt`` lanes: a point goes to one lane by
+    hash, each bucketed interval to all lanes.  Use it for hot buckets when adaptive skew
+    handling is not available; the result is the same.
+
     Returns all interval columns and all point columns except the point copies of ``on``.
     NULL keys or bounds never match; an interval with ``start > end`` matches nothing.
     ``method="plain"`` gives the unbucketed equi + range join (test oracle, needs ``on``).
@@ -92,10 +97,10 @@ def interval_join(
     if method != "bucket":
         raise ValueError(f"unknown method {method}")
 
-    return _bucketed(intervals, p, points.columns, start, end, at, on, bucket_seconds, fanout, "inner")
+    return _bucketed(intervals, p, points.columns, start, end, at, on, bucket_seconds, fanout, salt=salt)
 
 
-def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, fanout, how="inner"):
+def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, fanout, how="inner", salt=1):
     """The bucketed inner join (``p`` has its ``on`` columns renamed to ``__p_<name>``)."""
     valid = " AND ".join(
         [f"`{start}` IS NOT NULL", f"`{end}` IS NOT NULL", f"`{start}` <= `{end}`"]
@@ -127,8 +132,14 @@ def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, f
     pt = pt.withColumn("__p_lvl", F.explode(F.array_intersect(all_levels, in_use)))
     pt = pt.withColumn("__p_bkt", F.expr(f"floor({t} / element_at({width_of}, __p_lvl + 1))"))
 
+    if salt > 1:
+        iv = iv.withColumn("__i_salt", F.explode(F.sequence(F.lit(0), F.lit(int(salt) - 1))))
+        pt = pt.withColumn("__p_salt", F.expr(f"pmod(hash(`{at}`, __p_bkt), {int(salt)})"))
+
     cond = [iv[k] == pt[f"__p_{k}"] for k in on]
     cond += [iv["__i_lvl"] == pt["__p_lvl"], iv["__i_bkt"] == pt["__p_bkt"]]
+    if salt > 1:
+        cond.append(iv["__i_salt"] == pt["__p_salt"])
     cond += [(pt[at] >= iv[start]) & (pt[at] <= iv[end])]
     out = [iv[c] for c in intervals.columns] + [pt[c] for c in point_columns if c not in on]
     return iv.join(pt, cond, how).select(*out)

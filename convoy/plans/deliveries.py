@@ -33,7 +33,7 @@ DEFAULT_BUCKET_SECONDS = 6 * 3600.0
 
 def telemetry_pairs(
     shipments: DataFrame, telemetry: DataFrame, bucket_seconds: float = DEFAULT_BUCKET_SECONDS,
-    method: str = "bucket",
+    method: str = "bucket", salt: int = 1,
 ) -> DataFrame:
     """One row per (order, sample) with the sample inside the order's window on its vehicle."""
     return interval_join(
@@ -45,16 +45,17 @@ def telemetry_pairs(
         on=("vehicle_id",),
         bucket_seconds=bucket_seconds,
         method=method,
+        salt=salt,
     )
 
 
 def enriched_orders(
     shipments: DataFrame, telemetry: DataFrame, bucket_seconds: float = DEFAULT_BUCKET_SECONDS,
-    method: str = "bucket",
+    method: str = "bucket", salt: int = 1,
 ) -> DataFrame:
     """Per-order mean of each sensor over the samples in the window (orders without a
     sample are not in the result).  Grouped by all order attributes, as published."""
-    pairs = telemetry_pairs(shipments, telemetry, bucket_seconds, method)
+    pairs = telemetry_pairs(shipments, telemetry, bucket_seconds, method, salt)
     return pairs.groupBy(*ORDER_COLUMNS).agg(*[F.avg(s).alias(s) for s in SENSORS])
 
 

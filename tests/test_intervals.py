@@ -59,14 +59,16 @@ window = st.tuples(st.integers(0, 3), st.integers(0, 2000), st.integers(0, 3000)
     pts=st.lists(st.tuples(st.integers(0, 3), st.integers(-50, 5000)), min_size=1, max_size=40),
     bucket=st.sampled_from([1, 7, 60, 900, 100000]),
     fanout=st.sampled_from([2, 4, 64]),
+    salt=st.sampled_from([1, 3]),
 )
-def test_bucket_join_equals_brute_force(spark, wins, pts, bucket, fanout):
+def test_bucket_join_equals_brute_force(spark, wins, pts, bucket, fanout, salt):
     orders = spark.createDataFrame(
         [(f"o{i}", f"v{v}", t(s), t(s + d)) for i, (v, s, d) in enumerate(wins)], ORDERS
     )
     samples = spark.createDataFrame([(f"v{v}", t(m), float(j)) for j, (v, m) in enumerate(pts)], SAMPLES)
     got = interval_join(
-        orders, samples, start="ws", end="we", at="ts", on=["vehicle_id"], bucket_seconds=bucket * 60, fanout=fanout
+        orders, samples, start="ws", end="we", at="ts", on=["vehicle_id"], bucket_seconds=bucket * 60,
+        fanout=fanout, salt=salt,
     )
     expect = sorted(
         (f"o{i}", t(m))
