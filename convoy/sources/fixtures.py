@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.functions.text import zfill_int
+from convoy.functions.time import timestamp_micros_sql
 
 # Fixed values of the fixture derivation (shared with the DuckDB twins).
 FIXTURE_START = "2024-01-01 00:00:00"  # first order minute
@@ -111,7 +112,7 @@ def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value AS speed",
         "cast((event_id * 13) % 101 AS double) AS fuel_level",
         "cast(30.0 + ((event_id * 5) % 11) / 2.0 AS double) AS tire_pressure",
-        "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts) AS timestamp",
+        f"{timestamp_micros_sql('ts')} div 1000000 AS timestamp",
     )
 
 
