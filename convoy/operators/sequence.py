@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 DEFAULT_BLOCK = 1 << 20
 
@@ -30,10 +31,18 @@ def accumulate(
     sums: dict[str, str] | None = None,
     row_number: str | None = None,
     block: int = DEFAULT_BLOCK,
+    tiebreak: tuple[str, ...] = (),
 ) -> DataFrame:
     """Add inclusive running sums (``{out: value}``) and/or a 1-based row number in ascending
-    ``order_by`` (a unique integer key).  NULL values are skipped by the sums; the running
-    sum of a row whose own value is NULL is NULL."""
+    ``order_by`` (an integer key).  NULL values are skipped by the sums; the running sum of a
+    row whose own value is NULL is NULL.
+
+    The key should be unique; if it is not, pass ``tiebreak`` columns that make
+    ``(order_by, *tiebreak)`` unique, otherwise the order among equal keys is arbitrary.  With
+    duplicate keys a block can hold more than ``block`` rows (all rows of one key share a block).
+    """
+    if not isinstance(df.schema[order_by].dataType, IntegralType):
+        raise TypeError(f"accumulate needs an integer ordering key, {order_by} is {df.schema[order_by].dataType}")
     sums = dict(sums or {})
     d = df.withColumn("__blk", F.expr(f"cast(`{order_by}` AS bigint) div {int(block)}"))
 
@@ -48,7 +57,7 @@ def accumulate(
         *[F.coalesce(F.sum(t).over(prior), F.lit(0)).alias(f"__off_{n}") for t, n in zip(tot_cols, names)],
     )
 
-    w = Window.partitionBy("__blk").orderBy(order_by)
+    w = Window.partitionBy("__blk").orderBy(order_by, *tiebreak)
     running = w.rowsBetween(Window.unboundedPreceding, 0)
     local = {f"__loc_{o}": F.coalesce(F.sum(v).over(running), F.lit(0)) for o, v in sums.items()}
     if row_number:

@@ -29,3 +29,13 @@ def test_wrappers_and_plan(spark):
     plan = rs._jdf.queryExecution().executedPlan().toString()
     # the row-level window is partitioned by block; only the block totals go to one partition
     assert "hashpartitioning(__blk" in plan
+
+
+def test_tiebreak_and_key_type(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, "b", 5), (1, "a", 7), (0, "z", 1)], "k long, t string, v long")
+    got = sorted(tuple(r) for r in accumulate(df, "k", sums={"s": "v"}, row_number="n", block=1, tiebreak=("t",)).collect())
+    assert got == [(0, "z", 1, 1, 1), (1, "a", 7, 8, 2), (1, "b", 5, 13, 3)]
+    with pytest.raises(TypeError):
+        accumulate(df, "t", row_number="n")
