@@ -115,3 +115,36 @@ def test_window_enrich_left_first_group_only(spark):
     assert rows[2]["speed"] == 5.0 and str(rows[2]["event_date"]) == "2024-01-01"
     assert rows[3]["speed"] is None and rows[3]["vehicle_id"] == 9 and rows[3]["event_date"] is None
     assert got.count() == 3
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    wins=st.lists(st.tuples(st.integers(0, 3000), st.integers(-5, 400)), min_size=1, max_size=10),
+    pts=st.lists(
+        st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.integers(0, 3500), st.integers(0, 50)),
+        min_size=0, max_size=30,
+    ),
+    bucket=st.sampled_from([30, 600, 7200]),
+)
+def test_window_enrich_left_equals_brute_force(spark, wins, pts, bucket):
+    orders = spark.createDataFrame(
+        [(i, 9, t(s), t(s + d)) for i, (s, d) in enumerate(wins)],
+        "seq long, vehicle_id long, ws timestamp_ntz, we timestamp_ntz",
+    )
+    samples = spark.createDataFrame(
+        [(v, t(m), float(x)) for v, m, x in pts], "vehicle_id long, ts timestamp_ntz, speed double"
+    ).withColumn("event_date", F.to_date("ts"))
+    got = window_enrich_left(
+        orders, samples, key="seq", start="ws", end="we", at="ts",
+        group_by=["vehicle_id", "event_date"], measures=["speed"], bucket_seconds=bucket,
+    )
+    got = {r["seq"]: (r["vehicle_id"], r["event_date"], r["speed"]) for r in got.collect()}
+    assert len(got) == len(wins)
+    for i, (s, d) in enumerate(wins):
+        inside = [(v, t(m).date(), x) for v, m, x in pts if v is not None and s <= m <= s + d]
+        if not inside:
+            assert got[i] == (9, None, None)
+            continue
+        first = min((v, day) for v, day, _ in inside)
+        xs = [x for v, day, x in inside if (v, day) == first]
+        assert got[i][:2] == first and abs(got[i][2] - sum(xs) / len(xs)) < 1e-9
