@@ -8,10 +8,15 @@ from pyspark.sql.types import DataType, StructType
 
 
 def cast_columns(df: DataFrame, columns, to: str | DataType = "float", mode: str = "permissive") -> DataFrame:
-    """Cast a list of columns in one projection; bad text becomes NULL unless ``mode="strict"``."""
-    return df.withColumns(
-        {c: (F.col(c).cast(to) if mode == "strict" else F.col(c).try_cast(to)) for c in columns}
-    )
+    """Cast a list of columns in one projection; bad text becomes NULL unless ``mode="strict"``,
+    which fails the job instead."""
+    from convoy.functions.time import strict
+
+    out = {}
+    for c in columns:
+        cast = F.col(c).try_cast(to)
+        out[c] = strict(F.col(c), cast, str(to)) if mode == "strict" else cast
+    return df.withColumns(out)
 
 
 def pad_columns(df: DataFrame, like: StructType | DataFrame) -> DataFrame:

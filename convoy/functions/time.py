@@ -25,6 +25,13 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strict(text: Column, parsed: Column, what: str) -> Column:
+    """``parsed``, but fail the job when ``text`` is present and did not convert.  Explicit, so
+    strict mode does not depend on the session's ANSI setting."""
+    bad = text.isNotNull() & (F.trim(text.cast("string")) != "") & parsed.isNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"cannot convert to {what}: "), text.cast("string")))).otherwise(parsed)
+
+
 def ntz(text: str) -> Column:
     """A ``timestamp_ntz`` literal."""
     return F.expr(f"timestamp_ntz'{text}'")
@@ -58,26 +65,25 @@ def epoch_to_timestamp(c: Column | str, mode: str = "permissive", is_text: bool
     Fractional seconds are truncated, as an integer conversion does.
     """
     c = _col(c)
-    if is_text:
-        seconds = c.cast("bigint") if mode == "strict" else c.try_cast("bigint")
-    else:
-        seconds = c.cast("bigint")
+    seconds = c.try_cast("bigint") if is_text else c.cast("bigint")
+    if mode == "strict" and is_text:
+        seconds = strict(c, seconds, "epoch seconds")
     return F.timestamp_add("SECOND", seconds, ntz(EPOCH_NTZ))
 
 
 def parse_timestamp(c: Column | str, pattern: str = TIMESTAMP_PATTERN, mode: str = "permissive") -> Column:
     """Text to ``timestamp_ntz``; the default pattern accepts an optional 6-digit fraction."""
     c = _col(c)
-    if mode == "strict":
-        return F.to_timestamp_ntz(c, F.lit(pattern))
     # try_to_timestamp decides parseability; the NTZ parse only runs on parseable text
-    return F.when(F.try_to_timestamp(c, F.lit(pattern)).isNotNull(), F.to_timestamp_ntz(c, F.lit(pattern)))
+    parsed = F.when(F.try_to_timestamp(c, F.lit(pattern)).isNotNull(), F.to_timestamp_ntz(c, F.lit(pattern)))
+    return strict(c, parsed, "timestamp") if mode == "strict" else parsed
 
 
 def parse_date(c: Column | str, pattern: str = TIMESTAMP_PATTERN, mode: str = "permissive") -> Column:
     """Text to ``date`` using a timestamp pattern (time of day is dropped)."""
     c = _col(c)
-    return F.to_date(c, pattern) if mode == "strict" else F.try_to_date(c, pattern)
+    parsed = F.try_to_date(c, pattern)
+    return strict(c, parsed, "date") if mode == "strict" else parsed
 
 
 def parse_us_date(c: Column | str, mode: str = "permissive") -> Column:

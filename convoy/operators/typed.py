@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from convoy.functions.time import TIMESTAMP_PATTERN, parse_date, parse_timestamp
+from convoy.functions.time import TIMESTAMP_PATTERN, parse_date, parse_timestamp, strict
 
 
 def _convert(c: str, kind: str, pattern: str | None, mode: str) -> Column:
@@ -19,7 +19,8 @@ def _convert(c: str, kind: str, pattern: str | None, mode: str) -> Column:
         return parse_timestamp(c, pattern or TIMESTAMP_PATTERN, mode)
     if kind == "date":
         return parse_date(c, pattern or TIMESTAMP_PATTERN, mode)
-    return F.col(c).cast(kind) if mode == "strict" else F.col(c).try_cast(kind)
+    cast = F.col(c).try_cast(kind)
+    return strict(F.col(c), cast, kind) if mode == "strict" else cast
 
 
 def typed_with_rejects(

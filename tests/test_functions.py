@@ -99,3 +99,21 @@ def test_strict_telemetry_requires_timestamp(spark):
     assert normalise_telemetry(df).first()["timestamp"] is None
     with pytest.raises(Exception):
         normalise_telemetry(df, mode="strict").collect()
+
+
+def test_strict_mode_without_ansi(spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        df = spark.createDataFrame([("2024-01-05 10:11:12", "1/5/2024", "1.5")], "t string, d string, f string")
+        ok = df.select(parse_timestamp("t", mode="strict"), parse_us_date("d", mode="strict")).first()
+        assert ok[0] == datetime(2024, 1, 5, 10, 11, 12) and ok[1] == date(2024, 1, 5)
+        bad = spark.createDataFrame([("junk", "13/45/2024", "x")], "t string, d string, f string")
+        for col in (parse_timestamp("t", mode="strict"), parse_us_date("d", mode="strict")):
+            with pytest.raises(Exception):
+                bad.select(col).collect()
+        with pytest.raises(Exception):
+            cast_columns(bad, ["f"], mode="strict").collect()
+        assert cast_columns(bad, ["f"]).first()["f"] is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
