@@ -333,6 +333,23 @@ def _fleet_table(name):
     return q
 
 
+def q_published_sales_dashboard(spark, sf):
+    """The whole scaled pipeline published (bronze -> silver -> gold, each layer read back from
+    the written tables); returns the gold dashboard table."""
+    from convoy.plans.publish import publish_deliveries
+
+    paths = publish_deliveries(spark, *_inputs(spark, sf), workspace(spark, "published"))
+    return read_table(spark, paths["sales_dashboard"])
+
+
+def q_published_temperature_alerts(spark, sf):
+    """The whole small pipeline published; returns the gold temperature-alert table."""
+    from convoy.plans.publish import publish_fleet
+
+    paths = publish_fleet(spark, fx.parcels(spark, sf), fx.samples(spark, sf), workspace(spark, "published"))
+    return rounded(read_table(spark, paths["temperature_alerts"]))
+
+
 STATUS_SQL = 'select * from {bronze_layer} where delivery_status="in transit"'
 BRONZE_SPEC = TableSpec("bronze_layer", "order_id", "delivery_end_time", ("vehicle_id", "delivery_status"))
 
@@ -396,4 +413,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fleet_temperature_alerts": _fleet_table("temperature_alerts"),
     "status_lookup": q_status_lookup,
     "status_lookup_table": q_status_lookup_table,
+    "published_sales_dashboard": q_published_sales_dashboard,
+    "published_temperature_alerts": q_published_temperature_alerts,
 }
