@@ -148,3 +148,50 @@ def test_window_enrich_left_equals_brute_force(spark, wins, pts, bucket):
         first = min((v, day) for v, day, _ in inside)
         xs = [x for v, day, x in inside if (v, day) == first]
         assert got[i][:2] == first and abs(got[i][2] - sum(xs) / len(xs)) < 1e-9
+
+
+def test_hot_bucket_is_split_by_adaptive_skew_join(spark):
+    """One vehicle-hour holds most samples: adaptive execution splits that join partition."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        hot = spark.range(0, 30000).selectExpr(
+            "'v0' AS vehicle_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 0.1) AS ts",
+            "cast(id AS double) AS speed",
+        )
+        cold = spark.range(0, 3000).selectExpr(
+            "concat('v', cast(1 + id % 7 AS string)) AS vehicle_id",
+            "timestamp_ntz'2024-01-02 00:00:00' + make_dt_interval(0, 0, cast(id AS int), 0) AS ts",
+            "cast(id AS double) AS speed",
+        )
+        orders = spark.range(0, 40).selectExpr(
+            "concat('o', cast(id AS string)) AS order_id",
+            "concat('v', cast(id % 8 AS string)) AS vehicle_id",
+            "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(id AS int), 0) AS ws",
+            "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(id AS int) + 20, 0) AS we",
+        )
+        joined = interval_join(orders, hot.unionByName(cold), start="ws", end="we", at="ts", on=["vehicle_id"],
+                               bucket_seconds=3600)
+        got = len(joined.collect())  # executes this DataFrame's own (adaptive) plan
+        # only v0 orders (ids 0, 8, 16, 24, 32) see the hot samples; cold samples are on day 2
+        expect = sum(1 for i in range(0, 40, 8) for s in range(30000) if i * 60 <= s * 0.1 <= (i + 20) * 60)
+        assert got == expect
+        final = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
