@@ -195,3 +195,38 @@ def test_hot_bucket_is_split_by_adaptive_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_enrichment_hot_time_bucket_is_split(spark):
+    """The enrichment joins on the time bucket alone; a bucket holding most samples is split."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        samples = spark.range(0, 20000).selectExpr(
+            "id % 3 AS vehicle_id",
+            "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, (id % 3000) * 0.1) AS ts",
+            "cast(id % 50 AS double) AS speed",
+        ).withColumn("event_date", F.to_date("ts"))
+        orders = spark.range(0, 60).selectExpr(
+            "id AS seq", "cast(1 AS bigint) AS vehicle_id",
+            "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 5) AS ws",
+            "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 5 + 20) AS we",
+        )
+        got = window_enrich_left(
+            orders, samples, key="seq", start="ws", end="we", at="ts",
+            group_by=["vehicle_id", "event_date"], measures=["speed"], bucket_seconds=3600,
+        )
+        rows = got.collect()
+        assert len(rows) == 60 and all(r["vehicle_id"] == 0 for r in rows)
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -142,3 +142,17 @@ def test_sequential_upserts_equal_latest_over_all_batches(spark, batches):
         write_table(spark.createDataFrame(b, SCHEMA), SPEC, path, "upsert")
     everything = spark.createDataFrame([r for b in batches for r in b], SCHEMA)
     assert rows(read_table(spark, path)) == rows(dedupe_latest(everything, "order_id", "order_date"))
+
+
+def test_dedupe_hot_key_is_combined_map_side(spark):
+    """A key holding a third of the rows is reduced per task before the shuffle."""
+    df = spark.range(0, 3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', cast(id AS string)) END AS order_id",
+        "date_add(date'2024-01-01', cast(id % 10 AS int)) AS order_date",
+        "'delivered' AS order_status", "cast(NULL AS string) AS vehicle_id", "cast(id AS double) AS speed",
+    )
+    d = dedupe_latest(df, "order_id", "order_date")
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan  # map-side combine before the exchange on the key
+    hot = d.filter("order_id = 'hot'").collect()
+    assert len(hot) == 1 and hot[0]["order_date"] == date(2024, 1, 10) and hot[0]["speed"] == 2979.0
