@@ -5,8 +5,9 @@ ordering key (a unique integer, e.g. the file position or an order number) is cu
 fixed-width blocks, ``seq div block``:
 
 1. per block: the block totals (a hash aggregate with map-side combine, one row per block);
-2. per block: the exclusive prefix of the block totals (a window over the block totals only,
-   at most ``key range / block`` rows, so it is tiny and broadcast back);
+2. per block: the exclusive prefix of the block totals, computed the same way one level up
+   (the block totals are blocked again), so the only single-partition window sees at most
+   ``key range / block**2`` rows;
 3. per row: the running values inside its block (one window partitioned by block), plus the
    block's prefix.
 
@@ -32,6 +33,7 @@ def accumulate(
     row_number: str | None = None,
     block: int = DEFAULT_BLOCK,
     tiebreak: tuple[str, ...] = (),
+    _level: int = 0,
 ) -> DataFrame:
     """Add inclusive running sums (``{out: value}``) and/or a 1-based row number in ascending
     ``order_by`` (an integer key).  NULL values are skipped by the sums; the running sum of a
@@ -44,25 +46,37 @@ def accumulate(
     if not isinstance(df.schema[order_by].dataType, IntegralType):
         raise TypeError(f"accumulate needs an integer ordering key, {order_by} is {df.schema[order_by].dataType}")
     sums = dict(sums or {})
-    d = df.withColumn("__blk", F.expr(f"cast(`{order_by}` AS bigint) div {int(block)}"))
+    blk = f"__blk{_level}"  # internal names carry the level: the next level orders by this one
+    d = df.withColumn(blk, F.expr(f"cast(`{order_by}` AS bigint) div {int(block)}"))
 
     totals = [F.coalesce(F.sum(v), F.lit(0)).alias(f"__tot_{o}") for o, v in sums.items()]
     if row_number:
         totals.append(F.count(F.lit(1)).alias("__tot_rn"))
-    prior = Window.orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
     names = [*sums, *([row_number] if row_number else [])]
     tot_cols = [f"__tot_{o}" for o in sums] + (["__tot_rn"] if row_number else [])
-    offsets = d.groupBy("__blk").agg(*totals).select(
-        "__blk",
-        *[F.coalesce(F.sum(t).over(prior), F.lit(0)).alias(f"__off_{n}") for t, n in zip(tot_cols, names)],
-    )
+    per_block = d.groupBy(blk).agg(*totals)
+    if _level == 0:
+        # the prefix over the block totals is itself computed blocked (block ids are unique
+        # integers), so the only single-partition window sees at most range / block**2 rows
+        inclusive = accumulate(
+            per_block, blk, sums={f"__inc_{n}": t for t, n in zip(tot_cols, names)}, block=block, _level=1
+        )
+        offsets = inclusive.select(
+            blk, *[(F.col(f"__inc_{n}") - F.col(t)).alias(f"__off_{n}") for t, n in zip(tot_cols, names)]
+        )
+    else:
+        prior = Window.orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = per_block.select(
+            blk,
+            *[F.coalesce(F.sum(t).over(prior), F.lit(0)).alias(f"__off_{n}") for t, n in zip(tot_cols, names)],
+        )
 
-    w = Window.partitionBy("__blk").orderBy(order_by, *tiebreak)
+    w = Window.partitionBy(blk).orderBy(order_by, *tiebreak)
     running = w.rowsBetween(Window.unboundedPreceding, 0)
     local = {f"__loc_{o}": F.coalesce(F.sum(v).over(running), F.lit(0)) for o, v in sums.items()}
     if row_number:
         local[f"__loc_{row_number}"] = F.row_number().over(w).cast("long")
-    res = d.withColumns(local).join(offsets, "__blk", "left")
+    res = d.withColumns(local).join(offsets, blk, "left")
     outs = {o: F.when(F.col(v).isNotNull(), F.col(f"__loc_{o}") + F.col(f"__off_{o}")) for o, v in sums.items()}
     if row_number:
         outs[row_number] = F.col(f"__loc_{row_number}") + F.col(f"__off_{row_number}")
