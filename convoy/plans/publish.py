@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from convoy.operators.tables import TableSpec, read_table, write_layouts, write_table
 from convoy.plans import deliveries as dl
 from convoy.plans import fleet as fl
+from convoy.session import staging
 
 # Table specs of the scaled pipeline: name -> (record key, ordering field, partitions, cluster).
 RAW_LAYOUTS = {
@@ -56,6 +57,11 @@ def publish_deliveries(
     bucket_seconds: float = dl.DEFAULT_BUCKET_SECONDS,
 ) -> dict[str, str]:
     """bronze (three layouts of the enriched orders, pending orders) -> silver -> gold."""
+    with staging(spark):
+        return _publish_deliveries(spark, shipments, telemetry, root, bucket_seconds)
+
+
+def _publish_deliveries(spark, shipments, telemetry, root, bucket_seconds) -> dict[str, str]:
     paths = write_layouts(
         dl.enriched_orders(shipments, telemetry, bucket_seconds), RAW_LAYOUTS, f"{root.rstrip('/')}/bronze_layer"
     )
@@ -84,6 +90,11 @@ def publish_fleet(
     as_of: str = fl.DAILY_AS_OF,
 ) -> dict[str, str]:
     """bronze_layer -> silver (transit, successful) -> gold (daily, speeding, finances, alerts)."""
+    with staging(spark):
+        return _publish_fleet(spark, parcels, samples, root, bucket_seconds, as_of)
+
+
+def _publish_fleet(spark, parcels, samples, root, bucket_seconds, as_of) -> dict[str, str]:
     paths: dict[str, str] = {}
 
     def put(df: DataFrame, layer: str, name: str) -> DataFrame:

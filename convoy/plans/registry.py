@@ -22,7 +22,7 @@ from convoy.plans import deliveries as dl
 from convoy.plans import fleet as fl
 from convoy.plans import oracles as oq
 from convoy.plans.publish import RAW_LAYOUTS
-from convoy.session import checkpoint_root, materialize, workspace
+from convoy.session import checkpoint_root, materialize, staging, workspace
 from convoy.sources import files
 from convoy.sources import fixtures as fx
 
@@ -162,12 +162,13 @@ def q_table_replace(spark, sf):
 
 
 def q_table_upsert(spark, sf):
-    silver, _ = materialize(_silver(spark, sf), "silver_source")
-    path = write_table(silver, SILVER_SPEC, workspace(spark, "orders"))
-    # the batch comes from the source, never lazily from the files the upsert replaces
-    batch = restamped(silver)
-    write_table(batch, SILVER_SPEC, path, "upsert")
-    write_table(batch, SILVER_SPEC, path, "upsert")  # idempotent: same batch twice = once
+    with staging(spark):
+        silver, _ = materialize(_silver(spark, sf), "silver_source")
+        path = write_table(silver, SILVER_SPEC, workspace(spark, "orders"))
+        # the batch comes from the source, never lazily from the files the upsert replaces
+        batch = restamped(silver)
+        write_table(batch, SILVER_SPEC, path, "upsert")
+        write_table(batch, SILVER_SPEC, path, "upsert")  # idempotent: same batch twice = once
     return rounded(read_table(spark, path))
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -63,9 +64,27 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = workspace(spark, name)
     df.write.mode("overwrite").parquet(path)
+    _STAGES.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+_STAGES: dict[str, list[str]] = {}
+
+
+@contextmanager
+def staging(spark):
+    """Remove, on exit, the folders ``materialize`` staged inside the block.  Use it around a
+    job whose results are written out, once nothing lazy still reads the staged files."""
+    stages = _STAGES.setdefault(spark.sparkContext.applicationId, [])
+    start = len(stages)
+    try:
+        yield
+    finally:
+        for path in stages[start:]:
+            remove_path(spark, path)
+        del stages[start:]
+
+
 def remove_path(spark, path: str) -> None:
     """Delete a folder this library staged (Hadoop file system of the path)."""
     jvm = spark.sparkContext._jvm

@@ -38,3 +38,14 @@ def test_published_tables_equal_lazy_queries(spark, tmp_dir):
         "daily_status_counts_raw", "daily_status_counts_curated",
         "delivered_with_telemetry_raw", "delivered_with_telemetry_curated",
     }
+
+
+def test_staging_removes_stages(spark):
+    import os
+
+    from convoy.session import materialize, staging
+
+    with staging(spark):
+        df, path = materialize(spark.range(10), "t")
+        assert df.count() == 10 and os.path.exists(path.replace("file:", ""))
+    assert not os.path.exists(path.replace("file:", ""))
