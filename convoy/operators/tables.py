@@ -158,11 +158,18 @@ def read_table(spark: SparkSession, path: str, view: str | None = None, schema:
     return df
 
 
-def write_table(df: DataFrame, spec: TableSpec, path: str, mode: str = "replace") -> str:
-    """Write ``df`` as the table at ``path``: ``replace`` or ``upsert``; returns ``path``."""
+def write_table(
+    df: DataFrame, spec: TableSpec, path: str, mode: str = "replace", assume_unique: bool = False
+) -> str:
+    """Write ``df`` as the table at ``path``: ``replace`` or ``upsert``; returns ``path``.
+
+    ``assume_unique`` skips the latest-row-wins shuffle of a replace when the rows are unique by
+    key by construction (a filter or projection of a keyed table, or an aggregate grouped by
+    exactly the key); the caller vouches for it."""
     spark = df.sparkSession
     if mode == "replace":
-        _save(dedupe_latest(df, spec.unique_by, spec.order_by), spec, path, dynamic=False)
+        rows = df if assume_unique else dedupe_latest(df, spec.unique_by, spec.order_by)
+        _save(rows, spec, path, dynamic=False)
         _write_meta(spark, spec, df.schema, path)
         return path
     if mode != "upsert":
@@ -252,7 +259,8 @@ def write_layouts(df: DataFrame, specs: dict[str, TableSpec], root: str) -> dict
     source = None
     for name, spec in specs.items():
         path = f"{root.rstrip('/')}/{name}"
-        write_table(df if source is None else source, spec, path, "replace")
+        # copies of the first layout are unique by key already
+        write_table(df if source is None else source, spec, path, "replace", assume_unique=source is not None)
         if source is None:
             source = read_table(df.sparkSession, path)
         paths[name] = path

@@ -66,18 +66,20 @@ def _publish_deliveries(spark, shipments, telemetry, root, bucket_seconds) -> di
         dl.enriched_orders(shipments, telemetry, bucket_seconds), RAW_LAYOUTS, f"{root.rstrip('/')}/bronze_layer"
     )
 
-    def put(df: DataFrame, layer: str, name: str) -> DataFrame:
-        paths[name] = write_table(df, DELIVERY_SPECS[name], _path(root, layer, name))
+    def put(df: DataFrame, layer: str, name: str, unique: bool = False) -> DataFrame:
+        paths[name] = write_table(df, DELIVERY_SPECS[name], _path(root, layer, name), assume_unique=unique)
         return read_table(spark, paths[name])
 
+    # "unique": rows unique by the table key by construction (filters and projections of a
+    # keyed table, aggregates grouped by exactly the key), so the dedupe shuffle is skipped
     raw = read_table(spark, paths["raw_date_partition"])
     pending = put(dl.pending_orders(shipments), "bronze_layer", "pending_raw_date_partition")
     silver = put(dl.silver_orders(raw, pending), "silver_layer", "orders")
-    put(dl.ml_orders(raw), "silver_layer", "ml_orders")
-    compliance = put(dl.compliance_orders(raw), "silver_layer", "compliance_orders")
-    put(dl.sales_dashboard(silver), "gold_layer", "sales_dashboard")
-    put(dl.open_orders(silver), "gold_layer", "pending_orders_dashboard")
-    put(dl.compliance_check(compliance), "gold_layer", "compliance_check")
+    put(dl.ml_orders(raw), "silver_layer", "ml_orders", unique=True)
+    compliance = put(dl.compliance_orders(raw), "silver_layer", "compliance_orders", unique=True)
+    put(dl.sales_dashboard(silver), "gold_layer", "sales_dashboard", unique=True)
+    put(dl.open_orders(silver), "gold_layer", "pending_orders_dashboard", unique=True)
+    put(dl.compliance_check(compliance), "gold_layer", "compliance_check", unique=True)
     return paths
 
 
@@ -97,12 +99,13 @@ def publish_fleet(
 def _publish_fleet(spark, parcels, samples, root, bucket_seconds, as_of) -> dict[str, str]:
     paths: dict[str, str] = {}
 
-    def put(df: DataFrame, layer: str, name: str) -> DataFrame:
+    def put(df: DataFrame, layer: str, name: str, unique: bool = True) -> DataFrame:
         spec = TableSpec(name, FLEET_SPEC.keys, FLEET_SPEC.order_by, FLEET_SPEC.partition_by)
-        paths[name] = write_table(df, spec, _path(root, layer, name))
+        paths[name] = write_table(df, spec, _path(root, layer, name), assume_unique=unique)
         return read_table(spark, paths[name])
 
-    bronze = put(fl.bronze(parcels, samples, bucket_seconds), "bronze_layer", "bronze_layer")
+    # every table below bronze is a filter of a keyed table, so unique by order_id
+    bronze = put(fl.bronze(parcels, samples, bucket_seconds), "bronze_layer", "bronze_layer", unique=False)
     transit = put(fl.transit_orders(bronze), "silver_layer", "transit_orders")
     successful = put(fl.successful_orders(bronze), "silver_layer", "successful_orders")
     put(fl.daily_orders(bronze, as_of), "gold_layer", "daily_orders")
