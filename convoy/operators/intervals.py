@@ -145,13 +145,6 @@ def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, f
     return iv.join(pt, cond, how).select(*out)
 
 
-def window_means(
-    pairs: DataFrame, keys: Sequence[str], measures: Sequence[str], suffix: str = ""
-) -> DataFrame:
-    """Mean of each measure per group of ``keys`` (NULL measures are skipped)."""
-    return pairs.groupBy(*keys).agg(*[F.avg(m).alias(m + suffix) for m in measures])
-
-
 def window_enrich_left(
     intervals: DataFrame,
     points: DataFrame,
