@@ -26,3 +26,17 @@ def test_file_drops_upsert_in_order(spark, tmp_dir):
     upsert_stream(file_stream(spark, src, SCHEMA), SPEC, table, ckpt).awaitTermination()
     assert read_table(spark, table).count() == 3
     assert not os.path.exists(os.path.join(table, "order_status=in transit"))
+
+
+def test_processing_time_trigger(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    table, ckpt = os.path.join(tmp_dir, "table"), os.path.join(tmp_dir, "ckpt")
+    _drop(src, "a.csv", ["o1,pending,2024-01-01,", "o1,delivered,2024-01-03,V2"])
+    q = upsert_stream(file_stream(spark, src, SCHEMA), SPEC, table, ckpt, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = [(r["order_id"], r["order_status"], r["vehicle_id"]) for r in read_table(spark, table).collect()]
+    assert got == [("o1", "delivered", "V2")]  # latest row of the micro-batch wins
