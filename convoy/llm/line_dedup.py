@@ -41,11 +41,14 @@ def dropped_positions(
         .select("doc", "__r1", "__r2", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"))
     )
     lines = staged(lines, "lines")
-    shared = (
+    # a table of its own, so that the join below reads two plain exchanges, which adaptive
+    # execution can split at a hot key (an aggregate in the join's stage would forbid that)
+    shared = staged(
         lines.groupBy("h1", "h2")
         .agg(F.count_distinct("doc").alias("n"), F.max("doc").alias("keeper"))
         .where(F.col("n") >= min_docs)
-        .select("h1", "h2", "keeper")
+        .select("h1", "h2", "keeper"),
+        "shared_lines",
     )
     return (
         lines.join(shared, ["h1", "h2"])
