@@ -5,10 +5,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from convoy.llm import bpe, line_dedup, mixing, quality_rules, secrets, simhash
+from convoy.llm import bpe, embedding_dedup, line_dedup, mixing, quality_rules, secrets, simhash
 from convoy.llm.common import table
-from pyspark.sql import functions as F
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -18,6 +18,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("rejected_by")
 
@@ -41,6 +45,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op6_bpe": op6_bpe,
     "op7_secrets": op7_secrets,
