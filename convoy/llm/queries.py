@@ -4,11 +4,22 @@ and their SQL twins where SQL can express the operator."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convoy.llm import bpe, embedding_dedup, line_dedup, mixing, quality_rules, secrets, simhash
-from convoy.llm.common import table
+from convoy.llm import (
+    bpe,
+    ctw,
+    embedding_dedup,
+    line_dedup,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    simhash,
+    toxicity,
+)
+from convoy.llm.common import fold_of, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -26,6 +37,30 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text").join(table(spark, sf_dir, "labels"), "doc_id")
+
+
+def _predicted(scored: DataFrame, held_out: Column) -> DataFrame:
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold_of(F.col("doc_id"), 3) == 1
+    lexicon = toxicity.learn(_labelled(spark, sf_dir).where(~held_out), "text", "toxic", F.xxhash64("doc_id"))
+    return _predicted(toxicity.score(table(spark, sf_dir, "documents"), lexicon), held_out)
+
+
+def op5_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold_of(F.col("doc_id"), 5) == 1
+    out = ctw.score(table(spark, sf_dir, "documents"), ~held_out)
+    return out.select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.query(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN)
 
@@ -34,6 +69,12 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents")).drop("n_entropy")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold_of(F.col("doc_id"), 4) == 2
+    model = quality_classifier.learn(_labelled(spark, sf_dir).where(~held_out), "text", "quality", F.xxhash64("doc_id"))
+    return _predicted(quality_classifier.score(table(spark, sf_dir, "documents"), model), held_out)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "__lines.n_lines", "__lines.n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
@@ -47,8 +88,11 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op4_toxicity": op4_toxicity,
+    "op5_ctw": op5_ctw,
     "op6_bpe": op6_bpe,
     "op7_secrets": op7_secrets,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
 }
