@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from convoy.llm.common import WHITE, col, staged
 
 #: Rows on which costs and selectivities are estimated.
-SAMPLE = 512
+SAMPLE = 256
 MIN_WORDS, WINDOW = 10, 5
 MAX_REPEAT_PERCENT = 20
 
@@ -110,11 +110,15 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def order_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> list[tuple[str, float, float]]:
+def order_rules(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> list[tuple[str, float, float]]:
     """[(rule, share rejected, seconds)] in the order of the cascade, from a bounded sample.
 
-    The sample's figures are staged once, so a rule's time is that of the rule alone."""
-    rows = staged(figures(docs.limit(sample), id_col, text_col), "rules_sample").where(~base_failed())
+    The rows are the first that the driver takes, which reads no more partitions than it needs (a
+    limit inside a plan would take as many rows of every partition).  The sample's figures are
+    staged once, so a rule's time is that of the rule alone."""
+    taken = docs.select(col(text_col).cast("string").alias("text")).limit(sample).collect()
+    texts = docs.sparkSession.createDataFrame(taken, "text string").withColumn("id", F.lit(0))
+    rows = staged(figures(texts, "id", "text"), "rules_sample").where(~base_failed())
     measured = []
     for name, rejects in RULES.items():
         began = time.perf_counter()
@@ -126,7 +130,7 @@ def order_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: list[str] | None = None) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
     rejected_by) of every row; ``order`` fixes the cascade instead of measuring it."""
-    names = order or [name for name, _, _ in order_rules(docs, id_col, text_col)]
+    names = order or [name for name, _, _ in order_rules(docs, text_col)]
     cascade = F.when(base_failed(), F.lit("base"))
     for name in names:
         cascade = cascade.when(RULES[name](), F.lit(name))
@@ -145,7 +149,7 @@ def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     The row rides along as a struct, so no join brings the figures back to their rows."""
     whole = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(text_col).alias("text"))
-    judged = judge(whole, "row", "text", [n for n, _, _ in order_rules(whole, "row", "text")])
+    judged = judge(whole, "row", "text", [n for n, _, _ in order_rules(whole, "text")])
     # a plain filter would be pushed below the staged projections, which repeats their work for
     # each use; a filter on what a generator returns stays above them
     kept = judged.select(F.explode_outer(F.when(F.col("kept"), F.array("doc_id"))).alias("row")).where("row is not null")
