@@ -220,6 +220,8 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, distanc
     named = member.join(distinct, "fp").groupBy("root").agg(F.min("first").alias("component"))
     known = member.join(named, "root").select("fp", "component")
     label = distinct.join(known, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id"))
+    # a table of its own, so that the join below reads two plain exchanges and can split a hot fingerprint
+    label = staged(label, "labels")
     return fps.join(label, "fp").select("doc_id", "text_key", "fp", "component_id")
 
 
