@@ -40,7 +40,11 @@ DEPTH = 5
 #: Bounds on what is broadcast: nodes and tokens.
 NODES, HEAD = 1 << 21, 1 << 17
 #: Bytes counted or scored at a time.
-BLOCK = 1 << 22
+BLOCK = 1 << 20
+#: Scored grams that a Python worker remembers.
+MEMO = 1 << 20
+#: New grams whose contexts are walked at a time.
+CHUNK = 1 << 16
 END = b"\n"
 _LN2 = float(np.log(2.0))
 
@@ -49,34 +53,34 @@ def stream(text: bytes | None) -> bytes:
     return b" ".join(lower_words(text)) + END
 
 
-def _blocks(texts: Iterator[bytes | None], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(grams, owner): gram = the context bytes, nearest first, then the byte; owner = the text's
-    place.  A text's first contexts are end bytes."""
-    held, size = [], 0
+def _blocks(streams: Iterator[bytes], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(grams, owner) of texts' streams: gram = the context bytes, nearest first, then the byte;
+    owner = the text's place.  A text's first contexts are end bytes."""
+    lead, held, size = END * depth, [], 0
 
     def grams(parts):
-        buffer = np.frombuffer(b"".join(END * depth + p for _, p in parts), np.uint8)
-        lengths = np.array([len(p) for _, p in parts])
-        starts = np.cumsum(lengths + depth) - lengths
-        at = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-        key = np.zeros(len(at), np.uint64)
-        for k in range(1, depth + 1):
-            key = (key << np.uint64(8)) | buffer[at - k]
-        return (key << np.uint64(8)) | buffer[at], np.repeat([o for o, _ in parts], lengths)
-
-    for owner, text in enumerate(texts):
-        data = stream(text)
-        for s in range(0, len(data), BLOCK):  # a piece of a long text keeps its context
-            piece = data[max(0, s - depth) : s + BLOCK]
-            if s:  # the context is inside the text: count the piece alone, without its lead
-                g, o = grams([(owner, piece)])
-                yield g[min(depth, s) :], o[min(depth, s) :]
-            else:
-                held.append((owner, piece))
-                size += len(piece)
-        if size >= BLOCK:
-            yield grams(held)
-            held, size = [], 0
+        """parts: (owner, lead and bytes); the lead only serves as context."""
+        buffer = np.frombuffer(b"".join([p for _, p in parts]), np.uint8).astype(np.uint64)
+        n = len(buffer) - depth
+        key = buffer[depth - 1 : depth - 1 + n].copy()
+        for k in range(2, depth + 1):
+            key = (key << np.uint64(8)) | buffer[depth - k : depth - k + n]
+        key = (key << np.uint64(8)) | buffer[depth:]
+        lengths = np.array([len(p) for _, p in parts]) - depth
+        counted = np.ones(n, bool)
+        for start in (np.cumsum(lengths + depth) - depth)[:-1]:  # the leads of all but the first
+            counted[start : start + depth] = False
+        return key[counted], np.repeat([o for o, _ in parts], lengths)
+
+    for owner, data in enumerate(streams):
+        data = lead + data
+        for s in range(depth, len(data), BLOCK):  # a piece of a long text has the bytes before it as lead
+            piece = data[s - depth : s + BLOCK]
+            held.append((owner, piece))
+            size += len(piece)
+            if size >= BLOCK:
+                yield grams(held)
+                held, size = [], 0
     if held:
         yield grams(held)
 
@@ -99,12 +103,12 @@ def count_grams(texts: DataFrame, depth: int) -> DataFrame:
         def out(keys, counts):
             return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["gram", "n"])
 
-        for grams, _ in _blocks((x.as_py() for batch in batches for x in batch.column(0)), depth):
+        for grams, _ in _blocks((stream(x.as_py()) for batch in batches for x in batch.column(0)), depth):
             keys, counts = np.unique(grams, return_counts=True)
             parts.append((keys, counts.astype(np.int64)))
-            if sum(len(k) for k, _ in parts) > BLOCK:
+            if sum(len(k) for k, _ in parts) > 4 * BLOCK:
                 parts = [_merged(parts)]
-                if len(parts[0][0]) > BLOCK // 2:
+                if len(parts[0][0]) > 2 * BLOCK:
                     yield out(*parts[0])
                     parts = []
         if parts:
@@ -163,44 +167,79 @@ def _weigh(grams: np.ndarray, counts: np.ndarray, depth: int, top: int) -> list[
     return out
 
 
-class Tree:
-    """The broadcast nodes as a hash table: key -> (probability of a one, beta)."""
+_FREE = np.uint64(2**64 - 1)
 
-    def __init__(self, keys: np.ndarray, p: np.ndarray, beta: np.ndarray, depth: int):
-        self.depth = depth
-        self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys))))) + 1)
-        size = 1 << self.bits
-        self.keys = np.full(size, np.uint64(2**64 - 1))
-        self.values = np.zeros((size, 2), np.float32)
-        at, left = self._slot(keys), np.arange(len(keys))
+
+class Table:
+    """A fixed-size hash table in arrays: unsigned keys to rows of numbers, by linear probing."""
+
+    def __init__(self, capacity: int, width: int, kind):
+        self.bits = max(4, int(np.ceil(np.log2(max(1, capacity)))) + 1)
+        self.room = capacity
+        self.keys = np.full(1 << self.bits, _FREE)
+        self.values = np.zeros((1 << self.bits, width), kind)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Distinct new keys; those beyond the capacity are left out."""
+        keys, values = keys[: self.room], values[: self.room]
+        self.room -= len(keys)
+        at, left = self._slots(keys), np.arange(len(keys))
         while len(left):
-            free = self.keys[at] == np.uint64(2**64 - 1)
+            free = self.keys[at] == _FREE
             self.keys[at[free]] = keys[left[free]]  # of several at one slot the last stays
             mine = self.keys[at] == keys[left]
-            self.values[at[mine], 0], self.values[at[mine], 1] = p[left[mine]], beta[left[mine]]
-            at, left = (at[~mine] + 1) & (size - 1), left[~mine]
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+            self.values[at[mine]] = values[left[mine]]
+            at, left = (at[~mine] + 1) & (len(self.keys) - 1), left[~mine]
 
     def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(found, [n, 2] values)"""
-        at, size = self._slot(keys), len(self.keys)
+        """(found, values)"""
+        at = self._slots(keys)
         there = self.keys[at]
         found = there == keys
-        left = np.flatnonzero(~found & (there != np.uint64(2**64 - 1)))
+        left = np.flatnonzero(~found & (there != _FREE))
         while len(left):
-            at[left] = (at[left] + 1) & (size - 1)
+            at[left] = (at[left] + 1) & (len(self.keys) - 1)
             there = self.keys[at[left]]
             found[left] = there == keys[left]
-            left = left[(there != keys[left]) & (there != np.uint64(2**64 - 1))]
+            left = left[(there != keys[left]) & (there != _FREE)]
         return found, self.values[at]
 
+
+class Tree:
+    """The broadcast nodes: key -> (probability of a one, beta).  What travels are the plain
+    arrays; a worker builds the table, and a memo of scored grams, at its first use."""
+
+    def __init__(self, keys: np.ndarray, p: np.ndarray, beta: np.ndarray, depth: int):
+        self.nodes, self.depth = (keys, p.astype(np.float32), beta.astype(np.float32)), depth
+        self.table = self.memo = None
+
+    def __getstate__(self):
+        return {"nodes": self.nodes, "depth": self.depth, "table": None, "memo": None}
+
     def log10(self, grams: np.ndarray) -> np.ndarray:
         """log10 P(byte | context) of every gram."""
+        if self.table is None:
+            (keys, p, beta), self.nodes = self.nodes, None
+            self.table, self.memo = Table(len(keys), 2, np.float32), Table(MEMO, 1, np.float64)
+            self.table.put(keys, np.stack([p, beta], axis=1))
+        known, values = self.memo.get(grams)
+        values = values[:, 0]
+        if not known.all():
+            fresh, inverse = np.unique(grams[~known], return_inverse=True)
+            computed = np.concatenate([self._mixed(fresh[s : s + CHUNK]) for s in range(0, len(fresh), CHUNK)])
+            values[~known] = computed[inverse]
+            self.memo.put(fresh, computed[:, None])
+        return values
+
+    def _mixed(self, grams: np.ndarray) -> np.ndarray:
+        """The same for distinct grams, walked from depth 0 down, each context once per depth."""
         d_bits = np.uint64(8 * self.depth)
         order = ((grams & np.uint64(255)) << d_bits) | (grams >> np.uint64(8))  # byte first, then nearest context
-        unique, inverse = np.unique(order, return_inverse=True)
+        place = np.argsort(order)
+        unique = order[place]
         index = np.zeros(len(unique), np.int64)
         mixed, left, last = np.zeros((1, 8)), np.ones((1, 8)), np.full((1, 8), 0.5)
         for d in range(self.depth + 1):
@@ -211,7 +250,7 @@ class Tree:
             part = part[first]
             contexts = part & np.uint64((1 << (8 * d)) - 1)
             keys, bits = _bit_nodes(contexts, part >> np.uint64(8 * d))
-            found, value = self.get((keys | _tag(d)).ravel())
+            found, value = self.table.get((keys | _tag(d)).ravel())
             found, p, beta = found.reshape(-1, 8), value[:, 0].reshape(-1, 8).astype(float), value[:, 1].reshape(-1, 8).astype(float)
             p = np.where(bits, p, 1.0 - p)
             mixed, left, last = mixed[parent], left[parent], last[parent]
@@ -220,7 +259,9 @@ class Tree:
             mixed = np.where(found, mixed + (left - share) * p, last)
             left = np.where(found, share, 0.0)
             last = np.where(found, ends, last)
-        return np.log10(last).sum(axis=1)[index][inverse]
+        out = np.empty(len(grams))
+        out[place] = np.log10(last).sum(axis=1)[index]
+        return out
 
 
 def heaviest(df: DataFrame, weight: Column, limit: int) -> DataFrame:
@@ -274,7 +315,7 @@ def train(texts: DataFrame, depth: int = DEPTH, nodes: int = NODES) -> Tree:
     deep = deep.toArrow()
     keys = np.concatenate([n0 | _tag(0), n1 | _tag(1), deep["node"].to_numpy().view(np.uint64)])
     p = np.concatenate([(o0 + 0.5) / (z0 + o0 + 1), (o1 + 0.5) / (z1 + o1 + 1), deep["p"].to_numpy()])
-    return Tree(keys, p.astype(np.float32), np.concatenate([b0, b1, deep["beta"].to_numpy()]).astype(np.float32), depth)
+    return Tree(keys, p, np.concatenate([b0, b1, deep["beta"].to_numpy()]), depth)
 
 
 def count_tokens(texts: DataFrame) -> DataFrame:
@@ -321,21 +362,22 @@ def score(
         tree, frequent = sent.value
         get = frequent.get
         for batch in batches:
-            texts = batch.column(2)
-            n = len(texts)
+            tokens, sums, rest, n = [], [], [], len(batch)
             scores, sizes = np.zeros(n), np.zeros(n, np.int64)
-            for grams, owner in _blocks((x.as_py() for x in texts), tree.depth):
+
+            def streams(texts, tokens=tokens, sums=sums, rest=rest):
+                for x in texts:
+                    words = lower_words(x.as_py())
+                    yield b" ".join(words) + END
+                    words.append(END)
+                    logs = list(map(get, words))
+                    tokens.append(len(words))
+                    rest.append([w for w, v in zip(words, logs, strict=True) if v is None] if None in logs else [])
+                    sums.append(sum(filter(None, logs)))
+
+            for grams, owner in _blocks(streams(batch.column(2)), tree.depth):
                 scores += np.bincount(owner, tree.log10(grams), n)
                 sizes += np.bincount(owner, minlength=n)
-            tokens, sums, rest = [], [], []
-            for x in texts:
-                words = lower_words(x.as_py())
-                words.append(END)
-                logs = list(map(get, words))
-                tokens.append(len(words))
-                rare = [w for w, v in zip(words, logs, strict=True) if v is None] if None in logs else []
-                sums.append(sum(filter(None, logs)))
-                rest.append(rare)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1), pa.array(tokens, pa.int64()), pa.array(sums, pa.float64()),
