@@ -31,6 +31,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)[0]
 
 
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label_col: str, training: Column, sample: int, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(id, text, label double): at most ``sample`` labelled rows, the smallest by a hash of their
+    ids among the labels 0 or 1 for which ``training`` (over ``labels``) holds.
+
+    Ids are chosen from the labels alone; the bounded list is broadcast to the documents, so no
+    text is shuffled before the sample is drawn.  Of rows that repeat an id one is used."""
+    chosen = (
+        labels.where(training & col(label_col).isin(0, 1))
+        .groupBy(col(id_col).alias("id"))
+        .agg(F.max(col(label_col)).cast("double").alias("label"))
+        .where("id is not null")
+        .orderBy(F.xxhash64("id"), "id")
+        .limit(sample)
+    )
+    chosen = staged(chosen, "label_sample")
+    texts = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
+    found = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.max("text").alias("text"), F.first("label").alias("label"))
+    return staged(found.repartition(16, "id"), "labelled_texts")
+
+
 def lower_words(text: bytes | None) -> list[bytes]:
     """Words of a UTF-8 text with A-Z lowered; bytes.lower and bytes.split know ASCII only, so
     the separators are exactly space and tab to carriage return."""

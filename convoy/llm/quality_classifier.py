@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convoy.llm.common import col, staged
@@ -111,9 +111,8 @@ def _stats_of(column) -> np.ndarray:
     return np.array([statistics(x.as_py()) for x in column], float).reshape(-1, N_STATS)
 
 
-def learn(
-    labelled: DataFrame, text_col: str, label_col: str, order: Column, sample: int = SAMPLE, seed: int = 42
-) -> Model:
+def learn(rows: DataFrame, seed: int = 42) -> Model:
+    """A model from a bounded sample of labelled rows (id, text, label 0 or 1)."""
     rng = np.random.default_rng(seed)
     frequencies = rng.normal(size=(N_STATS, FEATURES)) / WIDTH
     phases = rng.uniform(0, 2 * np.pi, FEATURES)
@@ -125,10 +124,7 @@ def learn(
                 [pa.array(list(values), pa.list_(pa.float64())), batch.column(1), batch.column(2)], ["stats", "y", "o"]
             )
 
-    rows = labelled.where(col(label_col).isin(0, 1)).select(
-        col(text_col).cast("string").cast("binary").alias("text"), col(label_col).cast("double").alias("y"), order.alias("o")
-    )
-    rows = rows.orderBy("o").limit(sample).repartition(16, "o")
+    rows = rows.select(F.col("text").cast("binary").alias("text"), F.col("label").alias("y"), F.xxhash64("id").alias("o"))
     rows = staged(rows.mapInArrow(stats, "stats array<double>, y double, o long"), "quality_sample")
     moments = rows.agg(
         F.avg("y").alias("y"),

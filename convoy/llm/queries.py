@@ -19,7 +19,7 @@ from convoy.llm import (
     simhash,
     toxicity,
 )
-from convoy.llm.common import fold_of, table
+from convoy.llm.common import fold_of, labelled_sample, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -37,8 +37,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
-def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text").join(table(spark, sf_dir, "labels"), "doc_id")
+def _sample(spark: SparkSession, sf_dir: str, label: str, training: Column, size: int) -> DataFrame:
+    return labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), label, training, size)
 
 
 def _predicted(scored: DataFrame, held_out: Column) -> DataFrame:
@@ -49,7 +49,7 @@ def _predicted(scored: DataFrame, held_out: Column) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold_of(F.col("doc_id"), 3) == 1
-    lexicon = toxicity.learn(_labelled(spark, sf_dir).where(~held_out), "text", "toxic", F.xxhash64("doc_id"))
+    lexicon = toxicity.learn(_sample(spark, sf_dir, "toxic", ~held_out, toxicity.SAMPLE))
     return _predicted(toxicity.score(table(spark, sf_dir, "documents"), lexicon), held_out)
 
 
@@ -71,7 +71,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold_of(F.col("doc_id"), 4) == 2
-    model = quality_classifier.learn(_labelled(spark, sf_dir).where(~held_out), "text", "quality", F.xxhash64("doc_id"))
+    model = quality_classifier.learn(_sample(spark, sf_dir, "quality", ~held_out, quality_classifier.SAMPLE))
     return _predicted(quality_classifier.score(table(spark, sf_dir, "documents"), model), held_out)
 
 
