@@ -14,9 +14,10 @@ smoothed log-odds.  A word beginning replaces the words it starts when it explai
 than any of them.  Exception phrases, given and learned (words that begin like an entry and are
 as frequent in clean texts), are matched too, and a match inside one does not count.
 
-Score.  The weights of the matches are summed and divided by a slowly growing function of the
-text's length; a logistic curve fitted on the same sample maps that to 0..1.  Matching is linear
-in the text; matches come out in one pass over whole texts.
+Score.  The weights of the matches are summed and normalised by length (weight per hundred words,
+on a logarithmic scale, beside the logarithm of the sum itself); a logistic curve fitted on the
+same sample maps both to 0..1.  Matching is linear in the text; matches come out in one pass over
+whole texts.
 
 Cases: NULL or empty text has no match and gets the score of a clean text; without labelled rows,
 or with one class only, the lexicon is empty and every score is 0.
@@ -33,7 +34,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convoy.llm.common import col, staged
@@ -86,8 +87,7 @@ def folded_words(text: str | None) -> list[str]:
 class Lexicon:
     weights: dict[str, float] = field(default_factory=dict)  # word "loser" or beginning "vequ*"
     exceptions: set[str] = field(default_factory=set)  # folded phrases
-    slope: float = 0.0
-    offset: float = -20.0
+    curve: tuple[float, float, float] = (0.0, 0.0, -20.0)  # of the density, of the sum, constant
 
     def __post_init__(self):
         self.automaton = None
@@ -105,13 +105,14 @@ class Lexicon:
         if len(self.automaton):
             self.automaton.make_automaton()
 
-    def evidence(self, text: str | None) -> tuple[float, int]:
-        """(weight per length, matches) of a text; the longest match at a place counts."""
+    def evidence(self, text: str | None) -> tuple[float, float, int]:
+        """(log weight per hundred words, log weight, matches) of a text; the longest match at a
+        place counts."""
         if self.automaton is None:
             self.build()
         words = folded_words(text)
         if not words or not len(self.automaton):
-            return 0.0, 0
+            return 0.0, 0.0, 0
         best: dict[int, tuple[int, float]] = {}  # start -> (length, weight)
         for end, (length, weight) in self.automaton.iter(f" {' '.join(words)} "):
             start = end - length + 1
@@ -124,11 +125,15 @@ class Lexicon:
                 clear = max(clear, start + length - 1)  # matches before this place are inside an exception
             elif start >= clear:
                 total, hits = total + weight, hits + 1
-        return total / (1.0 + 0.1 * math.log1p(len(words))), hits
+        return math.log1p(100.0 * total / len(words)), math.log1p(total), hits
+
+    def scores(self, evidence: np.ndarray) -> np.ndarray:
+        """[n, 2] densities and sums to scores."""
+        z = evidence @ np.array(self.curve[:2]) + self.curve[2]
+        return 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
 
     def score(self, text: str | None) -> float:
-        z = self.slope * self.evidence(text)[0] + self.offset
-        return 1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, z))))
+        return float(self.scores(np.array([self.evidence(text)[:2]]))[0])
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,28 +155,23 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Ridge-stabilised logistic curve in one variable, by Newton steps."""
-    a = np.stack([x, np.ones_like(x)], axis=1)
-    w = np.zeros(2)
-    for _ in range(50):
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Ridge-stabilised logistic regression by Newton steps; the constant comes last."""
+    a = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    w, ridge = np.zeros(a.shape[1]), np.full(a.shape[1], 1e-2)
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        h = (a * (p * (1 - p))[:, None]).T @ a + np.diag([1e-3, 1e-3])
-        step = np.linalg.solve(h, a.T @ (y - p) - 1e-3 * w)
+        h = (a * (p * (1 - p))[:, None]).T @ a + np.diag(ridge)
+        step = np.linalg.solve(h, a.T @ (y - p) - ridge * w)
         w += np.clip(step, -4, 4)
         if np.abs(step).max() < 1e-8:
             break
-    return float(w[0]), float(w[1])
+    return w
 
 
-def learn(
-    labelled: DataFrame, text_col: str, label_col: str, order: Column, sample: int = SAMPLE, exceptions: Sequence[str] = ()
-) -> Lexicon:
-    """A lexicon from ``labelled`` rows (label 0 or 1), at most ``sample`` of them in ``order``."""
-    rows = labelled.where(col(label_col).isin(0, 1)).select(
-        col(text_col).alias("text"), col(label_col).cast("long").alias("toxic"), order.alias("o")
-    )
-    rows = staged(rows.orderBy("o").limit(sample).repartition(16, "o").select("text", "toxic"), "toxic_sample")
+def learn(rows: DataFrame, exceptions: Sequence[str] = ()) -> Lexicon:
+    """A lexicon from a bounded sample of labelled rows (text, label 0 or 1)."""
+    rows = rows.select("text", F.col("label").cast("long").alias("toxic"))
     spotted = rows.mapInArrow(_candidates, "term string, before string, toxic long").distinct()
     terms = spotted.groupBy("term").agg(
         F.sum("toxic").cast("double").alias("t"), F.sum(1 - F.col("toxic")).cast("double").alias("n")
@@ -219,24 +219,23 @@ def learn(
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [lexicon.evidence(x.as_py())[0] for x in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.float64()), batch.column(1)], ["x", "y"])
+            found = np.array([lexicon.evidence(x.as_py())[:2] for x in batch.column(0)], float).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), batch.column(1)], ["d", "w", "y"])
 
-    fitted = rows.mapInArrow(evidence, "x double, y long").toArrow()
-    slope, offset = _logistic(fitted["x"].to_numpy(), fitted["y"].to_numpy().astype(float))
-    return Lexicon(kept, given | clean, slope, offset)
+    fitted = rows.mapInArrow(evidence, "d double, w double, y long").toArrow()
+    curve = _logistic(np.stack([fitted["d"].to_numpy(), fitted["w"].to_numpy()], axis=1), fitted["y"].to_numpy().astype(float))
+    return Lexicon(kept, given | clean, tuple(curve.tolist()))
 
 
 def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, n_matches) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Lexicon(lexicon.weights, lexicon.exceptions, lexicon.slope, lexicon.offset)
+        own = Lexicon(lexicon.weights, lexicon.exceptions, lexicon.curve)
         for batch in batches:
-            found = [own.evidence(x.as_py()) for x in batch.column(1)]
-            z = np.clip(own.slope * np.array([f[0] for f in found], float) + own.offset, -60, 60)
+            found = np.array([own.evidence(x.as_py()) for x in batch.column(1)], float).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(1 / (1 + np.exp(-z))), pa.array([f[1] for f in found], pa.int64())],
+                [batch.column(0), pa.array(own.scores(found[:, :2])), pa.array(found[:, 2].astype(np.int64))],
                 ["doc_id", "score", "n_matches"],
             )
 
