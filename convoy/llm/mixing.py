@@ -187,7 +187,7 @@ def mix(
 
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 42, **options) -> DataFrame:
     """The documents of the mix: every row of ``docs`` as often as it is taken."""
-    taken = mix(docs, id_col, text_col, seed=seed, **options).where("copies > 0")
+    taken = staged(mix(docs, id_col, text_col, seed=seed, **options).where("copies > 0"), "mix_taken")
     # rows that agree in id and text are one key; their copies are dealt out in rank order
     ids = taken.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list("copies"), asc=False).alias("__copies"))
     key = F.xxhash64(F.lit(seed), col(id_col), col(text_col))
