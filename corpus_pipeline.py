@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from convoy.llm import bpe, line_dedup, mixing, quality_rules, simhash
-from convoy.llm.common import staged, table
+from convoy.llm.common import col, staged, table
 from convoy.llm.queries import PATTERN, VOCABULARY
 
 
@@ -22,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose the lines that three or more documents share (one document keeps them)."""
-    return line_dedup.dedup_lines(docs).select(*docs.columns)
+    return line_dedup.dedup_lines(docs).select(*[col(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
