@@ -25,26 +25,49 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, IntegralType, NumericType, TimestampNTZType, TimestampType
 
 from convoy.functions.time import timestamp_micros_sql
 
 _SECOND_US = 1_000_000
 
 
-def _ordinal(schema, name: str) -> tuple[str, int]:
-    """SQL text of a monotone long view of a time or numeric column, and its unit per second."""
+def _kind(*types) -> str:
+    """The common kind of interval bounds and points.  Dates compare as their midnight with
+    timestamps; zoned and zone-free timestamps have no order without a session zone, so they
+    (and time with numbers) do not mix."""
+    kinds = set()
+    for dt in types:
+        for known, kind in ((TimestampNTZType, "ntz"), (TimestampType, "zoned"), (DateType, "date"), (NumericType, "number")):
+            if isinstance(dt, known):
+                kinds.add(kind)
+                break
+        else:
+            raise TypeError(f"interval bounds of type {dt} are not supported")
+    if len(kinds) == 2 and "date" in kinds and "number" not in kinds:
+        kinds.discard("date")
+    if len(kinds) != 1:
+        raise TypeError(f"interval bounds and points of different kinds: {sorted(kinds)}")
+    return kinds.pop()
+
+
+def _ordinal(schema, name: str, kind: str) -> tuple[str, float]:
+    """SQL text of a monotone number that stands for a column of the kind, and its units per
+    second; equal values of any column of the kind have equal numbers."""
     dt = schema[name].dataType
     c = f"`{name}`"
-    if isinstance(dt, TimestampNTZType):
+    if kind == "ntz":
+        if isinstance(dt, DateType):
+            return f"(cast(unix_date({c}) AS bigint) * 86400000000L)", _SECOND_US
         return timestamp_micros_sql(name), _SECOND_US
-    if isinstance(dt, TimestampType):
-        return f"unix_micros({c})", _SECOND_US
-    if isinstance(dt, DateType):
-        return f"cast(unix_date({c}) AS bigint)", 1
-    if isinstance(dt, NumericType):
+    if kind == "zoned":
+        return f"unix_micros(cast({c} AS timestamp))", _SECOND_US
+    if kind == "date":
+        return f"cast(unix_date({c}) AS bigint)", 1 / 86_400
+    if isinstance(dt, IntegralType):
         return c, 1
-    raise TypeError(f"interval bound {name} has unsupported type {dt}")
+    # fractions: as doubles, and within the span of the coarsest bucket (open ends are infinite)
+    return f"greatest(least(cast({c} AS double), 4e18D), -4e18D)", 1
 
 
 def _widths(width: int, fanout: int) -> list[int]:
@@ -109,8 +132,9 @@ def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, f
     iv = intervals.filter(valid)
 
     ischema = intervals.schema
-    lo, unit = _ordinal(ischema, start)
-    hi, _ = _ordinal(ischema, end)
+    kind = _kind(ischema[start].dataType, ischema[end].dataType, p.schema[at].dataType)
+    lo, unit = _ordinal(ischema, start, kind)
+    hi, _ = _ordinal(ischema, end, kind)
     width = max(1, int(round(bucket_seconds * unit)))
     widths = _widths(width, fanout)
     width_of = "array(" + ", ".join(f"{w}L" for w in widths) + ")"
@@ -120,14 +144,14 @@ def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, f
         f"WHEN floor({hi} / {w}L) - floor({lo} / {w}L) < {fanout} THEN {i}" for i, w in enumerate(widths[:-1])
     ) + f" ELSE {len(widths) - 1} END" if len(widths) > 1 else "0"
     iv = iv.withColumn("__i_lvl", F.expr(f"cast({level} AS int)"))
-    w_iv = f"element_at({width_of}, __i_lvl + 1)"
-    iv = iv.withColumn("__i_bkt", F.expr(f"explode(sequence(floor({lo} / {w_iv}), floor({hi} / {w_iv})))"))
-
     # levels in use (a handful of values at most): points are bucketed once per level in use,
     # which is a single level unless some interval is more than `fanout` buckets long
     in_use = iv.select(F.collect_set("__i_lvl").alias("l")).scalar()
+    w_iv = f"element_at({width_of}, __i_lvl + 1)"
+    iv = iv.withColumn("__i_bkt", F.expr(f"explode(sequence(floor({lo} / {w_iv}), floor({hi} / {w_iv})))"))
+
     pt = p.filter(" AND ".join([f"`{at}` IS NOT NULL"] + [f"`__p_{k}` IS NOT NULL" for k in on]))
-    t, _ = _ordinal(p.schema, at)
+    t, _ = _ordinal(p.schema, at, kind)
     all_levels = F.expr("array(" + ", ".join(str(i) for i in range(len(widths))) + ")")
     pt = pt.withColumn("__p_lvl", F.explode(F.array_intersect(all_levels, in_use)))
     pt = pt.withColumn("__p_bkt", F.expr(f"floor({t} / element_at({width_of}, __p_lvl + 1))"))

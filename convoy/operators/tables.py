@@ -4,8 +4,8 @@ A table is described by a frozen ``TableSpec``: record key, ordering ("precombin
 Hive-style partition columns and the key scope.  Writes are deterministic:
 
 * ``dedupe_latest`` keeps, per key, the row with the largest ordering value; ties are broken
-  by the remaining columns, so the same input always gives the same table.  It is a hash
-  aggregate (max over a struct), so duplicates are combined map-side before the shuffle and
+  by the remaining columns, so the same input always gives the same table.  It is a maximum
+  over a struct (a sort aggregate, partial and final), so duplicates are combined map-side before the shuffle and
   a key holding a third of all rows never lands whole in one task.
 * ``replace`` de-duplicates the batch and overwrites the table.
 * ``upsert`` merges the batch into the table: the rows of the touched partitions (and, with
@@ -174,8 +174,15 @@ def write_table(
         return path
     if mode != "upsert":
         raise ValueError(f"unknown write mode {mode}")
-    if table_meta(spark, path) is None:
+    found = table_meta(spark, path)
+    if found is None:
+        where, fs = _fs(spark, path)
+        if fs.exists(where) and fs.listStatus(where):
+            raise ValueError(f"{path} holds files but no table description; replace it or restore the description")
         return write_table(df, spec, path, "replace")
+    for part in ("keys", "order_by", "partition_by", "scope"):
+        if getattr(found[0], part) != getattr(spec, part):
+            raise ValueError(f"the table at {path} has {part} {getattr(found[0], part)}, not {getattr(spec, part)}")
     return _upsert(spark, df, spec, path)
 
 
@@ -198,6 +205,7 @@ def _upsert(spark: SparkSession, batch: DataFrame, spec: TableSpec, path: str) -
         # stage in the checkpoint folder: the write must not read the files it replaces
         staged, stage_path = materialize(merged, "upsert")
         _save(staged, spec, path, dynamic=False)
+        _write_meta(spark, spec, schema, path)  # a whole overwrite removes it
         remove_path(spark, stage_path)
         remove_path(spark, batch_path)
         return path
@@ -206,49 +214,58 @@ def _upsert(spark: SparkSession, batch: DataFrame, spec: TableSpec, path: str) -
     touched = fresh.select(*parts)
     homes = None
     if spec.scope == "table":
-        # partitions a batch key lives in now: its row must leave them if it moved
-        homes = existing.join(fresh.select(*spec.keys), list(spec.keys), "left_semi").select(*parts).distinct()
-        touched = touched.unionByName(homes)
+        # partitions a batch key lives in now: its row must leave them if it moved.  Only keys are
+        # read, within the batch's key range (files are sorted by key, so statistics prune them)
+        located = spark.read.schema(schema).parquet(path).select(
+            *[F.col(f"`{c}`") for c in dict.fromkeys([*spec.keys, *parts])],
+            F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("__dir"),
+        )
+        first = spec.keys[0]
+        low, high = fresh.agg(F.min(first), F.max(first)).first()
+        if low is not None:
+            located = located.where(F.col(first).between(low, high) | F.col(first).isNull())
+        homes = located.join(fresh.select(*spec.keys), list(spec.keys), "left_semi").select(*parts, "__dir").distinct()
+        homes, homes_path = materialize(homes, "homes")
+        touched = touched.unionByName(homes.select(*parts))
     touched = touched.distinct()
-    old = existing.alias("e").join(touched.alias("t"), _null_safe_on("e", "t", parts), "left_semi")
+    scanned = _only_partitions(existing, touched, parts)
+    old = scanned.alias("e").join(touched.alias("t"), _null_safe_on("e", "t", parts), "left_semi")
     # the merged rows of the touched partitions, computed once and staged in the checkpoint
     # folder; the write and the emptied-partition check both read that copy, and the write
     # never reads the files it replaces
     merged, stage_path = materialize(dedupe_latest(old.unionByName(fresh), spec.unique_by, spec.order_by), "upsert")
 
     # a partition can only lose all its rows when a key moved out of it; such partitions are
-    # not rewritten by a dynamic overwrite, so find them (partition values only, bounded by
-    # the number of partitions) and remove them after the write
+    # not rewritten by a dynamic overwrite, so find their folders (by the files' own paths, at
+    # most one per partition) and remove them after the write
     emptied = []
     if homes is not None:
         kept = merged.select(*parts).distinct()
-        emptied = homes.alias("h").join(kept.alias("k"), _null_safe_on("h", "k", parts), "left_anti").collect()
+        gone = homes.alias("h").join(kept.alias("k"), _null_safe_on("h", "k", parts), "left_anti")
+        emptied = [r[0] for r in gone.select("__dir").distinct().collect()]
 
     _save(merged, spec, path, dynamic=True)
-    for row in emptied:
-        _delete_partition(spark, path, parts, row)
-    remove_path(spark, stage_path)
-    remove_path(spark, batch_path)
+    for folder in emptied:
+        remove_path(spark, folder, uri=True)
+    for done in [stage_path, batch_path] + ([homes_path] if homes is not None else []):
+        remove_path(spark, done)
     return path
 
 
-def _partition_dir(path: str, parts, row) -> str:
-    segs = []
-    for c in parts:
-        v = row[c]
-        text = "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
-        segs.append(f"{c}={_escape(text)}")
-    return "/".join([path.rstrip("/"), *segs])
-
+#: Most values of a partition column that an upsert lists in its scan's filter.
+LISTED = 10_000
 
-def _escape(text: str) -> str:
-    # Hive path escaping of the characters Spark escapes in partition directory names
-    special = set('"#%\'*/:=?\\\x7f{[]^') | {chr(i) for i in range(0x20)}
-    return "".join(f"%{ord(ch):02X}" if ch in special else ch for ch in text)
 
-
-def _delete_partition(spark: SparkSession, path: str, parts, row) -> None:
-    remove_path(spark, _partition_dir(path, parts, row))
+def _only_partitions(existing: DataFrame, touched: DataFrame, parts) -> DataFrame:
+    """``existing`` with an explicit filter on each partition column, so that the scan lists only
+    partitions that can be touched (a superset; the join that follows is exact)."""
+    for c in parts:
+        values = [r[0] for r in touched.select(c).distinct().limit(LISTED + 1).collect()]
+        if len(values) > LISTED or any(isinstance(v, float) for v in values):
+            continue
+        cond = F.col(f"`{c}`").isin([v for v in values if v is not None])
+        existing = existing.where(cond | F.col(f"`{c}`").isNull() if None in values else cond)
+    return existing
 
 
 def write_layouts(df: DataFrame, specs: dict[str, TableSpec], root: str) -> dict[str, str]:

@@ -42,7 +42,7 @@ DELIVERY_SPECS = {
         "compliance_check", ("order_date", "vehicle_id"), "order_date", ("order_date",), cluster_by=("vehicle_id",)
     ),
 }
-FLEET_SPEC = TableSpec("bronze_layer", "order_id", "delivery_end_time", ("vehicle_id", "delivery_status"))
+FLEET_SPEC = TableSpec("bronze_layer", "order_id", "delivery_end_time", (), cluster_by=("delivery_status", "vehicle_id"))
 
 
 def _path(root: str, layer: str, name: str) -> str:

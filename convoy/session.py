@@ -36,12 +36,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; created locally only if unset."""
+    """The shared checkpoint folder of the session; created only if unset, and only for a local
+    master (other processes would not see it)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="convoy-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
@@ -85,10 +88,11 @@ def staging(spark):
         del stages[start:]
 
 
-def remove_path(spark, path: str) -> None:
-    """Delete a folder this library staged (Hadoop file system of the path)."""
+def remove_path(spark, path: str, uri: bool = False) -> None:
+    """Delete a folder this library staged or owns (Hadoop file system of the path); ``uri``: the
+    path is an escaped URI, as file metadata gives it."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path) if uri else path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(p):
         fs.delete(p, True)

@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -230,3 +231,32 @@ def test_enrichment_hot_time_bucket_is_split(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_bounds_of_every_kind_equal_the_plain_join(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        iv = spark.sql(
+            "SELECT 1 AS k, DATE'2024-03-09' AS d0, DATE'2024-03-11' AS d1, TIMESTAMP_NTZ'2024-03-09 12:00:00' AS n0, "
+            "TIMESTAMP_NTZ'2024-03-10 12:00:00' AS n1, TIMESTAMP'2024-03-09 12:00:00' AS z0, TIMESTAMP'2024-03-10 12:00:00' AS z1, "
+            "1.25BD AS c0, 7.5BD AS c1, 3.0D AS f0, double('infinity') AS f1, 2 AS i0, 9 AS i1"
+        )
+        pts = spark.sql(
+            "SELECT 1 AS k, DATE'2024-03-10' AS d, TIMESTAMP_NTZ'2024-03-10 03:00:00' AS n, "
+            "TIMESTAMP'2024-03-10 04:00:00' AS z, 3.5BD AS c, 5e17D AS f, 4 AS i"
+        )
+        for lo, hi, at in (
+            ("d0", "d1", "d"), ("d0", "d1", "n"), ("n0", "n1", "d"), ("n0", "n1", "n"), ("d0", "d1", "z"), ("z0", "z1", "d"),
+            ("z0", "z1", "z"), ("c0", "c1", "c"), ("c0", "c1", "i"), ("i0", "i1", "c"), ("f0", "f1", "f"), ("f0", "f1", "i"), ("i0", "i1", "i"),
+        ):
+            for width in (0.5, 3600.0, 200_000.0):
+                args = dict(start=lo, end=hi, at=at, on=["k"], bucket_seconds=width)
+                got = interval_join(iv, pts.select("k", at), **args).count()
+                assert got == interval_join(iv, pts.select("k", at), method="plain", **args).count() == 1, (lo, at, width)
+        for lo, hi, at in (("n0", "n1", "z"), ("z0", "z1", "n"), ("i0", "i1", "d")):
+            with pytest.raises(TypeError):
+                interval_join(iv, pts.select("k", at), start=lo, end=hi, at=at, on=["k"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -156,3 +156,57 @@ def test_dedupe_hot_key_is_combined_map_side(spark):
     assert "partial_max" in plan  # map-side combine before the exchange on the key
     hot = d.filter("order_id = 'hot'").collect()
     assert len(hot) == 1 and hot[0]["order_date"] == date(2024, 1, 10) and hot[0]["speed"] == 2979.0
+
+
+def _kv(spark, rows, schema="k long, p boolean, v long"):
+    return spark.createDataFrame(rows, schema)
+
+
+def test_unpartitioned_upserts_keep_the_table(spark, tmp_dir):
+    spec, path = TableSpec("t", "k", "v"), f"{tmp_dir}/t"
+    write_table(_kv(spark, [(i, True, 0) for i in range(100)]), spec, path)
+    for n in (1, 2):
+        write_table(_kv(spark, [(n, False, n)]), spec, path, "upsert")
+        assert read_table(spark, path).count() == 100
+    assert sorted(r["v"] for r in read_table(spark, path).where("not p").collect()) == [1, 2]
+
+
+def test_moved_keys_leave_boolean_and_timestamp_partitions(spark, tmp_dir):
+    import datetime as dt
+
+    for kind, a, b in (
+        ("boolean", True, False),
+        ("timestamp_ntz", dt.datetime(2024, 1, 1, 0, 0, 0, 500_000), dt.datetime(2024, 1, 2)),
+        ("string", "a b/c:%", None),
+    ):
+        spec, path = TableSpec("t", "k", "v", "p"), f"{tmp_dir}/{kind}"
+        schema = f"k long, p {kind}, v long"
+        write_table(_kv(spark, [(1, a, 1)], schema), spec, path)
+        write_table(_kv(spark, [(1, b, 2), (2, b, 2)], schema), spec, path, "upsert")
+        assert sorted((r["k"], r["p"], r["v"]) for r in read_table(spark, path).collect()) == [(1, b, 2), (2, b, 2)]
+
+
+def test_upsert_refuses_another_spec_and_unknown_files(spark, tmp_dir):
+    import pytest
+
+    rows = _kv(spark, [(1, True, 1), (2, False, 2)])
+    write_table(rows, TableSpec("t", "k", "v"), f"{tmp_dir}/t")
+    with pytest.raises(ValueError, match="keys"):
+        write_table(rows, TableSpec("t", "v", "v"), f"{tmp_dir}/t", "upsert")
+    rows.write.parquet(f"{tmp_dir}/files")
+    with pytest.raises(ValueError, match="no table description"):
+        write_table(rows, TableSpec("t", "k", "v"), f"{tmp_dir}/files", "upsert")
+
+
+def test_upsert_scans_touched_partitions_only(spark):
+    from convoy.operators.tables import _only_partitions
+
+    import tempfile
+
+    path = tempfile.mkdtemp(prefix="convoy-prune-") + "/t"
+    spec = TableSpec("t", "k", "v", "p")
+    write_table(_kv(spark, [(i, i % 2 == 0, i) for i in range(10)]), spec, path)
+    touched = _kv(spark, [(1, True, 1)]).select("p")
+    scan = _only_partitions(read_table(spark, path), touched, ["p"])
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "PartitionFilters: [" in plan
