@@ -181,6 +181,7 @@ def window_enrich_left(
     measures: Sequence[str],
     bucket_seconds: float = 3600.0,
     fanout: int = 64,
+    salt: int = 1,
 ) -> DataFrame:
     """Left enrichment of intervals with the means of the points inside them.
 
@@ -206,7 +207,7 @@ def window_enrich_left(
     pts = pts.select(p_at, *g, *ms)
 
     slim = intervals.select(key, start, end)
-    pairs = _bucketed(slim, pts, pts.columns, start, end, p_at, [], bucket_seconds, fanout)
+    pairs = _bucketed(slim, pts, pts.columns, start, end, p_at, [], bucket_seconds, fanout, salt=salt)
     per_group = pairs.groupBy(key, *g).agg(*[F.avg(m).alias(m) for m in ms])
     iv_type = intervals.select(F.struct(*[F.col(f"`{c}`") for c in intervals.columns]).alias("s")).schema["s"].dataType
     candidates = per_group.select(
