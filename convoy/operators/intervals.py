@@ -17,11 +17,15 @@ Long intervals are never cut or dropped: the bucket width is multiplied by ``fan
 level until every interval spans at most ``fanout`` buckets of its own level, and points are
 replicated once per level in use (normally one).  The levels come from one aggregate over
 the intervals (a single row to the driver).
+
+The bucket width comes from the data unless the caller names one, see ``derive_buckets``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,6 +83,59 @@ def _widths(width: int, fanout: int) -> list[int]:
     return widths
 
 
+class Buckets(NamedTuple):
+    """Width of the time buckets; ``single_level``: every interval fits the finest level."""
+
+    seconds: float
+    single_level: bool = False
+
+
+#: Cost of one exploded interval row (shuffled and sorted), in residual range tests (measured).
+ROW_COST = 50
+
+
+def derive_buckets(
+    intervals: DataFrame, points: DataFrame, *, start: str, end: str, at: str, on: Sequence[str] = (), fanout: int = 64
+) -> Buckets:
+    """The width that costs least for these inputs.
+
+    An interval of length W against r points per second of its entity costs about
+    ``ROW_COST * (W / b + 1)`` for its bucket rows and ``r * (W + b)`` range tests, least at
+    ``b = sqrt(ROW_COST * W / r)``.  W is the median length; r is weighted by points (the rate that a
+    point sees), so an entity that holds a third of the points narrows the buckets.  One job,
+    two column-pruned aggregates, one row to the driver.
+    """
+    on = list(on)
+    kind = _kind(intervals.schema[start].dataType, intervals.schema[end].dataType, points.schema[at].dataType)
+    lo, unit = _ordinal(intervals.schema, start, kind)
+    hi, _ = _ordinal(intervals.schema, end, kind)
+    t, _ = _ordinal(points.schema, at, kind)
+    length = F.expr(f"cast({hi} AS double) - cast({lo} AS double)").alias("length")
+    lengths = intervals.where(f"`{start}` <= `{end}`").select(length).agg(
+        F.struct(F.percentile_approx("length", 0.5, 1000).alias("mid"), F.max("length").alias("top"))
+    )
+    per_entity = points.where(f"`{at}` IS NOT NULL").groupBy(*on).agg(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        F.min(F.expr(f"cast({t} AS double)")).alias("lo"),
+        F.max(F.expr(f"cast({t} AS double)")).alias("hi"),
+    )
+    rate = per_entity.agg(
+        F.struct(
+            (F.sum(F.col("n") * F.col("n")) / F.nullif(F.sum("n"), F.lit(0.0))).alias("n"),
+            (F.max("hi") - F.min("lo")).alias("span"),
+        )
+    )
+    row = intervals.sparkSession.range(1).select(lengths.scalar().alias("iv"), rate.scalar().alias("pt")).first()
+    mid, top = (row["iv"]["mid"] or 0.0), (row["iv"]["top"] or 0.0)
+    n, span = (row["pt"]["n"] or 0.0), (row["pt"]["span"] or 0.0)
+    if not n or not span:
+        return Buckets(3600.0)
+    # not wider than all the points and a median interval: one bucket would hold everything
+    width = min(math.sqrt(ROW_COST * max(mid, 1.0) * span / n), span + mid)
+    width = max(width, 1.0)
+    return Buckets(width / unit, top / width + 2 < fanout)
+
+
 def interval_join(
     intervals: DataFrame,
     points: DataFrame,
@@ -87,7 +144,7 @@ def interval_join(
     end: str,
     at: str,
     on: Sequence[str] = (),
-    bucket_seconds: float = 3600.0,
+    bucket_seconds: float | Buckets | None = None,
     fanout: int = 64,
     method: str = "bucket",
     salt: int = 1,
@@ -95,6 +152,8 @@ def interval_join(
     """Inner join of each interval with every point where ``start <= at <= end`` (both ends
     inclusive) and the ``on`` keys are equal.
 
+    ``bucket_seconds`` is the bucket width; by default it is derived from the data (one small job).
+
     ``salt > 1`` splits every (key, bucket) into ``salt`` lanes: a point goes to one lane by
     hash, each bucketed interval to all lanes.  Use it for hot buckets when adaptive skew
     handling is not available; the result is the same.
@@ -102,7 +161,7 @@ def interval_join(
     Returns all interval columns and all point columns except the point copies of ``on``.
     NULL keys or bounds never match; an interval with ``start > end`` matches nothing.
     ``method="plain"`` gives the unbucketed equi + range join (test oracle, needs ``on``).
-    The plan is lazy: the bucket levels in use are an uncorrelated scalar subquery.
+    With a given width the plan is lazy: the bucket levels in use are a scalar subquery.
     """
     on = list(on)
     clash = (set(intervals.columns) & set(points.columns)) - set(on)
@@ -120,6 +179,8 @@ def interval_join(
     if method != "bucket":
         raise ValueError(f"unknown method {method}")
 
+    if bucket_seconds is None:
+        bucket_seconds = derive_buckets(intervals, points, start=start, end=end, at=at, on=on, fanout=fanout)
     return _bucketed(intervals, p, points.columns, start, end, at, on, bucket_seconds, fanout, salt=salt)
 
 
@@ -135,8 +196,9 @@ def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, f
     kind = _kind(ischema[start].dataType, ischema[end].dataType, p.schema[at].dataType)
     lo, unit = _ordinal(ischema, start, kind)
     hi, _ = _ordinal(ischema, end, kind)
-    width = max(1, int(round(bucket_seconds * unit)))
-    widths = _widths(width, fanout)
+    buckets = bucket_seconds if isinstance(bucket_seconds, Buckets) else Buckets(bucket_seconds)
+    width = max(1, int(round(buckets.seconds * unit)))
+    widths = [width] if buckets.single_level else _widths(width, fanout)
     width_of = "array(" + ", ".join(f"{w}L" for w in widths) + ")"
 
     # the finest level on which the interval spans at most `fanout` buckets
@@ -146,14 +208,17 @@ def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, f
     iv = iv.withColumn("__i_lvl", F.expr(f"cast({level} AS int)"))
     # levels in use (a handful of values at most): points are bucketed once per level in use,
     # which is a single level unless some interval is more than `fanout` buckets long
-    in_use = iv.select(F.collect_set("__i_lvl").alias("l")).scalar()
+    in_use = None if len(widths) == 1 else iv.select(F.collect_set("__i_lvl").alias("l")).scalar()
     w_iv = f"element_at({width_of}, __i_lvl + 1)"
     iv = iv.withColumn("__i_bkt", F.expr(f"explode(sequence(floor({lo} / {w_iv}), floor({hi} / {w_iv})))"))
 
     pt = p.filter(" AND ".join([f"`{at}` IS NOT NULL"] + [f"`__p_{k}` IS NOT NULL" for k in on]))
     t, _ = _ordinal(p.schema, at, kind)
-    all_levels = F.expr("array(" + ", ".join(str(i) for i in range(len(widths))) + ")")
-    pt = pt.withColumn("__p_lvl", F.explode(F.array_intersect(all_levels, in_use)))
+    if in_use is None:
+        pt = pt.withColumn("__p_lvl", F.lit(0))
+    else:
+        all_levels = F.expr("array(" + ", ".join(str(i) for i in range(len(widths))) + ")")
+        pt = pt.withColumn("__p_lvl", F.explode(F.array_intersect(all_levels, in_use)))
     pt = pt.withColumn("__p_bkt", F.expr(f"floor({t} / element_at({width_of}, __p_lvl + 1))"))
 
     if salt > 1:
@@ -161,7 +226,9 @@ def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, f
         pt = pt.withColumn("__p_salt", F.expr(f"pmod(hash(`{at}`, __p_bkt), {int(salt)})"))
 
     cond = [iv[k] == pt[f"__p_{k}"] for k in on]
-    cond += [iv["__i_lvl"] == pt["__p_lvl"], iv["__i_bkt"] == pt["__p_bkt"]]
+    if in_use is not None:
+        cond.append(iv["__i_lvl"] == pt["__p_lvl"])
+    cond.append(iv["__i_bkt"] == pt["__p_bkt"])
     if salt > 1:
         cond.append(iv["__i_salt"] == pt["__p_salt"])
     cond += [(pt[at] >= iv[start]) & (pt[at] <= iv[end])]
@@ -179,7 +246,7 @@ def window_enrich_left(
     at: str,
     group_by: Sequence[str],
     measures: Sequence[str],
-    bucket_seconds: float = 3600.0,
+    bucket_seconds: float | Buckets | None = None,
     fanout: int = 64,
     salt: int = 1,
 ) -> DataFrame:
@@ -207,6 +274,8 @@ def window_enrich_left(
     pts = pts.select(p_at, *g, *ms)
 
     slim = intervals.select(key, start, end)
+    if bucket_seconds is None:
+        bucket_seconds = derive_buckets(slim, pts, start=start, end=end, at=p_at, fanout=fanout)
     pairs = _bucketed(slim, pts, pts.columns, start, end, p_at, [], bucket_seconds, fanout, salt=salt)
     per_group = pairs.groupBy(key, *g).agg(*[F.avg(m).alias(m) for m in ms])
     iv_type = intervals.select(F.struct(*[F.col(f"`{c}`") for c in intervals.columns]).alias("s")).schema["s"].dataType

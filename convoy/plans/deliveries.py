@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.operators.intervals import interval_join
+from convoy.operators.intervals import Buckets, interval_join
 
 # Sensor columns, order attributes and status names of the source.
 SENSORS = ("fuel_level", "engine_temperature", "battery_temperature", "speed")
@@ -18,6 +18,8 @@ ORDER_COLUMNS = (
     "order_id",
     "order_status",
     "order_date",
+    "delivery_latitude",
+    "delivery_longitude",
     "delivery_start_datetime",
     "delivery_end_datetime",
     "vehicle_id",
@@ -27,20 +29,12 @@ PENDING, IN_TRANSIT, DELIVERED = "pending", "in transit", "delivered"
 SILVER_ORDER_COLUMNS = ("order_id", "order_date", "order_status", "vehicle_id", *SENSORS)
 ML_COLUMNS = (*SILVER_ORDER_COLUMNS, "delivery_start_datetime", "delivery_end_datetime")
 
-# Default time bucket of the telemetry join.  Per window the join costs about
-#   c_row * (W / b + 1)       exploded window rows (shuffled and sorted)
-# + c_cmp * rate * (W + b)    residual range tests against the samples in the touched buckets
-# so the best width is b = sqrt(c_row * W / (c_cmp * rate)), with c_row / c_cmp around 50 when
-# measured here.  For the 6-48 h fixture windows and their sparse telemetry that is about a
-# day; for 5-second telemetry and 30-120 min windows it is about 15-20 minutes.
-DEFAULT_BUCKET_SECONDS = 24 * 3600.0
-
-
 def telemetry_pairs(
-    shipments: DataFrame, telemetry: DataFrame, bucket_seconds: float = DEFAULT_BUCKET_SECONDS,
+    shipments: DataFrame, telemetry: DataFrame, bucket_seconds: float | Buckets | None = None,
     method: str = "bucket", salt: int = 1,
 ) -> DataFrame:
-    """One row per (order, sample) with the sample inside the order's window on its vehicle."""
+    """One row per (order, sample) with the sample inside the order's window on its vehicle.  The
+    bucket width is derived from the data unless given (see ``intervals.derive_buckets``)."""
     return interval_join(
         shipments,
         telemetry,
@@ -55,7 +49,7 @@ def telemetry_pairs(
 
 
 def enriched_orders(
-    shipments: DataFrame, telemetry: DataFrame, bucket_seconds: float = DEFAULT_BUCKET_SECONDS,
+    shipments: DataFrame, telemetry: DataFrame, bucket_seconds: float | Buckets | None = None,
     method: str = "bucket", salt: int = 1,
 ) -> DataFrame:
     """Per-order mean of each sensor over the samples in the window (orders without a
@@ -149,27 +143,9 @@ def daily_status_counts_curated(dashboard: DataFrame, as_of: str) -> DataFrame:
 
 
 def delivered_samples(
-    shipments: DataFrame, telemetry: DataFrame, bucket_seconds: float = DEFAULT_BUCKET_SECONDS
+    shipments: DataFrame, telemetry: DataFrame, bucket_seconds: float | Buckets | None = None
 ) -> DataFrame:
     """Raw: every (delivered order, sample) pair, sample grain, ten columns."""
     delivered = shipments.filter(F.col("order_status") == DELIVERED)
     return telemetry_pairs(delivered, telemetry, bucket_seconds).select(*ML_COLUMNS)
 
-
-def build(shipments: DataFrame, telemetry: DataFrame, bucket_seconds: float = DEFAULT_BUCKET_SECONDS):
-    """All tables of the scaled pipeline as lazy DataFrames, keyed by published name."""
-    enriched = enriched_orders(shipments, telemetry, bucket_seconds)
-    pending = pending_orders(shipments)
-    silver = silver_orders(enriched, pending)
-    compliance = compliance_orders(enriched)
-    dashboard = sales_dashboard(silver)
-    return {
-        "raw_date_partition": enriched,
-        "pending_raw_date_partition": pending,
-        "orders": silver,
-        "ml_orders": ml_orders(enriched),
-        "compliance_orders": compliance,
-        "sales_dashboard": dashboard,
-        "pending_orders_dashboard": open_orders(silver),
-        "compliance_check": compliance_check(compliance),
-    }

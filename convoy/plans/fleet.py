@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convoy.functions.time import epoch_to_timestamp
-from convoy.operators.intervals import window_enrich_left
+from convoy.operators.intervals import Buckets, derive_buckets, window_enrich_left
 from convoy.operators.sequence import accumulate
 from convoy.session import materialize as stage
 
@@ -23,8 +23,9 @@ GROUP_KEYS = ("vehicle_id", "event_date")
 IN_TRANSIT, PENDING, DELIVERED = "in transit", "pending", "delivered"
 DAILY_AS_OF = "2024-01-01"  # the "today" of the daily orders table
 
-DEFAULT_BUCKET_SECONDS = 900.0
-
+# The enrichment joins on the time bucket alone (any vehicle's samples count), so a moment at
+# which the whole fleet reports is one key: its samples are dealt over this many lanes.
+SALT = 4
 
 def chained_windows(
     parcels: DataFrame, seq: str = "seq", duration: str = "delivery_time", number_as: str | None = None
@@ -53,13 +54,12 @@ def daily_vehicle_means(samples: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 
 def enrich_windows(
-    chained: DataFrame, samples: DataFrame, key: str = "seq", bucket_seconds: float = DEFAULT_BUCKET_SECONDS
+    chained: DataFrame, samples: DataFrame, key: str = "seq", bucket_seconds: float | Buckets | None = None,
+    salt: int = SALT,
 ) -> DataFrame:
     """Attach, per order, the sensor means of the first (vehicle, date) group of the samples
     inside ``[end - duration, end]``; orders without samples keep NULL means."""
-    iv = chained.withColumn(
-        "__start", F.timestamp_add("SECOND", -F.col("delivery_time"), F.col("delivery_end_time"))
-    )
+    iv = _with_start(chained)
     out = window_enrich_left(
         iv,
         with_event_date(samples),
@@ -70,25 +70,32 @@ def enrich_windows(
         group_by=GROUP_KEYS,
         measures=SENSORS,
         bucket_seconds=bucket_seconds,
+        salt=salt,
     )
     return out.drop("__start")
 
 
-def bronze(
-    parcels: DataFrame,
-    samples: DataFrame,
-    bucket_seconds: float = DEFAULT_BUCKET_SECONDS,
-    materialize: bool = True,
-) -> DataFrame:
-    """Chained windows numbered 1..n in file order as ``order_id``, then enriched.
-
-    The chained orders feed both sides of the enrichment (the interval join and the left
-    join back), so with ``materialize`` they are staged once as parquet in the session's
-    checkpoint folder (the hand-off file of the original design): the chain is computed once
-    and lineage is cut there."""
-    chained = chained_windows(parcels, number_as="order_id")
-    if materialize:
-        chained, _ = stage(chained, "chained_orders")
+def _with_start(chained: DataFrame) -> DataFrame:
+    return chained.withColumn(
+        "__start", F.timestamp_add("SECOND", -F.col("delivery_time"), F.col("delivery_end_time"))
+    )
+
+
+def numbered_chain(parcels: DataFrame) -> DataFrame:
+    """Chained windows numbered 1..n in file order as ``order_id``, staged once as parquet in the
+    session's checkpoint folder: the chain feeds both sides of the enrichment, and every table
+    below it, so it is computed once and lineage is cut there."""
+    return stage(chained_windows(parcels, number_as="order_id"), "chained_orders")[0]
+
+
+def bronze(parcels: DataFrame, samples: DataFrame, bucket_seconds: float | Buckets | None = None) -> DataFrame:
+    """The numbered chain, enriched."""
+    return bronze_of(numbered_chain(parcels), samples, bucket_seconds)
+
+
+def bronze_of(chained: DataFrame, samples: DataFrame, bucket_seconds: float | Buckets | None = None) -> DataFrame:
+    """Bronze rows of these orders.  The enrichment works on each order by itself, so a filter on
+    order columns may come before it."""
     enriched = enrich_windows(chained, samples, bucket_seconds=bucket_seconds)
     return enriched.select(*[c for c in enriched.columns if c != "order_id"], "order_id")
 
@@ -117,21 +124,26 @@ def temperature_alerts(bronze_df: DataFrame) -> DataFrame:
     return bronze_df.filter((F.col("battery_temperature") > 30) | (F.col("engine_temperature") > 40)).na.drop("any")
 
 
-def status_lookup(bronze_df: DataFrame, status: str = IN_TRANSIT) -> DataFrame:
-    return bronze_df.filter(F.col("delivery_status") == status)
+def build(parcels: DataFrame, samples: DataFrame, bucket_seconds: float | Buckets | None = None):
+    """All tables of the small pipeline as lazy DataFrames, keyed by published name.  Tables of one
+    status or date enrich only the orders they keep."""
+    chained = numbered_chain(parcels)
+    if bucket_seconds is None:
+        bucket_seconds = derive_buckets(
+            _with_start(chained), samples, start="__start", end="delivery_end_time", at="timestamp"
+        )
 
+    def b(only: str = "true") -> DataFrame:
+        return bronze_of(chained.where(only), samples, bucket_seconds)
 
-def build(parcels: DataFrame, samples: DataFrame, bucket_seconds: float = DEFAULT_BUCKET_SECONDS):
-    """All tables of the small pipeline as lazy DataFrames, keyed by published name."""
-    b = bronze(parcels, samples, bucket_seconds)
-    transit = transit_orders(b)
-    successful = successful_orders(b)
+    transit = transit_orders(b(f"delivery_status IN ('{IN_TRANSIT}', '{PENDING}')"))
+    successful = successful_orders(b(f"delivery_status = '{DELIVERED}'"))
     return {
-        "bronze_layer": b,
+        "bronze_layer": b(),
         "transit_orders": transit,
         "successful_orders": successful,
-        "daily_orders": daily_orders(b),
+        "daily_orders": daily_orders(b(f"order_date = date'{DAILY_AS_OF}'")),
         "speed_inefficiency": speed_inefficiency(transit),
         "finances": finances(successful),
-        "temperature_alerts": temperature_alerts(b),
+        "temperature_alerts": temperature_alerts(b()),
     }

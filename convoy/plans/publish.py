@@ -15,11 +15,16 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from convoy.operators.intervals import Buckets
+from convoy.operators.normalise import normalise_orders, normalise_telemetry
 from convoy.operators.tables import TableSpec, read_table, write_layouts, write_table
 from convoy.plans import deliveries as dl
 from convoy.plans import fleet as fl
-from convoy.session import staging
+from convoy.operators.typed import typed_with_rejects
+from convoy.session import materialize, staging
+from convoy.sources import files
 
 # Table specs of the scaled pipeline: name -> (record key, ordering field, partitions, cluster).
 RAW_LAYOUTS = {
@@ -54,7 +59,7 @@ def publish_deliveries(
     shipments: DataFrame,
     telemetry: DataFrame,
     root: str,
-    bucket_seconds: float = dl.DEFAULT_BUCKET_SECONDS,
+    bucket_seconds: float | Buckets | None = None,
 ) -> dict[str, str]:
     """bronze (three layouts of the enriched orders, pending orders) -> silver -> gold."""
     with staging(spark):
@@ -88,10 +93,11 @@ def publish_fleet(
     parcels: DataFrame,
     samples: DataFrame,
     root: str,
-    bucket_seconds: float = fl.DEFAULT_BUCKET_SECONDS,
+    bucket_seconds: float | Buckets | None = None,
     as_of: str = fl.DAILY_AS_OF,
 ) -> dict[str, str]:
-    """bronze_layer -> silver (transit, successful) -> gold (daily, speeding, finances, alerts)."""
+    """base (plain parquet hand-off file) -> bronze_layer -> silver (transit, successful) -> gold
+    (daily, speeding, finances, alerts)."""
     with staging(spark):
         return _publish_fleet(spark, parcels, samples, root, bucket_seconds, as_of)
 
@@ -104,8 +110,9 @@ def _publish_fleet(spark, parcels, samples, root, bucket_seconds, as_of) -> dict
         paths[name] = write_table(df, spec, _path(root, layer, name), assume_unique=unique)
         return read_table(spark, paths[name])
 
-    # every table below bronze is a filter of a keyed table, so unique by order_id
-    bronze = put(fl.bronze(parcels, samples, bucket_seconds), "bronze_layer", "bronze_layer", unique=False)
+    # order_id numbers the rows, and every table below is a filter of them, so unique by it
+    paths["base"] = files.sink_parquet_ms(fl.bronze(parcels, samples, bucket_seconds), f"{root.rstrip('/')}/base")
+    bronze = put(files.scan_parquet(spark, paths["base"]), "bronze_layer", "bronze_layer")
     transit = put(fl.transit_orders(bronze), "silver_layer", "transit_orders")
     successful = put(fl.successful_orders(bronze), "silver_layer", "successful_orders")
     put(fl.daily_orders(bronze, as_of), "gold_layer", "daily_orders")
@@ -115,6 +122,61 @@ def _publish_fleet(spark, parcels, samples, root, bucket_seconds, as_of) -> dict
     return paths
 
 
+# The text columns of the input files and their types.
+ORDER_TYPES = {
+    "order_date": ("date", None),
+    "delivery_latitude": ("float", None),
+    "delivery_longitude": ("float", None),
+    "delivery_start_datetime": ("timestamp", None),
+    "delivery_end_datetime": ("timestamp", None),
+}
+TELEMETRY_TYPES = {
+    "timestamp": ("timestamp", None),
+    **{c: ("float", None) for c in ("latitude", "longitude", *dl.SENSORS)},
+}
+SAMPLE_SCHEMA = (
+    "vehicle bigint, latitude double, longitude double, battery_temperature double, engine_temperature double, "
+    "speed double, fuel_level double, tire_pressure double, timestamp bigint"
+)
+PARCEL_TYPES = {"delivery_time": ("bigint", None), "delivery_cost": ("double", None)}
+
+
+def _typed(scanned: DataFrame, types: dict, root: str, name: str) -> DataFrame:
+    """The typed rows, staged once for all their readers; rows with text that does not convert
+    are also written to ``<root>/rejects/<name>``."""
+    typed, rejects = typed_with_rejects(scanned, types)
+    rejects.write.mode("overwrite").parquet(f"{root.rstrip('/')}/rejects/{name}")
+    return materialize(typed, name)[0]
+
+
+def deliveries_from_files(
+    spark: SparkSession, orders: str, telemetry: str, root: str, bucket_seconds: float | Buckets | None = None
+) -> dict[str, str]:
+    """The scaled pipeline from its raw inputs, orders CSV and telemetry CSV (all text, with
+    header): cast with rejects, then publish."""
+    with staging(spark):
+        shipments = _typed(files.scan_csv(spark, orders), ORDER_TYPES, root, "orders")
+        samples = _typed(files.scan_csv(spark, telemetry), TELEMETRY_TYPES, root, "telemetry")
+        return publish_deliveries(
+            spark, shipments, samples.withColumnRenamed("timestamp", "sample_ts"), root, bucket_seconds
+        )
+
+
+def fleet_from_files(
+    spark: SparkSession, orders: str, telemetry: str, root: str, multiline: bool = False,
+    bucket_seconds: float | Buckets | None = None, as_of: str = fl.DAILY_AS_OF,
+) -> dict[str, str]:
+    """The small pipeline from its raw inputs: orders CSV, whose row order is the delivery order,
+    and telemetry JSON (``multiline``: files that each hold one array).  A record that names no
+    vehicle belongs to vehicle 1."""
+    with staging(spark):
+        rows = files.in_file_order(files.scan_csv(spark, orders))
+        parcels = normalise_orders(_typed(rows, PARCEL_TYPES, root, "orders"), keep=("seq",))
+        raw = files.scan_json(spark, telemetry, SAMPLE_SCHEMA, multiline)
+        samples = normalise_telemetry(raw, vehicle_id=F.coalesce("vehicle", F.lit(1).cast("bigint")))
+        return publish_fleet(spark, parcels, materialize(samples, "samples")[0], root, bucket_seconds, as_of)
+
+
 def compare(
     spark: SparkSession, shipments: DataFrame, telemetry: DataFrame, root: str, as_of: str
 ) -> dict[str, float]:

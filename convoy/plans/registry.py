@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.functions.casts import cast_columns, flatten_struct
-from convoy.functions.time import parse_date, parse_timestamp
+from convoy.functions.time import parse_date, parse_timestamp, timestamp_micros_sql
+from convoy.operators.intervals import interval_join
 from convoy.operators.normalise import normalise_telemetry
 from convoy.operators.sequence import surrogate_key
 from convoy.operators.tables import TableSpec, dedupe_latest, read_table, write_layouts, write_table
 from convoy.plans import deliveries as dl
 from convoy.plans import fleet as fl
 from convoy.plans import oracles as oq
-from convoy.plans.publish import RAW_LAYOUTS
+from convoy.plans.publish import RAW_LAYOUTS, SAMPLE_SCHEMA
 from convoy.session import checkpoint_root, materialize, staging, workspace
 from convoy.sources import files
 from convoy.sources import fixtures as fx
@@ -191,6 +192,83 @@ def q_multi_layout(spark, sf):
     return rounded(read_table(spark, paths["raw_date_partition"]))
 
 
+def q_layouts_read_back(spark, sf):
+    """All three bronze layouts, read back."""
+    paths = write_layouts(_enriched(spark, sf), LAYOUTS, workspace(spark, "bronze"))
+    out = None
+    for name, path in paths.items():
+        rows = read_table(spark, path).withColumn("layout", F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
+    return rounded(out)
+
+
+def q_upsert_unpartitioned(spark, sf):
+    """Two successive upserts into a table without partitions: delivered orders get a day more,
+    then pending orders a day less."""
+    spec = TableSpec("orders", "order_id", "revision", ())
+    s = fx.shipments(spark, sf).select("order_id", "order_status", "order_date").withColumn("revision", F.lit(0))
+    path = write_table(s, spec, workspace(spark, "orders"))
+    later = s.filter(F.col("order_status") == dl.DELIVERED)
+    write_table(later.withColumns({"order_date": F.date_add("order_date", 1), "revision": F.lit(1)}), spec, path, "upsert")
+    earlier = s.filter(F.col("order_status") == dl.PENDING)
+    write_table(earlier.withColumns({"order_date": F.date_sub("order_date", 1), "revision": F.lit(2)}), spec, path, "upsert")
+    return read_table(spark, path)
+
+
+def q_upsert_moved_partitions(spark, sf):
+    """Keys that move between boolean and fractional-second partitions: every open order closes, so
+    its old partitions empty."""
+    spec = TableSpec("orders", "order_id", "revision", ("is_open", "slot"))
+    s = fx.shipments(spark, sf).selectExpr(
+        "order_id",
+        "order_status <> 'delivered' AS is_open",
+        "CASE WHEN order_status <> 'delivered' THEN timestamp_ntz'2024-01-01 00:00:00.5' "
+        "ELSE timestamp_ntz'2024-01-02 00:00:00' END AS slot",
+        "0 AS revision",
+    )
+    path = write_table(s, spec, workspace(spark, "orders"))
+    closed = s.filter("is_open").selectExpr(
+        "order_id", "false AS is_open", "timestamp_ntz'2024-01-03 00:00:00.25' AS slot", "1 AS revision"
+    )
+    write_table(closed, spec, path, "upsert")
+    return read_table(spark, path)
+
+
+def _bounds_query(spark, sf, start: str, end: str, at: str) -> DataFrame:
+    s = fx.shipments(spark, sf).filter("vehicle_id IS NOT NULL").selectExpr(
+        "order_id", "vehicle_id", f"{start} AS opens", f"{end} AS closes"
+    )
+    t = fx.telemetry(spark, sf).selectExpr("vehicle_id", f"{at} AS at", "speed")
+    pairs = interval_join(s, t, start="opens", end="closes", at="at", on=("vehicle_id",))
+    return pairs.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_samples"), F.round(F.max("speed"), 6).alias("top_speed"))
+
+
+def q_interval_join_dates(spark, sf):
+    """Whole days as bounds: dates against dates."""
+    return _bounds_query(spark, sf, "cast(delivery_start_datetime AS date)", "cast(delivery_end_datetime AS date)",
+                         "cast(sample_ts AS date)")
+
+
+def q_interval_join_date_bounds(spark, sf):
+    """Dates as bounds (their midnights) of zone-free samples."""
+    return _bounds_query(spark, sf, "cast(delivery_start_datetime AS date)", "cast(delivery_end_datetime AS date)", "sample_ts")
+
+
+def q_interval_join_zoned(spark, sf):
+    """Zoned instants on both sides (UTC, whatever the session's zone)."""
+    z = "to_timestamp_ltz(concat(date_format({}, 'yyyy-MM-dd HH:mm:ss.SSSSSS'), 'Z'), 'yyyy-MM-dd HH:mm:ss.SSSSSSX')"
+    return _bounds_query(spark, sf, z.format("delivery_start_datetime"), z.format("delivery_end_datetime"), z.format("sample_ts"))
+
+
+def q_interval_join_open_end(spark, sf):
+    """Numbers as bounds: a decimal start, and no end (infinity) for orders in transit."""
+    first, last, at = (
+        f"({timestamp_micros_sql(c)} / 1000000.0D)" for c in ("delivery_start_datetime", "delivery_end_datetime", "sample_ts")
+    )
+    last = f"CASE WHEN order_status = 'in transit' THEN double('infinity') ELSE {last} END"
+    return _bounds_query(spark, sf, f"cast({first} AS decimal(20,6))", last, at)
+
+
 def q_stream_upsert_orders(spark, sf):
     """The orders file as a stream (``orders.parquet`` of the testdata folder), shaped into
     delivery orders per micro-batch and merged into a keyed table; returns the table."""
@@ -214,6 +292,8 @@ def _shipments_text(spark, sf):
         "order_id",
         "order_status",
         F.date_format(F.col("order_date").cast("timestamp_ntz"), fmt).alias("order_date"),
+        F.col("delivery_latitude").cast("string").alias("delivery_latitude"),
+        F.col("delivery_longitude").cast("string").alias("delivery_longitude"),
         F.date_format("delivery_start_datetime", fmt).alias("delivery_start_datetime"),
         F.date_format("delivery_end_datetime", fmt).alias("delivery_end_datetime"),
         "vehicle_id",
@@ -227,6 +307,7 @@ def q_ingest_orders_csv(spark, sf):
         "order_id",
         "order_status",
         parse_date("order_date").alias("order_date"),
+        *[F.col(c).try_cast("float").alias(c) for c in ("delivery_latitude", "delivery_longitude")],
         parse_timestamp("delivery_start_datetime").alias("delivery_start_datetime"),
         parse_timestamp("delivery_end_datetime").alias("delivery_end_datetime"),
         "vehicle_id",
@@ -259,22 +340,40 @@ def q_ingest_telemetry_csv(spark, sf):
     )
     path = files.sink_csv(t, workspace(spark, "telemetry_csv"))
     raw = files.scan_csv(spark, path).withColumn("sample_ts", parse_timestamp("sample_ts"))
-    return cast_columns(raw, MEANS, "float")
-
-
-RAW_SAMPLE_SCHEMA = (
-    "vehicle bigint, latitude double, longitude double, battery_temperature double, "
-    "engine_temperature double, speed double, fuel_level double, tire_pressure double, timestamp bigint"
-)
+    return cast_columns(raw, (*MEANS, "latitude", "longitude"), "float")
 
 
 def q_ingest_telemetry_json(spark, sf):
     path = workspace(spark, "samples_json")
     fx.raw_samples(spark, sf).write.mode("overwrite").json(path)
-    raw = files.scan_json(spark, path, RAW_SAMPLE_SCHEMA)
+    raw = files.scan_json(spark, path, SAMPLE_SCHEMA)
     return normalise_telemetry(raw, vehicle_id=F.col("vehicle"))
 
 
+def q_ingest_telemetry_csv_typed(spark, sf):
+    """The same text read with a declared schema (zone-free timestamps, floats)."""
+    t = fx.telemetry(spark, sf)
+    path = files.sink_csv(t, workspace(spark, "telemetry_csv"))
+    schema = ", ".join(f"`{c}` {'float' if kind == 'double' else kind}" for c, kind in t.dtypes)
+    return files.scan_csv_typed(spark, path, schema)
+
+
+def q_view_by_name(spark, sf):
+    """A DataFrame registered as a view and asked by name."""
+    files.register_view(fx.shipments(spark, sf), "convoy_shipments")
+    return spark.sql("SELECT order_status, count(*) AS n_orders, max(order_date) AS last_day "
+                     "FROM convoy_shipments GROUP BY order_status")
+
+
+def q_normalise_service(spark, sf):
+    """Telemetry records with the two service fields."""
+    raw = fx.raw_samples(spark, sf).withColumns({
+        "maintenance_required": F.col("timestamp") % 5 == 0,
+        "last_service_date": F.expr("concat(1 + timestamp % 12, '/', 1 + timestamp % 28, '/2023')"),
+    })
+    return normalise_telemetry(raw, vehicle_id=F.col("vehicle"), service_fields=True)
+
+
 def q_normalise_telemetry(spark, sf):
     return fx.samples(spark, sf)
 
@@ -320,7 +419,8 @@ def q_daily_vehicle_means(spark, sf):
 
 
 def q_window_enrich_left(spark, sf):
-    return rounded(fl.enrich_windows(fl.chained_windows(fx.parcels(spark, sf)), fx.samples(spark, sf)))
+    chained, _ = materialize(fl.chained_windows(fx.parcels(spark, sf)), "chained_orders")
+    return rounded(fl.enrich_windows(chained, fx.samples(spark, sf)))
 
 
 def _fleet_table(name):
@@ -348,6 +448,31 @@ def q_published_temperature_alerts(spark, sf):
     return rounded(read_table(spark, paths["temperature_alerts"]))
 
 
+def q_job_deliveries_files(spark, sf):
+    """The scaled job from raw text: orders and telemetry written as CSV, then cast, joined and
+    published; returns the gold compliance table."""
+    from convoy.plans.publish import deliveries_from_files
+
+    t = fx.telemetry(spark, sf).withColumn("timestamp", F.date_format("sample_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    orders = files.sink_csv(_shipments_text(spark, sf), workspace(spark, "orders_csv"))
+    telemetry = files.sink_csv(t.drop("sample_ts"), workspace(spark, "telemetry_csv"))
+    paths = deliveries_from_files(spark, orders, telemetry, workspace(spark, "published"))
+    return read_table(spark, paths["compliance_check"])
+
+
+def q_job_fleet_files(spark, sf):
+    """The small job from raw text: orders CSV in delivery order, telemetry JSON; returns the bronze
+    table without its file position."""
+    from convoy.plans.publish import fleet_from_files
+
+    p = fx.raw_parcels(spark, sf).orderBy("seq").drop("seq")
+    orders = files.sink_csv(p, workspace(spark, "parcels_csv"))
+    telemetry = workspace(spark, "samples_json")
+    fx.raw_samples(spark, sf).write.json(telemetry)
+    paths = fleet_from_files(spark, orders, telemetry, workspace(spark, "published"))
+    return rounded(read_table(spark, paths["bronze_layer"])).drop("seq")
+
+
 #: Parcels on the road, and those whose status is not known.
 STATUS_SQL = """
 SELECT *
@@ -358,7 +483,15 @@ BRONZE_SPEC = TableSpec("bronze_layer", "order_id", "delivery_end_time", (), clu
 
 
 def q_status_lookup(spark, sf):
-    return rounded(files.run_sql(spark, STATUS_SQL, bronze_layer=_fleet(spark, sf)["bronze_layer"]))
+    # the status is an order column: look it up among the orders, then enrich those found
+    found = files.run_sql(spark, STATUS_SQL, bronze_layer=fl.numbered_chain(fx.parcels(spark, sf)))
+    return rounded(fl.bronze_of(found, fx.samples(spark, sf)))
+
+
+def q_status_lookup_base(spark, sf):
+    """The same question to the stored base file (plain parquet, millisecond timestamps)."""
+    path = files.sink_parquet_ms(_fleet(spark, sf)["bronze_layer"], workspace(spark, "base"))
+    return rounded(files.run_sql(spark, STATUS_SQL, bronze_layer=files.scan_parquet(spark, path)))
 
 
 def q_status_lookup_table(spark, sf):
@@ -374,6 +507,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_telemetry_means": q_order_telemetry_means,
     "order_means_fleet50": q_order_means_fleet50,
     "order_means_fleet50_plain": q_order_means_fleet50_plain,
+    "interval_join_dates": q_interval_join_dates,
+    "interval_join_date_bounds": q_interval_join_date_bounds,
+    "interval_join_zoned": q_interval_join_zoned,
+    "interval_join_open_end": q_interval_join_open_end,
     "pending_orders": q_pending_orders,
     "unmatched_orders": q_unmatched_orders,
     "silver_orders": q_silver_orders,
@@ -393,12 +530,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_latest": q_dedupe_latest,
     "pruned_read": q_pruned_read,
     "multi_layout": q_multi_layout,
+    "layouts_read_back": q_layouts_read_back,
+    "upsert_unpartitioned": q_upsert_unpartitioned,
+    "upsert_moved_partitions": q_upsert_moved_partitions,
     # ingest
     "ingest_orders_csv": q_ingest_orders_csv,
     "ingest_telemetry_csv": q_ingest_telemetry_csv,
+    "ingest_telemetry_csv_typed": q_ingest_telemetry_csv_typed,
+    "view_by_name": q_view_by_name,
     "ingest_rejects": q_ingest_rejects,
     "ingest_telemetry_json": q_ingest_telemetry_json,
     "normalise_telemetry": q_normalise_telemetry,
+    "normalise_service": q_normalise_service,
     "normalise_orders": q_normalise_orders,
     "sink_parquet_ms": q_sink_parquet_ms,
     "flatten_struct": q_flatten_struct,
@@ -415,7 +558,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fleet_finances": _fleet_table("finances"),
     "fleet_temperature_alerts": _fleet_table("temperature_alerts"),
     "status_lookup": q_status_lookup,
+    "status_lookup_base": q_status_lookup_base,
     "status_lookup_table": q_status_lookup_table,
     "published_sales_dashboard": q_published_sales_dashboard,
     "published_temperature_alerts": q_published_temperature_alerts,
+    "job_deliveries_files": q_job_deliveries_files,
+    "job_fleet_files": q_job_fleet_files,
 }

@@ -7,10 +7,12 @@ schema reads all columns as text, which the typed ingest then casts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
 
+from convoy.session import materialize
+
 
 def scan_json(spark: SparkSession, path: str, schema: StructType | str | None = None, multiline: bool = False) -> DataFrame:
     """JSON records.  ``multiline=True`` reads files that each hold one array of records
@@ -29,6 +31,29 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return r.csv(path)
 
 
+def in_file_order(scanned: DataFrame, seq: str = "seq") -> DataFrame:
+    """Rows of a file scan with their position 1..n in the files (files in path order).
+
+    The rows are staged with the split they came from; a split lies whole in one task, in file
+    order, so a position is the rows of all earlier splits plus the place in its own split.  The
+    window runs over one row per split."""
+    split = ["__file", "__block"]
+    staged, _ = materialize(
+        scanned.select(
+            "*",
+            F.col("_metadata.file_path").alias("__file"),
+            F.col("_metadata.file_block_start").alias("__block"),
+            F.monotonically_increasing_id().alias("__id"),
+        ),
+        "file_rows",
+    )
+    splits = staged.groupBy(*split).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    earlier = F.sum("__n").over(Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select(*split, "__first", F.coalesce(earlier, F.lit(0)).alias("__before"))
+    position = F.col("__before") + F.col("__id") - F.col("__first") + 1
+    return staged.join(splits, split).select(*[F.col(f"`{c}`") for c in scanned.columns], position.alias(seq))
+
+
 def scan_csv_typed(spark: SparkSession, path: str, schema: StructType | str, mode: str = "PERMISSIVE") -> DataFrame:
     """CSV with a header and a declared schema; malformed values are NULL in ``PERMISSIVE``
     mode and fail the job in ``FAILFAST``."""
@@ -48,7 +73,9 @@ def scan_parquet(spark: SparkSession, path: str, schema: StructType | str | None
 
 
 def sink_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header line; zone-free timestamps keep their microseconds."""
+    w = df.write.mode("overwrite").option("header", True)
+    w.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
     return path
 
 

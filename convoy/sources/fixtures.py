@@ -59,6 +59,8 @@ def telemetry(spark: SparkSession, sf_dir: str, fleet: int | None = None) -> Dat
         "cast(25 + (event_id * 7) % 31 AS double) AS engine_temperature",
         "cast(20 + (event_id * 3) % 21 AS double) AS battery_temperature",
         "value AS speed",
+        "cast(((event_id * 7) % 721) / 4.0 - 90.0 AS float) AS latitude",
+        "cast(((event_id * 11) % 1441) / 4.0 - 180.0 AS float) AS longitude",
     )
 
 
@@ -82,6 +84,8 @@ def shipments_from(o: DataFrame, fleet: Column) -> DataFrame:
         F.expr("format_string('O%07d', o_orderkey)").alias("order_id"),
         F.expr(_STATUS).alias("order_status"),
         F.expr(f"cast({_ORDER_START} AS date)").alias("order_date"),
+        F.expr("cast(((o_orderkey * 7) % 721) / 4.0 - 90.0 AS float)").alias("delivery_latitude"),
+        F.expr("cast(((o_orderkey * 11) % 1441) / 4.0 - 180.0 AS float)").alias("delivery_longitude"),
         F.expr(f"CASE WHEN o_orderstatus <> 'P' THEN {_ORDER_START} END").alias("delivery_start_datetime"),
         F.expr(f"CASE WHEN o_orderstatus <> 'P' THEN {end} END").alias("delivery_end_datetime"),
         F.when(F.col("o_orderstatus") != "P", zfill_int(F.col("o_custkey") % fleet, 5, "V")).alias("vehicle_id"),
