@@ -24,8 +24,10 @@ IN_TRANSIT, PENDING, DELIVERED = "in transit", "pending", "delivered"
 DAILY_AS_OF = "2024-01-01"  # the "today" of the daily orders table
 
 # The enrichment joins on the time bucket alone (any vehicle's samples count), so a moment at
-# which the whole fleet reports is one key: its samples are dealt over this many lanes.
-SALT = 4
+# which the whole fleet reports is one key.  Adaptive execution splits it (the join is inner);
+# where that is off, ``salt`` deals its samples over so many lanes, at the price of as many
+# copies of each window.
+SALT = 1
 
 def chained_windows(
     parcels: DataFrame, seq: str = "seq", duration: str = "delivery_time", number_as: str | None = None
@@ -88,15 +90,19 @@ def numbered_chain(parcels: DataFrame) -> DataFrame:
     return stage(chained_windows(parcels, number_as="order_id"), "chained_orders")[0]
 
 
-def bronze(parcels: DataFrame, samples: DataFrame, bucket_seconds: float | Buckets | None = None) -> DataFrame:
+def bronze(
+    parcels: DataFrame, samples: DataFrame, bucket_seconds: float | Buckets | None = None, salt: int = SALT
+) -> DataFrame:
     """The numbered chain, enriched."""
-    return bronze_of(numbered_chain(parcels), samples, bucket_seconds)
+    return bronze_of(numbered_chain(parcels), samples, bucket_seconds, salt)
 
 
-def bronze_of(chained: DataFrame, samples: DataFrame, bucket_seconds: float | Buckets | None = None) -> DataFrame:
+def bronze_of(
+    chained: DataFrame, samples: DataFrame, bucket_seconds: float | Buckets | None = None, salt: int = SALT
+) -> DataFrame:
     """Bronze rows of these orders.  The enrichment works on each order by itself, so a filter on
     order columns may come before it."""
-    enriched = enrich_windows(chained, samples, bucket_seconds=bucket_seconds)
+    enriched = enrich_windows(chained, samples, bucket_seconds=bucket_seconds, salt=salt)
     return enriched.select(*[c for c in enriched.columns if c != "order_id"], "order_id")
 
 
@@ -124,7 +130,7 @@ def temperature_alerts(bronze_df: DataFrame) -> DataFrame:
     return bronze_df.filter((F.col("battery_temperature") > 30) | (F.col("engine_temperature") > 40)).na.drop("any")
 
 
-def build(parcels: DataFrame, samples: DataFrame, bucket_seconds: float | Buckets | None = None):
+def build(parcels: DataFrame, samples: DataFrame, bucket_seconds: float | Buckets | None = None, salt: int = SALT):
     """All tables of the small pipeline as lazy DataFrames, keyed by published name.  Tables of one
     status or date enrich only the orders they keep."""
     chained = numbered_chain(parcels)
@@ -134,7 +140,7 @@ def build(parcels: DataFrame, samples: DataFrame, bucket_seconds: float | Bucket
         )
 
     def b(only: str = "true") -> DataFrame:
-        return bronze_of(chained.where(only), samples, bucket_seconds)
+        return bronze_of(chained.where(only), samples, bucket_seconds, salt)
 
     transit = transit_orders(b(f"delivery_status IN ('{IN_TRANSIT}', '{PENDING}')"))
     successful = successful_orders(b(f"delivery_status = '{DELIVERED}'"))
