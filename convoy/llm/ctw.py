@@ -10,15 +10,19 @@ and half: P_w = (P_e + prod P_w(child)) / 2.  The posterior odds ``beta = P_e /
 say how far prediction trusts the node against its deeper contexts; predicting walks from depth 0
 down the context, mixing all depths by these odds, and ends at the deepest context that occurred.
 
-Training is counting.  Tasks count (D context bytes, byte) grams of all training texts, Spark adds
-them up, and one more pass, partitioned by the two nearest context bytes, derives the nodes of
-depth 2..D bottom-up; depths 0 and 1 (at most 65,280 nodes) are added on the driver.  The counts
-cover all training texts and grow with them.  What scoring broadcasts is bounded: the
-``NODES`` nodes of largest count (a threshold found from a histogram; a node's ancestors count at
-least as much, so contexts are cut only at their far end), and the ``HEAD`` most frequent tokens.
+Training is counting.  Tasks count (D context bytes, byte) grams of all texts, apart for those of
+the training texts, and Spark adds them up.  Nodes of depth 2..D belong to one family of grams, those
+with the same two nearest context bytes; a pass over the families derives the sums that depth 1
+needs, depths 0 and 1 (at most 65,280 nodes) are added on the driver, and a second pass walks
+every distinct gram from depth 0 down and writes its log probability.  Grams that only unseen
+texts hold have no counts, which changes no node: an estimator without counts has probability 1.
 
-Base score.  Counts of the head tokens are broadcast; all other tokens are joined with the token
-counts, so the vocabulary is never held whole.
+Scoring adds up the log probabilities of a text's grams.  Those of the ``HEAD_GRAMS`` most frequent
+grams are broadcast (a threshold found from a histogram); all others are joined, so what the
+model knows grows with the corpus and no count is left out.
+
+Base score.  Counts of the ``HEAD`` most frequent tokens are broadcast; all others are joined with
+the token counts, so the vocabulary is never held whole.
 
 Cases: NULL or empty text is the end alone.  Without training rows every bit has probability 1/2
 and every token is unknown.  Long texts are scored in blocks, with no context lost.
@@ -37,13 +41,11 @@ from pyspark.sql import functions as F
 from convoy.llm.common import col, lower_words, staged
 
 DEPTH = 5
-#: Bounds on what is broadcast: nodes and tokens.
-NODES, HEAD = 1 << 21, 1 << 17
+#: Bounds on what is broadcast: grams and tokens.  Beyond them rows are joined.
+HEAD_GRAMS, HEAD = 1 << 21, 1 << 17
 #: Bytes counted or scored at a time.
 BLOCK = 1 << 20
-#: Scored grams that a Python worker remembers.
-MEMO = 1 << 20
-#: New grams whose contexts are walked at a time.
+#: Grams weighed at a time; a family of grams stays whole.
 CHUNK = 1 << 16
 END = b"\n"
 _LN2 = float(np.log(2.0))
@@ -95,26 +97,32 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def count_grams(texts: DataFrame, depth: int) -> DataFrame:
-    """(gram long, n long) over ``texts(text binary)``; each task merges its blocks first."""
+    """(gram long, n long, learned long) over ``texts(text binary, training boolean)``: how often
+    a gram occurs in all texts and in those to learn from; each task merges its blocks first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, np.ndarray]] = []
 
         def out(keys, counts):
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["gram", "n"])
-
-        for grams, _ in _blocks((stream(x.as_py()) for batch in batches for x in batch.column(0)), depth):
-            keys, counts = np.unique(grams, return_counts=True)
-            parts.append((keys, counts.astype(np.int64)))
-            if sum(len(k) for k, _ in parts) > 4 * BLOCK:
-                parts = [_merged(parts)]
-                if len(parts[0][0]) > 2 * BLOCK:
-                    yield out(*parts[0])
-                    parts = []
+            columns = [keys.view(np.int64), counts[:, 0].copy(), counts[:, 1].copy()]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "n", "learned"])
+
+        for batch in batches:
+            training = batch.column(1).fill_null(False).to_numpy(zero_copy_only=False)
+            for grams, owner in _blocks((stream(x.as_py()) for x in batch.column(0)), depth):
+                keys, place = np.unique(grams, return_inverse=True)
+                learned = np.bincount(place[training[owner]], minlength=len(keys))
+                parts.append((keys, np.stack([np.bincount(place, minlength=len(keys)), learned], axis=1)))
+                if sum(len(k) for k, _ in parts) > 4 * BLOCK:
+                    parts = [_merged(parts)]
+                    if len(parts[0][0]) > 2 * BLOCK:
+                        yield out(*parts[0])
+                        parts = []
         if parts:
             yield out(*_merged(parts))
 
-    return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(run, "gram long, n long, learned long")
+    return counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("learned").alias("learned"))
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -129,10 +137,6 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - float(np.log(np.pi))
 
 
-def _tag(depth: int) -> np.uint64:
-    return np.uint64(depth << 56)
-
-
 def _bit_nodes(contexts: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """[n, 8] keys (context, path inside the byte) and bits of byte symbols."""
     k = np.arange(8, dtype=np.uint64)
@@ -140,31 +144,77 @@ def _bit_nodes(contexts: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, n
     return (contexts[:, None] << np.uint64(8)) | path, ((symbols[:, None] >> (np.uint64(7) - k)) & np.uint64(1)).astype(bool)
 
 
-def _weigh(grams: np.ndarray, counts: np.ndarray, depth: int, top: int) -> list[tuple[np.ndarray, ...]]:
-    """Nodes of depths ``depth`` down to ``top``, each (tagged keys, zeros, ones, beta), and last
-    the sums that depth ``top - 1`` needs: (keys, zeros, ones, sum of log P_w over children)."""
-    symbols, contexts, out, below = grams & np.uint64(255), grams >> np.uint64(8), [], None
-    for d in range(depth, top - 2, -1):
+def _families(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[list[np.ndarray]]:
+    """The columns of batches sorted by gram, cut where the two nearest context bytes change, in
+    pieces of about ``CHUNK`` grams."""
+    shift = np.uint64(8 * (depth - 1))
+    held, size, last = [], 0, None
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        columns[0] = columns[0].view(np.uint64)
+        held.append(columns)
+        size += len(batch)
+        near = columns[0][-1] >> shift
+        if size >= CHUNK and near != last:
+            merged = [np.concatenate(c) for c in zip(*held, strict=True)]
+            cut = int(np.searchsorted(merged[0] >> shift, near))
+            if cut:
+                yield [c[:cut] for c in merged]
+            held, size = [[c[cut:] for c in merged]], size - cut
+        last = near
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def _odds(own: np.ndarray, deeper: np.ndarray) -> np.ndarray:
+    return np.exp(np.clip(own - deeper, -69, 69))
+
+
+def _weigh(grams: np.ndarray, learned: np.ndarray, depth: int) -> tuple[dict[int, tuple], tuple]:
+    """Whole families of distinct grams -> the nodes of depths 2 to ``depth`` as seen by the eight
+    bits of every gram, {depth: (node of each bit, its count, probability of a one, beta)}, and
+    what depth 1 needs of them: (keys, zeros, ones, sum of log P_w over the children)."""
+    symbols, contexts, levels, below = grams & np.uint64(255), grams >> np.uint64(8), {}, None
+    weights = np.repeat(learned, 8).astype(float)
+    for d in range(depth, 0, -1):
         keys, bits = _bit_nodes(contexts >> np.uint64(8 * (depth - d)), symbols)
-        nodes, inverse = np.unique(keys.ravel(), return_inverse=True)
-        weights = np.repeat(counts, 8).astype(float)
-        ones = np.bincount(inverse, weights * bits.ravel(), len(nodes))
-        zeros = np.bincount(inverse, weights, len(nodes)) - ones
-        own = log_kt(zeros, ones)
-        if below is None:
-            out.append((nodes | _tag(d), zeros, ones, np.full(len(nodes), 1e30)))
-            total = own
-        else:
+        nodes, place = np.unique(keys.ravel(), return_inverse=True)
+        ones = np.bincount(place, weights * bits.ravel(), len(nodes))
+        zeros = np.bincount(place, weights, len(nodes)) - ones
+        if below is not None:
             child, log_pw = below
             parent = ((child >> np.uint64(16)) << np.uint64(8)) | (child & np.uint64(255))
             deeper = np.bincount(np.searchsorted(nodes, parent), log_pw, len(nodes))
-            if d < top:
-                out.append((nodes | _tag(d), zeros, ones, deeper))
-                break
-            out.append((nodes | _tag(d), zeros, ones, np.exp(np.clip(own - deeper, -69, 69))))
-            total = np.logaddexp(own, deeper) - _LN2
-        below = (nodes, total)
-    return out
+            if d == 1:
+                return levels, (nodes, zeros, ones, deeper)
+        own = np.where(zeros + ones > 0, log_kt(zeros, ones), 0.0)
+        beta = np.full(len(nodes), np.inf) if below is None else _odds(own, deeper)
+        levels[d] = place.reshape(-1, 8), zeros + ones, (ones + 0.5) / (zeros + ones + 1.0), beta
+        below = nodes, own if below is None else np.logaddexp(own, deeper) - _LN2
+    raise ValueError("depth 2 or more")
+
+
+def _walk(grams: np.ndarray, learned: np.ndarray, depth: int, top: list[tuple]) -> np.ndarray:
+    """log10 P(byte | context) of whole families of distinct grams; ``top``: (count, probability
+    of a one, beta) of the nodes of depths 0 and 1 by their keys."""
+    levels, _ = _weigh(grams, learned, depth)
+    symbols, contexts = grams & np.uint64(255), grams >> np.uint64(8)
+    for d in (0, 1):
+        nearest = contexts >> np.uint64(8 * (depth - 1)) if d else np.zeros_like(contexts)
+        keys, bits = _bit_nodes(nearest, symbols)
+        levels[d] = keys.astype(np.int64), *top[d]
+    mixed, left, last = np.zeros(bits.shape), np.ones(bits.shape), np.full(bits.shape, 0.5)
+    for d in range(depth + 1):
+        place, count, p, beta = levels[d]
+        seen = count[place] > 0  # a context that did not occur has no deeper one that did
+        p = np.where(bits, p[place], 1.0 - p[place])
+        share = left / (1.0 + beta[place])
+        last = np.where(seen, mixed + left * p, last)
+        mixed = np.where(seen, mixed + (left - share) * p, mixed)
+        left = np.where(seen, share, left)
+    return np.log10(last).sum(axis=1)
 
 
 _FREE = np.uint64(2**64 - 1)
@@ -208,60 +258,21 @@ class Table:
         return found, self.values[at]
 
 
-class Tree:
-    """The broadcast nodes: key -> (probability of a one, beta).  What travels are the plain
-    arrays; a worker builds the table, and a memo of scored grams, at its first use."""
+class Head:
+    """The broadcast grams: gram -> log10 of its probability.  What travels are the plain arrays; a
+    worker builds the table at its first use."""
 
-    def __init__(self, keys: np.ndarray, p: np.ndarray, beta: np.ndarray, depth: int):
-        self.nodes, self.depth = (keys, p.astype(np.float32), beta.astype(np.float32)), depth
-        self.table = self.memo = None
+    def __init__(self, grams: np.ndarray, logs: np.ndarray):
+        self.arrays, self.table = (grams, logs), None
 
-    def __getstate__(self):
-        return {"nodes": self.nodes, "depth": self.depth, "table": None, "memo": None}
-
-    def log10(self, grams: np.ndarray) -> np.ndarray:
-        """log10 P(byte | context) of every gram."""
+    def get(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(found, log10)"""
         if self.table is None:
-            (keys, p, beta), self.nodes = self.nodes, None
-            self.table, self.memo = Table(len(keys), 2, np.float32), Table(MEMO, 1, np.float64)
-            self.table.put(keys, np.stack([p, beta], axis=1))
-        known, values = self.memo.get(grams)
-        values = values[:, 0]
-        if not known.all():
-            fresh, inverse = np.unique(grams[~known], return_inverse=True)
-            computed = np.concatenate([self._mixed(fresh[s : s + CHUNK]) for s in range(0, len(fresh), CHUNK)])
-            values[~known] = computed[inverse]
-            self.memo.put(fresh, computed[:, None])
-        return values
-
-    def _mixed(self, grams: np.ndarray) -> np.ndarray:
-        """The same for distinct grams, walked from depth 0 down, each context once per depth."""
-        d_bits = np.uint64(8 * self.depth)
-        order = ((grams & np.uint64(255)) << d_bits) | (grams >> np.uint64(8))  # byte first, then nearest context
-        place = np.argsort(order)
-        unique = order[place]
-        index = np.zeros(len(unique), np.int64)
-        mixed, left, last = np.zeros((1, 8)), np.ones((1, 8)), np.full((1, 8), 0.5)
-        for d in range(self.depth + 1):
-            part = unique >> np.uint64(8 * (self.depth - d))
-            fresh = np.concatenate(([True], part[1:] != part[:-1]))
-            first = np.flatnonzero(fresh)
-            parent, index = index[first], np.cumsum(fresh) - 1
-            part = part[first]
-            contexts = part & np.uint64((1 << (8 * d)) - 1)
-            keys, bits = _bit_nodes(contexts, part >> np.uint64(8 * d))
-            found, value = self.table.get((keys | _tag(d)).ravel())
-            found, p, beta = found.reshape(-1, 8), value[:, 0].reshape(-1, 8).astype(float), value[:, 1].reshape(-1, 8).astype(float)
-            p = np.where(bits, p, 1.0 - p)
-            mixed, left, last = mixed[parent], left[parent], last[parent]
-            share = left / (1.0 + beta)
-            ends = mixed + left * p
-            mixed = np.where(found, mixed + (left - share) * p, last)
-            left = np.where(found, share, 0.0)
-            last = np.where(found, ends, last)
-        out = np.empty(len(grams))
-        out[place] = np.log10(last).sum(axis=1)[index]
-        return out
+            (keys, logs), self.arrays = self.arrays, None
+            self.table = Table(len(keys), 1, np.float64)
+            self.table.put(keys, logs[:, None])
+        found, values = self.table.get(grams)
+        return found, values[:, 0]
 
 
 def heaviest(df: DataFrame, weight: Column, limit: int) -> DataFrame:
@@ -277,45 +288,41 @@ def heaviest(df: DataFrame, weight: Column, limit: int) -> DataFrame:
     return binned.where(F.lit(False) if least is None else F.col("__bin") >= least).drop("__bin")
 
 
-def train(texts: DataFrame, depth: int = DEPTH, nodes: int = NODES) -> Tree:
-    """``texts(text binary)`` of the training rows -> the weighted tree."""
+def gram_scores(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(gram long, n long, log10 double): every distinct gram of ``texts(text binary, training
+    boolean)``, its count in all of them and its probability given the training texts."""
     if not 2 <= depth <= 6:
         raise ValueError("depth 2 to 6")
+    grams = staged(count_grams(texts, depth), "grams")
+    families = grams.repartition(F.shiftright("gram", 8 * (depth - 1))).sortWithinPartitions("gram")
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, _, learned in _families(batches, depth):
+            _, (nodes, *values) = _weigh(keys, learned, depth)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes.view(np.int64)), *map(pa.array, values)], ["node", "zeros", "ones", "deeper"]
+            )
 
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()) for b in batches if len(b)]
-        if parts:
-            for keys, zeros, ones, x in _weigh(*_merged(parts), depth, 2):
-                for s in range(0, len(keys), 1 << 18):
-                    cut = slice(s, s + (1 << 18))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(a[cut]) for a in (keys.view(np.int64), zeros, ones, x)], ["node", "zeros", "ones", "x"]
-                    )
-
-    grams = count_grams(texts, depth)
-    near = F.shiftright("gram", 8 * (depth - 1))
-    tree = grams.repartition(near).mapInArrow(weigh, "node long, zeros double, ones double, x double")
-    tree = staged(tree, "context_tree")
-    level = F.shiftright("node", 56)
     # depth 1 is summed over the second context byte: at most 256 x 255 nodes; depth 0 follows
-    sums = tree.where(level == 1).groupBy("node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("x").alias("x"))
-    low = sums.toArrow()
-    n1 = low["node"].to_numpy().view(np.uint64) ^ _tag(1)
-    z1, o1, deeper = (low[c].to_numpy() for c in ("zeros", "ones", "x"))
-    own = log_kt(z1, o1)
-    b1 = np.exp(np.clip(own - deeper, -69, 69))
-    n0, inverse = np.unique(n1 & np.uint64(255), return_inverse=True)
-    z0, o0 = np.bincount(inverse, z1, len(n0)), np.bincount(inverse, o1, len(n0))
-    b0 = np.exp(np.clip(log_kt(z0, o0) - np.bincount(inverse, np.logaddexp(own, deeper) - _LN2, len(n0)), -69, 69))
-    deep = heaviest(tree.where(level >= 2), F.col("zeros") + F.col("ones"), nodes).select(
-        "node",
-        ((F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)).cast("float").alias("p"),
-        F.col("x").cast("float").alias("beta"),
-    )
-    deep = deep.toArrow()
-    keys = np.concatenate([n0 | _tag(0), n1 | _tag(1), deep["node"].to_numpy().view(np.uint64)])
-    p = np.concatenate([(o0 + 0.5) / (z0 + o0 + 1), (o1 + 0.5) / (z1 + o1 + 1), deep["p"].to_numpy()])
-    return Tree(keys, p, np.concatenate([b0, b1, deep["beta"].to_numpy()]), depth)
+    low = families.where("learned > 0").mapInArrow(sums, "node long, zeros double, ones double, deeper double")
+    low = low.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "deeper")]).toArrow()
+    z1, o1, d1 = np.zeros((3, 1 << 16))
+    for target, name in ((z1, "zeros"), (o1, "ones"), (d1, "deeper")):
+        target[low["node"].to_numpy()] = low[name].to_numpy()
+    own = np.where(z1 + o1 > 0, log_kt(z1, o1), 0.0)
+    z0, o0, d0 = (x.reshape(256, 256).sum(axis=0) for x in (z1, o1, np.logaddexp(own, d1) - _LN2))
+    top = [
+        (z0 + o0, (o0 + 0.5) / (z0 + o0 + 1), _odds(np.where(z0 + o0 > 0, log_kt(z0, o0), 0.0), d0)),
+        (z1 + o1, (o1 + 0.5) / (z1 + o1 + 1), _odds(own, d1)),
+    ]
+    sent = texts.sparkSession.sparkContext.broadcast(top)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, n, learned in _families(batches, depth):
+            logs = _walk(keys, learned, depth, sent.value)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n), pa.array(logs)], ["gram", "n", "log10"])
+
+    return staged(families.mapInArrow(walk, "gram long, n long, log10 double"), "gram_scores")
 
 
 def count_tokens(texts: DataFrame) -> DataFrame:
@@ -343,27 +350,35 @@ def count_tokens(texts: DataFrame) -> DataFrame:
 
 
 def score(
-    docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, nodes: int = NODES, head: int = HEAD
+    docs: DataFrame,
+    training: Column,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    depth: int = DEPTH,
+    head_grams: int = HEAD_GRAMS,
+    head: int = HEAD,
 ) -> DataFrame:
     """(doc_id, training, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte)."""
     spark = docs.sparkSession
     slim = docs.select(
         col(id_col).alias("doc_id"), training.alias("training"), F.coalesce(col(text_col).cast("string"), F.lit("")).cast("binary").alias("text")
     )
-    learn = slim.where("training").select("text")
-    vocabulary = staged(count_tokens(learn), "tokens")
+    vocabulary = staged(count_tokens(slim.where("training").select("text")), "tokens")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     bottom = max(total + 0.5 * (distinct + 1), 0.5)
     top = heaviest(vocabulary, F.col("n"), head).toArrow()
     known = dict(zip(top["token"].to_pylist(), np.log10((top["n"].to_numpy() + 0.5) / bottom).tolist(), strict=True))
-    sent = spark.sparkContext.broadcast((train(learn, depth, nodes), known))
+    model = gram_scores(slim.select("text", "training"), depth)
+    often = heaviest(model, F.col("n"), head_grams).select("gram", "log10").toArrow()
+    sent = spark.sparkContext.broadcast((Head(often["gram"].to_numpy().view(np.uint64), often["log10"].to_numpy()), known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, frequent = sent.value
+        grams_of, frequent = sent.value
         get = frequent.get
         for batch in batches:
             tokens, sums, rest, n = [], [], [], len(batch)
             scores, sizes = np.zeros(n), np.zeros(n, np.int64)
+            rare, rare_sizes = [np.zeros(0, np.uint64)], np.zeros(n, np.int64)
 
             def streams(texts, tokens=tokens, sums=sums, rest=rest):
                 for x in texts:
@@ -375,21 +390,27 @@ def score(
                     rest.append([w for w, v in zip(words, logs, strict=True) if v is None] if None in logs else [])
                     sums.append(sum(filter(None, logs)))
 
-            for grams, owner in _blocks(streams(batch.column(2)), tree.depth):
-                scores += np.bincount(owner, tree.log10(grams), n)
+            for grams, owner in _blocks(streams(batch.column(2)), depth):
+                found, logs = grams_of.get(grams)
+                scores += np.bincount(owner, np.where(found, logs, 0.0), n)
                 sizes += np.bincount(owner, minlength=n)
+                rare.append(grams[~found])  # owners ascend
+                rare_sizes += np.bincount(owner[~found], minlength=n)
+            offsets = np.concatenate(([0], np.cumsum(rare_sizes))).astype(np.int32)
+            rare_grams = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rare).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1), pa.array(tokens, pa.int64()), pa.array(sums, pa.float64()),
-                    pa.array(rest, pa.list_(pa.binary())), pa.array(scores), pa.array(-scores / np.log10(2.0) / np.maximum(sizes, 1)),
+                    pa.array(rest, pa.list_(pa.binary())), pa.array(scores), rare_grams, pa.array(sizes),
                 ],
-                ["doc_id", "training", "n_tokens", "head_sum", "rare", "score", "bits_per_byte"],
+                ["doc_id", "training", "n_tokens", "head_sum", "rare", "head_score", "rare_grams", "size"],
             )
 
     kind = slim.schema["doc_id"].dataType.simpleString()
     scored = slim.mapInArrow(
         run,
-        f"doc_id {kind}, training boolean, n_tokens long, head_sum double, rare array<binary>, score double, bits_per_byte double",
+        f"doc_id {kind}, training boolean, n_tokens long, head_sum double, rare array<binary>, head_score double, "
+        "rare_grams array<long>, size long",
     )
     scored = staged(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("row", F.explode("rare").alias("token")).join(vocabulary, "token", "left")
@@ -397,13 +418,18 @@ def score(
         F.sum(F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(bottom))).alias("tail_sum"),
         F.sum(F.col("n").isNull().cast("long")).alias("unknown"),
     )
-    return scored.drop("rare").join(tail, "row", "left").select(
+    # a gram outside the head is rare, so neither side of this join has a hot key
+    others = scored.select("row", F.explode("rare_grams").alias("gram")).join(model.select("gram", "log10"), "gram")
+    deep = others.groupBy("row").agg(F.sum("log10").alias("tail_score"))
+    out = scored.drop("rare", "rare_grams").join(tail, "row", "left").join(deep, "row", "left")
+    whole = F.col("head_score") + F.coalesce("tail_score", F.lit(0.0))
+    return out.select(
         "doc_id",
         "training",
         "n_tokens",
         (F.col("n_tokens") - F.coalesce("unknown", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("head_sum") + F.coalesce("tail_sum", F.lit(0.0))).alias("base_score"),
-        "score",
-        "bits_per_byte",
+        whole.alias("score"),
+        (-whole / F.log10(F.lit(2.0)) / F.greatest("size", F.lit(1))).alias("bits_per_byte"),
     )

@@ -152,9 +152,20 @@ def test_tree_equals_definition(spark):
     texts = [make(40) for _ in range(6)] + ["", None, "zzz unseen"]
     frame = spark.createDataFrame([(i, t, i < 5) for i, t in enumerate(texts)], "doc_id long, text string, use boolean")
     known = [(t or "").encode() for t in texts[:5]]
-    for r in ctw.score(frame, ctw.F.col("use"), depth=3).collect():
-        want = reference_log10(known, (texts[r["doc_id"]] or "").encode(), 3)
-        assert math.isclose(r["score"], want, rel_tol=1e-5), (r, want)
+    for head_grams in (1 << 21, 20, 0):  # all grams broadcast, some joined, all joined
+        for r in ctw.score(frame, ctw.F.col("use"), depth=3, head_grams=head_grams).collect():
+            want = reference_log10(known, (texts[r["doc_id"]] or "").encode(), 3)
+            assert math.isclose(r["score"], want, rel_tol=1e-6), (r, want)
+
+
+def test_families_stay_whole(monkeypatch):
+    monkeypatch.setattr(ctw, "CHUNK", 5)
+    grams = np.sort(np.random.default_rng(2).integers(0, 6 << 24, 400)).astype(np.int64)
+    batches = [ctw.pa.RecordBatch.from_arrays([ctw.pa.array(grams[s : s + 3])], ["gram"]) for s in range(0, 400, 3)]
+    pieces = [p[0] for p in ctw._families(iter(batches), 3)]
+    assert np.concatenate(pieces).tolist() == grams.tolist()
+    heads = [set((p >> np.uint64(16)).tolist()) for p in pieces]
+    assert len(pieces) > 50 and sum(map(len, heads)) == len(set().union(*heads))
 
 
 def test_scoring_odd_rows(odd, empty, monkeypatch):
