@@ -113,9 +113,9 @@ def count_grams(texts: DataFrame, depth: int) -> DataFrame:
                 keys, place = np.unique(grams, return_inverse=True)
                 learned = np.bincount(place[training[owner]], minlength=len(keys))
                 parts.append((keys, np.stack([np.bincount(place, minlength=len(keys)), learned], axis=1)))
-                if sum(len(k) for k, _ in parts) > 4 * BLOCK:
+                if sum(len(k) for k, _ in parts) > 2 * BLOCK:
                     parts = [_merged(parts)]
-                    if len(parts[0][0]) > 2 * BLOCK:
+                    if len(parts[0][0]) > BLOCK:
                         yield out(*parts[0])
                         parts = []
         if parts:
