@@ -211,18 +211,21 @@ def links(distinct: DataFrame, distance: int = 3, bucket: int = BUCKET) -> DataF
 
 
 def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance: int, bucket: int) -> DataFrame:
-    """(doc_id, text_key, fp, component_id), one row per input row."""
+    """(doc_id, text_key, fp, root, component_id), one row per input row; root: the component's
+    smallest fingerprint, which names it whatever its ids are."""
     fps = staged(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     member = components(links(distinct, distance, bucket)).select(F.col("node").alias("fp"), "root")
     # roots are nodes of their own component
     member = member.unionByName(member.select(F.col("root").alias("fp"), "root").distinct())
     named = member.join(distinct, "fp").groupBy("root").agg(F.min("first").alias("component"))
-    known = member.join(named, "root").select("fp", "component")
-    label = distinct.join(known, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id"))
+    known = member.join(named, "root").select("fp", "root", "component")
+    label = distinct.join(known, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component", "first").alias("component_id")
+    )
     # a table of its own, so that the join below reads two plain exchanges and can split a hot fingerprint
     label = staged(label, "labels")
-    return fps.join(label, "fp").select("doc_id", "text_key", "fp", "component_id")
+    return fps.join(label, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
 def near_duplicates(
@@ -239,11 +242,9 @@ def keep_one(
 ) -> DataFrame:
     """``docs`` with one row of each component: its smallest id (of rows that share that id, one)."""
     rows = staged(_labelled(docs, id_col, text_col, shingle, distance, bucket), "labelled")
-    first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        "text_key", F.coalesce(F.xxhash64("component_id"), "fp").alias("group"), "component_id"
-    )
-    # several rows only where an id repeats: one text of them stays, and one row of that text
-    one = first.groupBy("group", "component_id").agg(F.min("text_key").alias("__key"), F.count("*").alias("n"))
+    first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # several rows only where an id repeats or is NULL: one text of them stays, and one row of that text
+    one = first.groupBy("root").agg(F.min("text_key").alias("__key"), F.count("*").alias("n"))
     keyed = docs.withColumn("__key", text_key(id_col, text_col))
     kept = keyed.join(one.select("__key").distinct().hint("shuffle_hash"), "__key", "left_semi")
     if not one.where("n > 1").isEmpty():

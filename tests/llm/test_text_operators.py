@@ -94,6 +94,17 @@ def test_simhash_odd_rows(odd, empty):
     assert simhash.keep_one(odd).columns == odd.columns
 
 
+def test_keep_one_takes_one_row_of_each_component(spark):
+    rng = random.Random(11)
+    text = lambda: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(30))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(None, a), (None, a), (None, b), (None, c), (3, c), (7, d), (7, e), (9, d), (7, e), (3, text()), (4, text())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    # unrelated texts without an id, or under one repeated id, are components of their own
+    want = Counter([(None, a), (None, b), (3, c), (7, d), (7, e), rows[9], rows[10]])
+    assert Counter(tuple(r) for r in simhash.keep_one(frame).collect()) == want
+
+
 def test_quality_rules_equal_sql(spark):
     con = duckdb.connect()
     con.sql(f"create view documents as select * from '{SF}/documents.parquet'")
