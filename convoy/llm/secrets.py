@@ -2,11 +2,12 @@
 
 Base spans (kinds ``assign``, ``access``, ``hex``) are the leftmost non-overlapping matches of
 three patterns, dropped when too short.  The method adds spans of kind ``entropy``: a candidate
-is a maximal run of token characters that holds a digit and a letter; a window slides over it,
-and for each character class (hex digits, letters and digits, base-64 characters) the Shannon
-entropy of the window is kept by incremental counts, one character in and one out per step,
-restarting where a character leaves the class.  Windows over the class's threshold are united
-into spans.  An allow-list suppresses what is random in looks only: well-known example keys,
+is a maximal run of token characters that holds a digit and a letter; for each character class
+(hex digits, digits with letters of one case or both, base-64 characters) a window slides over
+its runs of the class, and its Shannon entropy is kept by incremental counts, one character in
+and one out per step; a run shorter than the window is measured at its own length.  The
+threshold is the low tail of the entropy that random windows of that length and alphabet have,
+computed exactly.  Windows that reach it are united into spans.  An allow-list suppresses what is random in looks only: well-known example keys,
 UUIDs, dates and version numbers, paths, placeholders with few distinct characters, and runs in
 alphabetical order; an entropy span that a base span covers is not repeated.
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,21 +34,29 @@ ACCESS = r"AKIA[A-Z0-9]+"  # 16 characters or more
 HEX = r"[0-9a-f]+"  # 32 or more
 KINDS = ("assign", "access", "hex", "entropy")
 
-#: Window length and, per character class, the least entropy in bits per character.
-WINDOW = 20
+#: Window length, and the least length of a run that is measured.
+WINDOW, SHORTEST = 20, 16
+#: Share of random windows that may stay below the threshold of their class.
+TAIL = 0.02
+#: Characters of each class, and the size of the smallest alphabet that random strings in it have.
 CLASSES = (
-    ("hex", frozenset("0123456789abcdefABCDEF"), 3.2),
-    ("alnum", frozenset("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"), 3.9),
-    ("base64", frozenset("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/=_-"), 4.1),
+    ("hex", "0-9a-fA-F", 16),
+    ("lower", "0-9a-z", 32),
+    ("upper", "0-9A-Z", 32),
+    ("alnum", "0-9a-zA-Z", 62),
+    ("base64", "0-9a-zA-Z+/=_-", 64),
 )
-CANDIDATE = re.compile(r"[A-Za-z0-9+/=_-]{%d,}" % WINDOW)
+CANDIDATE = re.compile(r"[A-Za-z0-9+/=_-]{%d,}" % SHORTEST)
+#: A word: letters of one case, or capitalised parts.
+WORD = r"(?:[A-Z]{3,}+|[a-z]{3,}+(?:[A-Z][a-z]++)*+|(?:[A-Z][a-z]++)++)"
 ALLOW = tuple(
     re.compile(p)
     for p in (
         r"(?i)example|sample|placeholder|dummy|changeme|your[_-]?(?:key|token|secret)",
         r"\A[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\Z",
         r"\A\d{4}-\d{2}-\d{2}",
-        r"\A(?:[A-Za-z]+|\d{1,4})(?:[/_=-]+(?:[A-Za-z]+|\d{1,4}))*[/_=-]*\Z",  # words and short numbers in a path or slug
+        # words, numbered words and short numbers in a path or slug
+        rf"\A(?:[A-Za-z]+|{WORD}\d{{1,4}}|\d{{1,4}})(?:[/_=-]+(?:[A-Za-z]+|{WORD}\d{{1,4}}|\d{{1,4}}))*[/_=-]*\Z",
     )
 )
 #: A span in which this share of steps goes to the next character of the alphabet is a sequence.
@@ -58,6 +68,38 @@ _ASSIGN, _ACCESS, _HEX = re.compile(ASSIGN), re.compile(r"AKIA[A-Z0-9]{12,}"), r
 _XLOGX = [0.0] + [i * math.log2(i) for i in range(1, WINDOW + 1)]
 
 
+def _partitions(n: int, most: int) -> Iterator[list[int]]:
+    if n == 0:
+        yield []
+    for first in range(min(n, most), 0, -1):
+        for others in _partitions(n - first, first):
+            yield [first, *others]
+
+
+def least_entropy(length: int, alphabet: int) -> float:
+    """The entropy that all but ``TAIL`` of the random strings of this length and alphabet reach."""
+    shares = []
+    for counts in _partitions(length, length):
+        if len(counts) <= alphabet:
+            ways = math.factorial(length) * math.perm(alphabet, len(counts))
+            for x in (*counts, *Counter(counts).values()):
+                ways //= math.factorial(x)
+            shares.append((math.log2(length) - sum(_XLOGX[x] for x in counts) / length, ways / alphabet**length))
+    below = 0.0
+    for entropy, share in sorted(shares):
+        below += share
+        if below > TAIL:
+            break
+    return entropy - 1e-6  # sums kept step by step may be off by their rounding
+
+
+#: per class: its runs, and the threshold by window length
+_RUNS = tuple(
+    (re.compile("[%s]{%d,}" % (members, SHORTEST)), {n: least_entropy(n, size) for n in range(SHORTEST, WINDOW + 1)})
+    for _, members, size in CLASSES
+)
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind index, end), sorted."""
     out = [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
@@ -70,26 +112,23 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def high_entropy(run: str) -> list[tuple[int, int]]:
     """Spans of ``run`` covered by windows whose entropy reaches the threshold of a class."""
     hits: list[tuple[int, int]] = []
-    for _, members, least in CLASSES:
-        counts: dict[str, int] = {}
-        total, size, s = 0.0, 0, 0
-        for e, ch in enumerate(run):
-            if ch not in members:
-                counts, total, size, s = {}, 0.0, 0, e + 1
-                continue
-            n = counts.get(ch, 0)
-            counts[ch] = n + 1
-            total += _XLOGX[n + 1] - _XLOGX[n]
-            size += 1
-            if size == WINDOW:
-                if math.log2(WINDOW) - total / WINDOW >= least:
-                    hits.append((s, e + 1))
-                old = run[s]
-                n = counts[old]
-                counts[old] = n - 1
-                total += _XLOGX[n - 1] - _XLOGX[n]
-                size -= 1
-                s += 1
+    for runs, least in _RUNS:
+        for m in runs.finditer(run):
+            window = min(WINDOW, m.end() - m.start())
+            most = (math.log2(window) - least[window]) * window
+            counts: dict[str, int] = {}
+            total, s = 0.0, m.start()
+            for e in range(m.start(), m.end()):
+                n = counts.get(run[e], 0)
+                counts[run[e]] = n + 1
+                total += _XLOGX[n + 1] - _XLOGX[n]
+                if e + 1 - s == window:
+                    if total <= most:
+                        hits.append((s, e + 1))
+                    n = counts[run[s]]
+                    counts[run[s]] = n - 1
+                    total += _XLOGX[n - 1] - _XLOGX[n]
+                    s += 1
     spans: list[tuple[int, int]] = []
     for s, e in sorted(hits):
         if spans and s <= spans[-1][1]:

@@ -197,6 +197,37 @@ def test_secrets_base_spans_and_entropy(spark, documents, odd, empty):
     assert secrets.scan_documents(empty).count() == 0
 
 
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+ALPHABETS = [DIGITS + "abcdef", UPPER + "234567", LOWER + DIGITS, LOWER + UPPER + DIGITS, LOWER + UPPER + DIGITS + "+/", LOWER + UPPER + DIGITS + "-_"]
+
+
+def test_random_keys_are_found_and_names_are_not():
+    rng = random.Random(8)
+    for alphabet in ALPHABETS:
+        for length, least in ((16, 0.88), (18, 0.9), (20, 0.93), (24, 0.95), (32, 0.98)):
+            keys = ["".join(rng.choices(alphabet, k=length)) for _ in range(500)]
+            assert sum(bool(secrets.entropy_spans(f"see {k} here")) for k in keys) >= least * 500, (alphabet, length)
+    names = (
+        "src/main/java2/com/acme/app/Module3 the-quick-brown-fox-jumps-over-13-lazy-dogs internationalization18n "
+        "IMG_20240102_123456 camelCaseIdentifierNumber42 SOME_CONSTANT_VALUE_64_BITS windows10-professional-edition "
+        "chapter12-section3-paragraph4 resnet50_batchsize32_epochs100 article/2023/11/05/how-to-train-your-dragon-3 "
+        "x86_64-unknown-linux-gnu-gcc12 aaaaaaaaaaaaaaaaaaaa1 1234567890123456a"
+    )
+    assert secrets.entropy_spans(names) == []
+
+
+def test_entropy_thresholds_leave_the_low_tail():
+    rng, draws = np.random.default_rng(3), 20_000
+    for length, alphabet in ((16, 16), (20, 32), (18, 62), (20, 64)):
+        drawn = np.sort(rng.integers(0, alphabet, (draws, length)), axis=1)
+        entropy = []
+        for row in drawn.tolist():
+            p = np.array(list(Counter(row).values())) / length
+            entropy.append(-(p * np.log2(p)).sum())
+        below = np.mean(np.array(entropy) < secrets.least_entropy(length, alphabet))
+        assert below <= secrets.TAIL + 0.005
+
+
 def test_line_dedup_equals_sql(spark):
     con = duckdb.connect()
     con.sql(f"create view documents as select * from '{SF}/documents.parquet'")
