@@ -7,9 +7,12 @@ is a maximal run of token characters that holds a digit and a letter; for each c
 its runs of the class, and its Shannon entropy is kept by incremental counts, one character in
 and one out per step; a run shorter than the window is measured at its own length.  The
 threshold is the low tail of the entropy that random windows of that length and alphabet have,
-computed exactly.  Windows that reach it are united into spans.  An allow-list suppresses what is random in looks only: well-known example keys,
-UUIDs, dates and version numbers, paths, placeholders with few distinct characters, and runs in
-alphabetical order; an entropy span that a base span covers is not repeated.
+computed exactly.  Windows that reach it are united into spans.  Words, dates and UUIDs between
+separators are no part of a key: they are cut out of a candidate before it is measured, so a
+path, a name or a date beside a key does not hide it.  An allow-list suppresses spans that are
+random in looks only: well-known example keys, UUIDs, dates and version numbers, paths,
+placeholders with few distinct characters, and runs in alphabetical order; an entropy span that
+a base span covers is not repeated.
 
 Offsets are code points, end exclusive.  NULL is the empty text; very long texts are scanned
 whole (each pattern and the window are linear).
@@ -48,17 +51,23 @@ CLASSES = (
 )
 CANDIDATE = re.compile(r"[A-Za-z0-9+/=_-]{%d,}" % SHORTEST)
 #: A word: letters of one case, or capitalised parts.
-WORD = r"(?:[A-Z]{3,}+|[a-z]{3,}+(?:[A-Z][a-z]++)*+|(?:[A-Z][a-z]++)++)"
+WORD = r"(?:[A-Z]{3,}+|[A-Z]?[a-z]{2,}+(?:[A-Z][a-z]++)*+)"
 ALLOW = tuple(
     re.compile(p)
     for p in (
         r"(?i)example|sample|placeholder|dummy|changeme|your[_-]?(?:key|token|secret)",
         r"\A[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\Z",
-        r"\A\d{4}-\d{2}-\d{2}",
+        r"\A\d{4}-\d{2}-\d{2}\Z",
         # words, numbered words and short numbers in a path or slug
         rf"\A(?:[A-Za-z]+|{WORD}\d{{1,4}}|\d{{1,4}})(?:[/_=-]+(?:[A-Za-z]+|{WORD}\d{{1,4}}|\d{{1,4}}))*[/_=-]*\Z",
     )
 )
+UUID = r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
+#: What is cut out of a candidate where separators or its ends enclose it.
+_PLAIN = re.compile(rf"(?<![0-9A-Za-z+])(?:{UUID}|\d{{4}}(?:[-/_]\d{{2}}){{1,2}}|(?=[A-Za-z]{{3}}){WORD}\d{{0,4}})(?![0-9A-Za-z+])")
+SEPARATORS = "/_=-"
+#: Longest example word, less the character that the span has at least.
+_REACH = 13
 #: A span in which this share of steps goes to the next character of the alphabet is a sequence.
 SEQUENCE = 0.6
 
@@ -138,8 +147,33 @@ def high_entropy(run: str) -> list[tuple[int, int]]:
     return spans
 
 
-def allowed(value: str) -> bool:
-    if any(p.search(value) for p in ALLOW):
+def pieces(run: str) -> list[tuple[int, int]]:
+    """The parts of a candidate that can hold a key, between what ``_PLAIN`` matches; the whole
+    of it where that leaves nothing to measure of a candidate that is mostly not plain."""
+    out, at, plain = [], 0, 0
+    for s, e in [*(m.span() for m in _PLAIN.finditer(run)), (len(run), len(run))]:
+        part = run[at:s]
+        if at:
+            part = part.lstrip(SEPARATORS)
+        start = s - len(part)
+        if e > s:
+            part = part.rstrip(SEPARATORS)
+        if len(part) >= SHORTEST:
+            out.append((start, start + len(part)))
+        at, plain = e, plain + e - s
+    return out if out or 2 * plain >= len(run) else [(0, len(run))]
+
+
+def allowed(run: str, start: int, end: int) -> bool:
+    """Whether the allow-list takes a span of ``run``: example words also where they leave the
+    span in the same token, the rest on the span without separators at its ends."""
+    s, e = start, end
+    while s > max(0, start - _REACH) and run[s - 1].isalnum():
+        s -= 1
+    while e < min(len(run), end + _REACH) and run[e].isalnum():
+        e += 1
+    value = run[start:end].strip(SEPARATORS)
+    if ALLOW[0].search(run, s, e) or any(p.search(value) for p in ALLOW[1:]):
         return True
     steps = sum(ord(b) - ord(a) == 1 for a, b in zip(value, value[1:], strict=False))
     return steps >= SEQUENCE * (len(value) - 1)
@@ -149,12 +183,13 @@ def entropy_spans(text: str) -> list[tuple[int, int, int]]:
     out = []
     for m in CANDIDATE.finditer(text):
         run = m.group()
-        if not any(c.isdigit() for c in run) or run.isdigit() or allowed(run):
+        if not any(c.isdigit() for c in run) or run.isdigit():
             continue
-        for s, e in high_entropy(run):
-            part = run[s:e]
-            if any(c.isdigit() for c in part) and any(c.isalpha() for c in part) and not allowed(part):
-                out.append((m.start() + s, 3, m.start() + e))
+        for at, end in pieces(run):
+            for s, e in high_entropy(run[at:end]):
+                part = run[at + s : at + e]
+                if any(c.isdigit() for c in part) and any(c.isalpha() for c in part) and not allowed(run, at + s, at + e):
+                    out.append((m.start() + at + s, 3, m.start() + at + e))
     return out
 
 
