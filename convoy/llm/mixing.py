@@ -80,15 +80,20 @@ def fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     take = (counts * (budget / total)).astype(np.int64)
     rest = budget - int((sizes * take).sum())
     free = counts - take
-    for i in np.argsort(-sizes, kind="stable"):  # greedy, largest first, down to what the programme fills
-        if rest <= CAPACITY:
-            break
-        if sizes[i]:
-            n = min(int(free[i]), (rest - CAPACITY // 2) // int(sizes[i]))
-            if n > 0:
-                take[i] += n
-                free[i] -= n
-                rest -= n * int(sizes[i])
+    # greedy, largest first, down to what the programme fills; it should have half its capacity left,
+    # but where larger sizes alone remain, every one that fits is taken
+    for spare in (CAPACITY // 2, 0):
+        for i in np.argsort(-sizes, kind="stable"):
+            if rest <= CAPACITY:
+                break
+            if sizes[i]:
+                n = min(int(free[i]), (rest - spare) // int(sizes[i]))
+                if not spare:
+                    n = min(n, -((CAPACITY - rest) // int(sizes[i])))  # no more than bring it to the programme
+                if n > 0:
+                    take[i] += n
+                    free[i] -= n
+                    rest -= n * int(sizes[i])
     rest_cap = min(rest, CAPACITY)
     # bounded knapsack: reach[s] = the last size used on the way to sum s (-1: not reached);
     # counts are split into powers of two, so a size with n items costs log n passes

@@ -309,3 +309,16 @@ def test_knapsack_fills_exactly_where_it_can():
         for s, n in zip(sizes.tolist(), (counts - start).tolist(), strict=True):
             reach = {r + k * s for r in reach for k in range(n + 1)}
         assert int((sizes * take).sum()) == max(r for r in reach if r <= budget)
+
+
+def test_fill_takes_documents_larger_than_the_programme():
+    assert mixing.fill(np.array([70_000, 80_000]), np.array([1, 1]), 100_000).tolist() == [0, 1]
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        sizes = np.unique(rng.integers(mixing.CAPACITY // 2, 4 * mixing.CAPACITY, 4))
+        counts = rng.integers(1, 4, len(sizes))
+        budget = int(rng.integers(0, (sizes * counts).sum() + 1))
+        take = mixing.fill(sizes, counts, budget)
+        assert (take >= 0).all() and (take <= counts).all()
+        gap = budget - int((sizes * take).sum())
+        assert gap == 0 or 0 < gap < sizes[take < counts].min(), (sizes, counts, budget, take)
