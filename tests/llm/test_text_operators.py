@@ -11,7 +11,9 @@ import public_tokenizers
 import tiktoken
 import xxhash
 from conftest import ODD, SF
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from convoy.llm import bpe, line_dedup, mixing, quality_rules, queries, secrets, simhash
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -322,3 +324,89 @@ def test_fill_takes_documents_larger_than_the_programme():
         assert (take >= 0).all() and (take <= counts).all()
         gap = budget - int((sizes * take).sum())
         assert gap == 0 or 0 < gap < sizes[take < counts].min(), (sizes, counts, budget, take)
+
+
+def _good(text):
+    text, ws = text or "", words(text)
+    lines = [x for x in text.split("\n") if words(x)]
+    grams = [tuple(ws[i : i + 5]) for i in range(len(ws) - 4)]
+    count, chars = Counter(grams), sum(map(len, ws))
+    covered = {p for i, g in enumerate(grams) if count[g] > 1 for p in range(i, i + 5)}
+    return not (
+        len(ws) < 10 or 100 * len(covered) > 20 * len(ws) or not 2 * len(ws) <= chars <= 15 * len(ws)
+        or 10 * len(re.findall(r"[#*$%&|<>]", text)) > len(ws) or 2 * (len(lines) - len(set(lines))) > len(lines)
+        or 100 * len(re.findall("[A-Z]", text)) > 40 * chars or 10 * text.count("!") > 3 * len(ws)
+        or 10 * sum(bool(re.fullmatch(r"[!-@\[-`{-~]+", w)) for w in ws) > 4 * len(ws)
+    )
+
+
+def _without_shared_lines(rows):
+    key = lambda x: re.sub("[A-Z]", lambda m: m.group().lower(), x.strip(WHITE))
+    holders = defaultdict(set)
+    for i, text, *_ in rows:
+        for x in text.split("\n"):
+            holders[key(x)].add(i)
+    keeper = {k: max(h - {None}) for k, h in holders.items() if len(k) >= 20 and len(h - {None}) >= 3}
+    return [(i, "\n".join(x for x in t.split("\n") if keeper.get(key(x), i) == i), *r) for i, t, *r in rows]
+
+
+def _one_of_each(rows):
+    fps = np.array([reference_fingerprint(r[1]) for r in rows], np.uint64)
+    best = {}
+    for label, r in zip(connected(list(range(len(rows))), fps, 3).tolist(), rows, strict=True):
+        if label not in best or (r[0] is None, r[0] or 0) < (best[label][0] is None, best[label][0] or 0):
+            best[label] = r
+    return list(best.values())
+
+
+def _is_mix(spark, rows, mixed):
+    """The sums, and which documents of a size are taken once more."""
+    assert len(set(rows)) == len(rows) and set(mixed) <= set(rows)
+    copies, sources = Counter(mixed), defaultdict(list)
+    for r in spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("h", F.xxhash64(F.lit(42), "doc_id", "text")).collect():
+        sources[r["source"]].append((len(words(r["text"])), r["h"] % 256, r["h"], tuple(r)[:4]))
+    total = {s: sum(d[0] for d in ds) for s, ds in sources.items()}
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(sorted(total, key=lambda s: (s is None, s or "")))}
+    full = set()
+    while True:  # reshare the excess until no target is above its cap
+        left = 1.5 * sum(total.values()) - sum(2 * total[s] for s in full)
+        share = left / sum(w for s, w in weight.items() if s not in full)
+        over = {s for s in total if s not in full and share * weight[s] > 2 * total[s]}
+        if not over:
+            break
+        full |= over
+    for s, docs in sources.items():
+        passes, budget = divmod(2.0 * total[s] if s in full else share * weight[s], total[s])
+        budget, start, reach = round(budget), 0, {0}
+        for size, n in Counter(d[0] for d in docs).items():
+            group = sorted(d for d in docs if d[0] == size)
+            taken = [copies[d[3]] - passes for d in group]
+            assert taken == sorted(taken, reverse=True) and set(taken) <= {0, 1}
+            least = int(n * (budget / total[s]))
+            start += least * size
+            reach = {x + k * size for x in reach for k in range(n - least + 1)}
+        assert sum(copies[d[3]] * d[0] for d in docs) == passes * total[s] + start + max(x for x in reach if start + x <= budget)
+
+
+def test_pipeline_equals_plain_python(spark, tmp_dir):
+    rng = random.Random(21)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 8))) for _ in range(400)]
+    text = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    shared = "One line that several of the documents share"
+    rows = [(i, text(rng.randint(25, 60)) + (f"\n{shared}\n" if i % 4 == 0 else "\n") + text(12), "en", "xyz"[i % 3]) for i in range(40)]
+    rows += [(100 + i, rows[i][1].replace("\n", " \n") if i % 4 else rows[i][1], "en", rows[i][3]) for i in range(8)]  # near or exact copies
+    rows += [(None, text(30), "de", None), (None, text(31), "de", "x"), (None, rows[5][1], "de", "y"), (50, text(40), "en", "x"), (50, text(41), "en", "x")]
+    rows += [(60, "too short", "en", "x"), (61, None, "en", "x"), (62, "A B " * 30, "en", "y"), (63, text(20).upper(), "en", "y"), (64, text(30) + " !!!" * 30, "en", "z")]
+    schema, count = "doc_id long, text string, lang string, source string", lambda x: Counter(map(tuple, x))
+    docs = spark.createDataFrame(rows, schema)
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    want = rows
+    for (name, stage), step in zip(corpus_pipeline.STAGES[:3], (lambda x: [r for r in x if _good(r[1])], _without_shared_lines, _one_of_each), strict=True):
+        docs, want = corpus_pipeline.staged(stage(spark, docs, tmp_dir), f"plain_{name}"), step(want)
+        assert count(docs.collect()) == count(want), name
+    assert 40 < len(want) < len(rows) - 10
+    mixed = [tuple(r) for r in corpus_pipeline.mix(spark, docs, tmp_dir).collect()]
+    _is_mix(spark, want, mixed)
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(queries.VOCABULARY), special_tokens={})
+    tokens = Counter((r[0], tuple(known.encode_ordinary(r[1]))) for r in mixed)
+    assert Counter((r["doc_id"], tuple(r["ids"])) for r in corpus_pipeline.run(spark, tmp_dir).collect()) == tokens
