@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from convoy.llm import (
     bpe,
+    clustering,
     ctw,
     embedding_dedup,
     line_dedup,
@@ -84,6 +85,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -95,6 +100,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op13_centroids": op13_centroids,
 }
 
 ORACLES: dict[str, str] = {}
@@ -150,3 +156,42 @@ SELECT doc_id, count(*) AS n_lines,
                        FILTER (keeper IS NULL OR doc_id IS NOT DISTINCT FROM keeper), '')) AS kept_sha256
 FROM l LEFT JOIN shared USING (k) GROUP BY doc_id
 """
+
+
+def _lloyd_sql(dims: int = 64, k: int = 8, rounds: int = 10, scale: int = 1024, seed: int = 3) -> str:
+    """Lloyd's rounds as a chain of common table expressions, one row per vector and dimension."""
+    parts = [
+        f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS g, vec_id, list_transform(embedding::DOUBLE[], lambda x: floor({scale} * x)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NOT NULL AND isfinite(x))) = {dims}
+),
+long AS MATERIALIZED (SELECT g, unnest(range(1, {dims} + 1)) AS i, unnest(v) AS x FROM kept),
+c0 AS MATERIALIZED (
+  SELECT c, unnest(range(1, {dims} + 1)) AS i, unnest(v) AS x
+  FROM (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c, v FROM kept)
+  WHERE c < {k}
+)"""
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT g, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT g, c, sum((l.x - m.x) * (l.x - m.x))::BIGINT AS d FROM long l JOIN c{r} m USING (i) GROUP BY g, c) GROUP BY g
+)""")
+        if r < rounds:
+            parts.append(f"""
+c{r + 1} AS MATERIALIZED (
+  SELECT c, i, coalesce((s - ((s % n) + n) % n) // n, x)::BIGINT AS x
+  FROM c{r} LEFT JOIN (SELECT c, i, sum(x) AS s, count(*) AS n FROM a{r} JOIN long USING (g) GROUP BY c, i) USING (c, i)
+)""")
+    return ",".join(parts) + f"""
+SELECT vec_id, c::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, h AS centroid_sha256
+FROM a{rounds} JOIN kept USING (g)
+JOIN (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY c) USING (c)
+"""
+
+
+ORACLES["op13_centroids"] = _lloyd_sql()
