@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convoy.session import materialize
+from convoy.session import materialize, workspace
 
 #: The ASCII white space that separates words (space, and tab to carriage return).
 WHITE = " \t\n\x0b\x0c\r"
@@ -26,9 +26,13 @@ def fold_of(id_col: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written once under the shared checkpoint folder and read back."""
-    return materialize(df, name)[0]
+    if compression == "snappy":
+        return materialize(df, name)[0]
+    path = workspace(df.sparkSession, name)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def labelled_sample(

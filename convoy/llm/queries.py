@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.llm import (
+    alignment,
     bpe,
     clustering,
     ctw,
@@ -23,6 +24,7 @@ from convoy.llm import (
 from convoy.llm.common import fold_of, labelled_sample, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 PATTERN = public_tokenizers.PATTERN
 
 
@@ -85,6 +87,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES, PATTERN)
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.cluster(table(spark, sf_dir, "embeddings"))
 
@@ -100,6 +106,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op12_alignment": op12_alignment,
     "op13_centroids": op13_centroids,
 }
 
