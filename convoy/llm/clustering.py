@@ -72,9 +72,7 @@ def assign(blocks: DataFrame, centroids: np.ndarray, width: int) -> DataFrame:
     """(gid, cluster, distance): partial distances added by key, then the nearest centroid."""
     names = [f"d{j}" for j in range(len(centroids))]
     whole = partial_distances(blocks, centroids, width).groupBy("gid").agg(*[F.sum(n).alias(n) for n in names])
-    nearest = F.least(*[F.struct(F.col(n).alias("distance"), F.lit(j).alias("cluster")) for j, n in enumerate(names)])
-    if len(names) == 1:
-        nearest = F.struct(F.col("d0").alias("distance"), F.lit(0).alias("cluster"))
+    nearest = F.array_min(F.array(*[F.struct(F.col(n).alias("distance"), F.lit(j).alias("cluster")) for j, n in enumerate(names)]))
     return whole.select("gid", nearest.alias("nearest")).select("gid", "nearest.cluster", "nearest.distance")
 
 

@@ -15,6 +15,7 @@ from convoy.llm import (
     embedding_dedup,
     line_dedup,
     mixing,
+    pii,
     quality_classifier,
     quality_rules,
     secrets,
@@ -87,6 +88,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.scan_documents(docs, pii.learn(spark, docs))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES, PATTERN)
 
@@ -106,6 +112,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op11_pii": op11_pii,
     "op12_alignment": op12_alignment,
     "op13_centroids": op13_centroids,
 }
