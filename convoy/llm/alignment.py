@@ -32,6 +32,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,7 +48,7 @@ from convoy.llm.common import col, staged
 #: Pairs whose counts are sent to every task: 17 bytes each, so 18 MB.
 TOP = 1 << 20
 #: Units that a worker remembers, the longest of them in characters, and units taken at a time.
-MEMO, MEMO_CHARS, SLICE = 1 << 17, 64, 1 << 14
+MEMO, MEMO_CHARS, SLICE = 1 << 18, 64, 1 << 14
 #: Links held or expanded at a time, about: a bound on what a task keeps beside its batch.
 LINKS = 1 << 20
 #: A blank that starts a unit: after a character that is no white space.
@@ -77,8 +78,12 @@ class Aligned:
 
 
 def concat(parts: list[Aligned]) -> Aligned:
-    a, b, steps = (b"".join([getattr(p, f) for p in parts]) for f in ("a", "b", "steps"))
-    return Aligned(a, b, steps, b";".join([p.groups for p in parts]))
+    return Aligned(
+        b"".join([p.a for p in parts]),
+        b"".join([p.b for p in parts]),
+        b"".join([p.steps for p in parts]),
+        b";".join([p.groups for p in parts]),
+    )
 
 
 def expand(parts: list, kind: str) -> tuple[np.ndarray, np.ndarray]:
@@ -117,44 +122,49 @@ class Tokenizers:
         names = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         if any(re.search(f"[^{BLANK}]{BLANK}", n) for n in names):
             raise ValueError("a piece holds a blank after another character")
-        self.a_bytes = {i: t for t, i in ranks.items()}
+        self.a_size = [n for _, n in sorted((i, len(t)) for t, i in ranks.items())]
         self.b_bytes = [
             bytes([int(n[3:5], 16)]) if self.b.is_byte(i) else n.replace(BLANK, " ").encode() for i, n in enumerate(names)
         ]
-        self.kind = "<u2" if max(len(ranks), len(names)) <= 1 << 16 else "<u4"
+        self.b_size = [len(t) for t in self.b_bytes]
+        self.name = [str(i) for i in range(max(len(ranks), len(names)))]
+        self.code, self.kind = ("H", "u2") if len(self.name) <= 1 << 16 else ("I", "u4")
         self.memo: dict[str, Aligned] = {}
         self.large: list[Aligned] = []  # counted, but not remembered
         self.links = 0  # in large
 
     def encode(self, text: str) -> Aligned | None:
         """Blank + text aligned, encoded as one; None where a tokenizer does not give it back."""
-        a = self.a.encode_ordinary(" " + text)
+        a = self.a.encode_ordinary(" " + text)  # byte level: always gives its text back
         b = self.b.encode(text) if text else [self.b.piece_to_id(BLANK)]
-        want = (" " + text).encode()
-        bytes_a, bytes_b = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(bytes_a) != want or b"".join(bytes_b) != want:
+        if b"".join([self.b_bytes[i] for i in b]) != (" " + text).encode():
             return None
-        steps, groups = bytearray(), []
+        size_a, size_b, name = self.a_size, self.b_size, self.name
+        steps, groups = [], []
         i = j = first_a = first_b = 0
-        apart = len(bytes_a[0]) - len(bytes_b[0])  # end of A's token less that of B's
+        apart = size_a[a[0]] - size_b[b[0]]  # end of A's token less that of B's
         while True:
             if not apart:
                 steps.append(3)
-                i, j = i + 1, j + 1
-                groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
+                i += 1
+                j += 1
+                if i - first_a == 1 == j - first_b:
+                    groups.append(name[a[first_a]] + "|" + name[b[first_b]])
+                else:
+                    groups.append(",".join([name[x] for x in a[first_a:i]]) + "|" + ",".join([name[x] for x in b[first_b:j]]))
                 if i == len(a):
                     break
                 first_a, first_b = i, j
-                apart = len(bytes_a[i]) - len(bytes_b[j])
+                apart = size_a[a[i]] - size_b[b[j]]
             elif apart < 0:
                 steps.append(1)
                 i += 1
-                apart += len(bytes_a[i])
+                apart += size_a[a[i]]
             else:
                 steps.append(2)
                 j += 1
-                apart -= len(bytes_b[j])
-        return Aligned(np.array(a, self.kind).tobytes(), np.array(b, self.kind).tobytes(), bytes(steps), ";".join(groups).encode())
+                apart -= size_b[b[j]]
+        return Aligned(array(self.code, a).tobytes(), array(self.code, b).tobytes(), bytes(steps), ";".join(groups).encode())
 
     def unit(self, unit: str) -> Aligned | None:
         """A unit not remembered."""
