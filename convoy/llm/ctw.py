@@ -43,8 +43,8 @@ from convoy.llm.common import col, lower_words, staged
 DEPTH = 5
 #: Bounds on what is broadcast: grams and tokens.  Beyond them rows are joined.
 HEAD_GRAMS, HEAD = 1 << 21, 1 << 17
-#: Bytes counted or scored at a time.
-BLOCK = 1 << 20
+#: Bytes counted or scored at a time; also bounds the distinct grams that a task holds while counting.
+BLOCK = 1 << 18
 #: Grams weighed at a time; a family of grams stays whole.
 CHUNK = 1 << 16
 END = b"\n"

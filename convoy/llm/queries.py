@@ -61,7 +61,7 @@ def op5_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold_of(F.col("doc_id"), 5) == 1
     out = ctw.score(table(spark, sf_dir, "documents"), ~held_out)
     return out.select(
-        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
     )
 
 
