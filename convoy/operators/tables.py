@@ -7,7 +7,9 @@ Hive-style partition columns and the key scope.  Writes are deterministic:
   by the remaining columns, so the same input always gives the same table.  It is a maximum
   over a struct (a sort aggregate, partial and final), so duplicates are combined map-side before the shuffle and
   a key holding a third of all rows never lands whole in one task.
-* ``replace`` de-duplicates the batch and overwrites the table.
+* ``replace`` de-duplicates the batch and replaces the table: the new one is written beside it
+  and renamed into place, so a write that fails midway leaves the old table as it was, and one
+  that stops between the renames is completed when the table is next opened.
 * ``upsert`` merges the batch into the table: the rows of the touched partitions (and, with
   ``scope="table"``, of the partitions where a batch key lived before) are merged with the
   batch, de-duplicated and written with dynamic partition overwrite, so untouched
@@ -128,8 +130,46 @@ def _write_meta(spark: SparkSession, spec: TableSpec, schema: StructType, path:
         out.close()
 
 
+#: Names beside a table: the new one while it is written, the old one while they change places.
+NEXT, OLD = ".__next", ".__old"
+
+
+def _replace(df: DataFrame, spec: TableSpec, schema: StructType, path: str) -> None:
+    """Write a whole table beside the one at ``path``, then let them change places.  The
+    description is written last: it tells a complete table from one whose write failed."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    _recover(spark, path)
+    for rest in (NEXT, OLD):
+        remove_path(spark, path + rest)
+    _save(df, spec, path + NEXT, dynamic=False)
+    _write_meta(spark, spec, schema, path + NEXT)
+    _move(spark, path, path + OLD)
+    _move(spark, path + NEXT, path)
+    remove_path(spark, path + OLD)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    a, fs = _fs(spark, source)
+    if fs.exists(a) and not fs.rename(a, _fs(spark, target)[0]):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def _recover(spark: SparkSession, path: str) -> None:
+    """Finish a replacement that stopped while the tables changed places: nothing is at ``path``
+    then, and the new table, which is complete, or the old one is beside it."""
+    here, fs = _fs(spark, path)
+    if fs.exists(here):
+        return
+    for beside in (NEXT, OLD):
+        if fs.exists(_fs(spark, f"{path}{beside}/{META_FILE}")[0]):
+            _move(spark, path + beside, path)
+            return
+
+
 def table_meta(spark: SparkSession, path: str) -> tuple[TableSpec, StructType] | None:
-    p, fs = _fs(spark, f"{path.rstrip('/')}/{META_FILE}")
+    path = path.rstrip("/")
+    _recover(spark, path)
+    p, fs = _fs(spark, f"{path}/{META_FILE}")
     if not fs.exists(p):
         return None
     jvm = spark.sparkContext._jvm
@@ -148,7 +188,7 @@ def table_meta(spark: SparkSession, path: str) -> tuple[TableSpec, StructType] |
 def read_table(spark: SparkSession, path: str, view: str | None = None, schema: StructType | None = None) -> DataFrame:
     """Read a table with its declared schema and column order; optionally register a view."""
     if schema is None:
-        found = table_meta(spark, path)
+        found = table_meta(spark, path)  # completes a replacement that was stopped
         if found is None:
             raise FileNotFoundError(f"no table at {path}")
         schema = found[1]
@@ -169,8 +209,7 @@ def write_table(
     spark = df.sparkSession
     if mode == "replace":
         rows = df if assume_unique else dedupe_latest(df, spec.unique_by, spec.order_by)
-        _save(rows, spec, path, dynamic=False)
-        _write_meta(spark, spec, df.schema, path)
+        _replace(rows, spec, df.schema, path)
         return path
     if mode != "upsert":
         raise ValueError(f"unknown write mode {mode}")
@@ -183,6 +222,8 @@ def write_table(
     for part in ("keys", "order_by", "partition_by", "scope"):
         if getattr(found[0], part) != getattr(spec, part):
             raise ValueError(f"the table at {path} has {part} {getattr(found[0], part)}, not {getattr(spec, part)}")
+    if set(df.columns) != set(found[1].names):
+        raise ValueError(f"the table at {path} has columns {found[1].names}, not {df.columns}")
     return _upsert(spark, df, spec, path)
 
 
@@ -202,11 +243,7 @@ def _upsert(spark: SparkSession, batch: DataFrame, spec: TableSpec, path: str) -
     fresh, batch_path = materialize(dedupe_latest(batch, spec.unique_by, spec.order_by), "batch")
     if not spec.partition_by:
         merged = dedupe_latest(existing.unionByName(fresh), spec.unique_by, spec.order_by)
-        # stage in the checkpoint folder: the write must not read the files it replaces
-        staged, stage_path = materialize(merged, "upsert")
-        _save(staged, spec, path, dynamic=False)
-        _write_meta(spark, spec, schema, path)  # a whole overwrite removes it
-        remove_path(spark, stage_path)
+        _replace(merged, spec, schema, path)  # reads the old table while it writes the new one beside
         remove_path(spark, batch_path)
         return path
 
@@ -221,15 +258,14 @@ def _upsert(spark: SparkSession, batch: DataFrame, spec: TableSpec, path: str) -
             F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("__dir"),
         )
         first = spec.keys[0]
-        low, high = fresh.agg(F.min(first), F.max(first)).first()
-        if low is not None:
-            located = located.where(F.col(first).between(low, high) | F.col(first).isNull())
-        homes = located.join(fresh.select(*spec.keys), list(spec.keys), "left_semi").select(*parts, "__dir").distinct()
-        homes, homes_path = materialize(homes, "homes")
+        # scalar subqueries, so the bounds keep the column's own type and reach the parquet scan
+        low, high = (fresh.agg(f(first)).scalar() for f in (F.min, F.max))
+        located = located.where(F.col(f"`{first}`").between(low, high) | F.col(f"`{first}`").isNull())
+        homes = located.alias("e").join(fresh.select(*spec.keys).alias("t"), _null_safe_on("e", "t", spec.keys), "left_semi")
+        homes, homes_path = materialize(homes.select(*parts, "__dir").distinct(), "homes")
         touched = touched.unionByName(homes.select(*parts))
-    touched = touched.distinct()
-    scanned = _only_partitions(existing, touched, parts)
-    old = scanned.alias("e").join(touched.alias("t"), _null_safe_on("e", "t", parts), "left_semi")
+    touched, touched_path = materialize(touched.groupBy(*parts).agg(F.count("*").alias("__rows")), "touched")
+    old = rows_of_partitions(existing, touched, parts)
     # the merged rows of the touched partitions, computed once and staged in the checkpoint
     # folder; the write and the emptied-partition check both read that copy, and the write
     # never reads the files it replaces
@@ -247,25 +283,26 @@ def _upsert(spark: SparkSession, batch: DataFrame, spec: TableSpec, path: str) -
     _save(merged, spec, path, dynamic=True)
     for folder in emptied:
         remove_path(spark, folder, uri=True)
-    for done in [stage_path, batch_path] + ([homes_path] if homes is not None else []):
+    for done in [stage_path, batch_path, touched_path] + ([homes_path] if homes is not None else []):
         remove_path(spark, done)
     return path
 
 
-#: Most values of a partition column that an upsert lists in its scan's filter.
-LISTED = 10_000
-
+def rows_of_partitions(existing: DataFrame, touched: DataFrame, parts) -> DataFrame:
+    """The rows of ``existing`` whose partition is in ``touched`` (partition columns, ``__rows``).
 
-def _only_partitions(existing: DataFrame, touched: DataFrame, parts) -> DataFrame:
-    """``existing`` with an explicit filter on each partition column, so that the scan lists only
-    partitions that can be touched (a superset; the join that follows is exact)."""
+    Partitions without a NULL value join by plain equality on the columns' own types, which lets
+    Spark prune the scan by the list it broadcasts (dynamic partition pruning; it asks for a
+    selective filter on that side, hence the one on ``__rows``).  Partitions with a NULL value are
+    found by a filter on the partition columns, which prunes the scan, and a null-safe join."""
+    some_null = F.lit(False)
     for c in parts:
-        values = [r[0] for r in touched.select(c).distinct().limit(LISTED + 1).collect()]
-        if len(values) > LISTED or any(isinstance(v, float) for v in values):
-            continue
-        cond = F.col(f"`{c}`").isin([v for v in values if v is not None])
-        existing = existing.where(cond | F.col(f"`{c}`").isNull() if None in values else cond)
-    return existing
+        some_null = some_null | F.col(f"`{c}`").isNull()
+    named = touched.where("__rows > 0").where(~some_null).select(*parts)
+    plain = existing.join(named, list(parts), "left_semi").select(*[F.col(f"`{c}`") for c in existing.columns])
+    unnamed = touched.where(some_null).select(*parts)
+    others = existing.where(some_null).alias("e").join(unnamed.alias("t"), _null_safe_on("e", "t", parts), "left_semi")
+    return plain.unionByName(others)
 
 
 def write_layouts(df: DataFrame, specs: dict[str, TableSpec], root: str) -> dict[str, str]:

@@ -1,6 +1,7 @@
 import os
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from convoy.operators.tables import TableSpec, dedupe_latest, read_table, write_layouts, write_table
@@ -187,8 +188,6 @@ def test_moved_keys_leave_boolean_and_timestamp_partitions(spark, tmp_dir):
 
 
 def test_upsert_refuses_another_spec_and_unknown_files(spark, tmp_dir):
-    import pytest
-
     rows = _kv(spark, [(1, True, 1), (2, False, 2)])
     write_table(rows, TableSpec("t", "k", "v"), f"{tmp_dir}/t")
     with pytest.raises(ValueError, match="keys"):
@@ -198,15 +197,116 @@ def test_upsert_refuses_another_spec_and_unknown_files(spark, tmp_dir):
         write_table(rows, TableSpec("t", "k", "v"), f"{tmp_dir}/files", "upsert")
 
 
-def test_upsert_scans_touched_partitions_only(spark):
-    from convoy.operators.tables import _only_partitions
-
-    import tempfile
+def test_upsert_scans_touched_partitions_only(spark, tmp_dir):
+    """The scan is pruned at run time by the partitions the batch names, whatever their type."""
+    from convoy.operators.tables import rows_of_partitions
 
-    path = tempfile.mkdtemp(prefix="convoy-prune-") + "/t"
     spec = TableSpec("t", "k", "v", "p")
-    write_table(_kv(spark, [(i, i % 2 == 0, i) for i in range(10)]), spec, path)
-    touched = _kv(spark, [(1, True, 1)]).select("p")
-    scan = _only_partitions(read_table(spark, path), touched, ["p"])
-    plan = scan._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: []" not in plan and "PartitionFilters: [" in plan
+    path = write_table(_kv(spark, [(i, i % 2 == 0, i) for i in range(10)]), spec, f"{tmp_dir}/t")
+    touched = f"{tmp_dir}/touched"
+    _kv(spark, [(1, True, 1)]).groupBy("p").agg(F.count("*").alias("__rows")).write.parquet(touched)
+    old = rows_of_partitions(read_table(spark, path), spark.read.parquet(touched), ["p"])
+    assert sorted(r["k"] for r in old.collect()) == [0, 2, 4, 6, 8]
+    plan = old._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression(p" in plan and "PartitionFilters: [isnull(p" in plan
+
+
+PARTITION_TYPES = {
+    "timestamp_ntz": ["2024-03-10 02:30:00", "2024-11-03 01:30:00.25", "2024-01-01 00:00:00"],
+    "timestamp": ["2024-11-03 01:30:00", "2024-03-10 03:30:00.25", "2024-01-01 00:00:00"],
+    "date": ["2024-03-10", "1969-12-31", "2024-01-01"],
+    "decimal(10,2)": ["1.50", "-0.25", "100.00"],
+    "boolean": ["true", "false", "false"],
+    "double": ["0.1", "NaN", "-3.0"],
+    "string": ["a b/c", "", "%3A"],
+    "bigint": ["1", "-1", "9007199254740993"],
+}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", PARTITION_TYPES)
+def test_upsert_keeps_every_row_of_a_touched_partition(spark, tmp_dir, kind, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        one, two, three = PARTITION_TYPES[kind]
+        table = [("a", one, 0), ("b", one, 0), ("c", one, 0), ("d", two, 0), ("e", two, 0), ("f", three, 0), ("g", None, 0), ("h", None, 0)]
+
+        def frame(rows):
+            return spark.createDataFrame(rows, "k string, p string, v int").select("k", F.col("p").cast(kind).alias("p"), "v")
+
+        spec = TableSpec("t", "k", "v", "p")
+        path = write_table(frame(table), spec, f"{tmp_dir}/t")
+        # a row new, a row changed in place, a row moved to another and one to the NULL partition
+        batch = [("z", one, 1), ("b", one, 1), ("d", one, 1), ("f", None, 1)]
+        write_table(frame(batch), spec, path, "upsert")
+        want = {k: (p, v) for k, p, v in [*table, *batch]}
+        got = {r["k"]: (r["p"], r["v"]) for r in read_table(spark, path).select("k", F.col("p").cast("string").alias("p"), "v").collect()}
+        stored = {r["k"]: (r["p"], r["v"]) for r in frame([(k, *x) for k, x in want.items()]).select("k", F.col("p").cast("string").alias("p"), "v").collect()}
+        if kind == "string":  # the empty text as a partition value is NULL in a Hive-style folder
+            stored = {k: (p or None, v) for k, (p, v) in stored.items()}
+        assert got == stored
+        assert read_table(spark, path).count() == len(want)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_upsert_finds_old_homes_of_typed_and_null_keys(spark, tmp_dir, zone):
+    """Keys that are zone-free moments or NULL leave the partition they move out of."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        def frame(rows):
+            return spark.createDataFrame(rows, "k string, p string, v int").select(F.col("k").cast("timestamp_ntz").alias("k"), "p", "v")
+
+        spec = TableSpec("t", "k", "v", "p")
+        path = write_table(frame([("2024-03-10 02:30:00", "a", 0), (None, "a", 0), ("2024-05-01", "a", 0)]), spec, f"{tmp_dir}/t")
+        write_table(frame([("2024-03-10 02:30:00", "b", 1), (None, "b", 1)]), spec, path, "upsert")
+        got = sorted((str(r["k"]), r["p"], r["v"]) for r in read_table(spark, path).collect())
+        assert got == [("2024-03-10 02:30:00", "b", 1), ("2024-05-01 00:00:00", "a", 0), ("None", "b", 1)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("partition", [(), ("p",)])
+@pytest.mark.parametrize("mode", ["replace", "upsert"])
+def test_a_write_that_fails_midway_leaves_the_old_table(spark, tmp_dir, mode, partition):
+    spec = TableSpec("t", "k", "v", partition)
+    old = _kv(spark, [(i, i % 2 == 0, i) for i in range(20)])
+    path = write_table(old, spec, f"{tmp_dir}/t")
+    bad = _kv(spark, [(i, True, 99) for i in range(40)]).withColumn(
+        "v", F.when(F.col("k") == 37, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("v"))
+    )
+    with pytest.raises(Exception, match="lost"):
+        write_table(bad, spec, path, mode)
+    assert sorted(map(tuple, read_table(spark, path).collect())) == sorted(map(tuple, old.collect()))
+    write_table(_kv(spark, [(1, False, 7)]), spec, path, "upsert")  # and it can be written again
+    assert {r["k"]: r["v"] for r in read_table(spark, path).collect()}[1] == 7
+
+
+def test_a_write_that_stops_between_the_renames_is_completed(spark, tmp_dir, monkeypatch):
+    from convoy.operators import tables
+
+    spec = TableSpec("t", "k", "v")
+    path = write_table(_kv(spark, [(1, True, 1)]), spec, f"{tmp_dir}/t")
+    real = tables._move
+
+    def stops(spark, source, target):
+        if target == path:
+            raise OSError("killed")
+        real(spark, source, target)
+
+    monkeypatch.setattr(tables, "_move", stops)
+    with pytest.raises(OSError, match="killed"):
+        write_table(_kv(spark, [(1, True, 2)]), spec, path)
+    monkeypatch.setattr(tables, "_move", real)
+    assert not os.path.exists(path)
+    assert [tuple(r) for r in read_table(spark, path).collect()] == [(1, True, 2)]
+
+
+def test_upsert_refuses_other_columns(spark, tmp_dir):
+    spec = TableSpec("t", "k", "v")
+    path = write_table(_kv(spark, [(1, True, 1)]), spec, f"{tmp_dir}/t")
+    with pytest.raises(ValueError, match="columns"):
+        write_table(_kv(spark, [(1, True, 2)]).withColumn("more", F.lit(1)), spec, path, "upsert")
