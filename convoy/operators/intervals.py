@@ -27,11 +27,12 @@ import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegralType, NumericType, TimestampNTZType, TimestampType
 
 from convoy.functions.time import timestamp_micros_sql
+from convoy.session import materialize
 
 _SECOND_US = 1_000_000
 
@@ -236,6 +237,126 @@ def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, f
     return iv.join(pt, cond, how).select(*out)
 
 
+#: A day: the default width of the blocks of ``interval_means``.
+DAY = 86_400
+
+
+def interval_means(
+    intervals: DataFrame,
+    points: DataFrame,
+    *,
+    start: str,
+    end: str,
+    at: str,
+    on: Sequence[str] = (),
+    measures: Sequence[str],
+    block_seconds: float = DAY,
+) -> DataFrame:
+    """Mean of each measure over the points of every interval, without a row per pair.
+
+    The same rows and values as ``interval_join`` grouped by the interval: intervals that hold no
+    point are left out, NULL measures are skipped (a measure NULL in all points has mean NULL),
+    NaN and infinities count as in ``avg``.  Means are doubles.
+
+    Running sums instead of pairs.  Points of one moment of an entity are added up first.  Time is cut
+    into blocks; each distinct interval sends two probes, one before the points at its start and
+    one behind those at its end, into the blocks where they fall.  In a block, one window over
+    points and probes in order gives the sums up to each probe; sums of whole blocks
+    before it come from a window over the block totals (as many rows an entity as blocks in the time
+    span).  An interval's sums are the difference of its two probes, so the work is
+    ``points + 2 * intervals`` whatever the windows overlap, and an entity is spread over its blocks.
+    Running sums start anew in every block and the totals add up as decimals, so no error grows
+    with the length of an entity's history.
+
+    The plan is lazy, but for one staged table of the distinct intervals' means.
+    """
+    on = list(on)
+    clash = set(measures) & set(intervals.columns)
+    if clash:
+        raise ValueError(f"measures that are columns of the intervals: {sorted(clash)}")
+    kind = _kind(intervals.schema[start].dataType, intervals.schema[end].dataType, points.schema[at].dataType)
+    lo, unit = _ordinal(intervals.schema, start, kind)
+    hi, _ = _ordinal(intervals.schema, end, kind)
+    t, _ = _ordinal(points.schema, at, kind)
+    width = max(1, int(round(block_seconds * unit)))
+    keys = [f"__k{i}" for i in range(len(on))]
+    named = [F.col(f"`{c}`").alias(k) for c, k in zip(on, keys, strict=True)]
+
+    valid = F.col(f"`{start}`") <= F.col(f"`{end}`")
+    for c in on:
+        valid = valid & F.col(f"`{c}`").isNotNull()
+    iv = intervals.where(valid).withColumns({"__lo": F.expr(lo), "__hi": F.expr(hi)})
+    block = F.floor(F.col("__t") / F.lit(width)).cast("long") if kind == "number" else F.expr(f"floor(__t / {width}L)")
+
+    # per moment: the number of points, and of each measure count, finite sum, NaN or infinity
+    ms = range(len(measures))
+    pt = points.where(f"`{at}` IS NOT NULL").select(
+        *named, F.expr(t).alias("__t"), *[F.col(f"`{m}`").cast("double").alias(f"__m{i}") for i, m in enumerate(measures)]
+    )
+    for k in keys:
+        pt = pt.where(f"{k} IS NOT NULL")
+    infinity = F.lit(float("inf"))
+    sums = {"__n": F.count(F.lit(1))}
+    for i in ms:
+        m = F.col(f"__m{i}")
+        sums[f"__c{i}"] = F.count(m)
+        sums[f"__s{i}"] = F.coalesce(F.sum(F.when(F.abs(m) < infinity, m)), F.lit(0.0))
+        sums[f"__p{i}"] = F.count_if(m >= infinity)  # NaN is above infinity
+        sums[f"__q{i}"] = F.count_if((m == -infinity) | F.isnan(m))
+    moments = pt.withColumn("__b", block).groupBy(*keys, "__b", "__t").agg(*[v.alias(n) for n, v in sums.items()])
+
+    probes = (
+        iv.select(*named, "__lo", "__hi").distinct()
+        .withColumn("__probe", F.explode(F.array(
+            F.struct(F.col("__lo").alias("t"), F.lit(0).alias("place"), F.lit(-1).alias("sign")),
+            F.struct(F.col("__hi").alias("t"), F.lit(2).alias("place"), F.lit(1).alias("sign")),
+        )))
+        .select(*keys, "__lo", "__hi", F.col("__probe.t").alias("__t"), F.col("__probe.place").alias("__place"), F.col("__probe.sign").alias("__sign"))
+        .withColumn("__b", block)
+    )
+    rows = moments.withColumn("__place", F.lit(1)).unionByName(probes, allowMissingColumns=True)
+    up_to = Window.partitionBy(*keys, "__b").orderBy("__t", "__place").rowsBetween(Window.unboundedPreceding, 0)
+    inside = rows.select(*keys, "__b", "__lo", "__hi", "__sign", *[F.coalesce(F.sum(n).over(up_to), F.lit(0)).alias(n) for n in sums])
+    inside = inside.where("__sign IS NOT NULL")
+
+    def whole(n):  # block totals as exact numbers
+        return F.col(n).try_cast("decimal(38,10)") if n.startswith("__s") else F.col(n)
+
+    totals = moments.groupBy(*keys, "__b").agg(*[F.sum(n).alias(n) for n in sums]).select(*keys, "__b", *[whole(n).alias(n) for n in sums])
+    blocks = totals.unionByName(probes.select(*keys, "__b").distinct(), allowMissingColumns=True)
+    blocks = blocks.groupBy(*keys, "__b").agg(*[F.sum(n).alias(n) for n in sums])
+    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(*keys, "__b", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in sums])
+
+    found = inside.join(blocks, [*keys, "__b"])
+
+    def difference(n):  # the sign is not a factor: a product would cut the decimals' scale
+        return F.sum(F.when(F.col("__sign") > 0, F.col(n)).otherwise(-F.col(n)))
+
+    signed = [
+        (difference(n) + difference(f"{n}_before").cast("double" if n.startswith("__s") else "long")).alias(n) for n in sums
+    ]
+    found = found.groupBy(*keys, "__lo", "__hi").agg(*signed).where("__n > 0")
+
+    def mean(i):
+        above, below, count = (F.col(f"__{x}{i}") for x in "pqc")
+        return (
+            F.when(count == 0, F.lit(None))
+            .when((above > 0) & (below > 0), F.lit(float("nan")))
+            .when(above > 0, infinity)
+            .when(below > 0, -infinity)
+            .otherwise(F.col(f"__s{i}") / count)
+        )
+
+    # a table of its own: the join back then reads two plain exchanges, which adaptive execution
+    # can split where many intervals are the same
+    means, _ = materialize(found.select(*keys, "__lo", "__hi", *[mean(i).alias(f"__m{i}") for i in ms]), "interval_means")
+    cond = [iv[c] == means[k] for c, k in zip(on, keys, strict=True)] + [iv[c] == means[c] for c in ("__lo", "__hi")]
+    return iv.join(means, cond).select(
+        *[iv[c] for c in intervals.columns], *[means[f"__m{i}"].alias(m) for i, m in enumerate(measures)]
+    )
+
+
 def window_enrich_left(
     intervals: DataFrame,
     points: DataFrame,

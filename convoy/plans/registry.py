@@ -75,6 +75,16 @@ def q_order_means_fleet50(spark, sf):
     return rounded(dl.enriched_orders(*_dense(spark, sf)))
 
 
+def q_order_means_prefix(spark, sf):
+    """Per-order means from running sums, without a row per (order, sample)."""
+    return rounded(dl.enriched_orders(*_inputs(spark, sf), method="prefix"))
+
+
+def q_order_means_fleet50_prefix(spark, sf):
+    """The same on the dense variant."""
+    return rounded(dl.enriched_orders(*_dense(spark, sf), method="prefix"))
+
+
 def q_order_means_fleet50_plain(spark, sf):
     return rounded(dl.enriched_orders(*_dense(spark, sf), method="plain"))
 
@@ -234,6 +244,33 @@ def q_upsert_moved_partitions(spark, sf):
     return read_table(spark, path)
 
 
+def q_upsert_zone_free_partitions(spark, sf):
+    """Upserts into zone-free timestamp partitions under two session zones: pending orders change
+    in place, orders in transit move to a partition an hour later."""
+    spec = TableSpec("orders", "order_id", "revision", "slot")
+    s = fx.shipments(spark, sf).selectExpr(
+        "order_id",
+        "order_status",
+        "cast(date_trunc('QUARTER', cast(order_date AS timestamp_ntz)) AS timestamp_ntz) + INTERVAL '02:30:00' HOUR TO SECOND AS slot",
+        "0 AS revision",
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    with staging(spark):
+        s, _ = materialize(s, "slots")
+        path = write_table(s, spec, workspace(spark, "orders"))
+        changed = s.filter(F.col("order_status") == dl.PENDING).withColumn("revision", F.lit(1))
+        moved = s.filter(F.col("order_status") == dl.IN_TRANSIT).selectExpr(
+            "order_id", "order_status", "slot + INTERVAL '1' HOUR AS slot", "2 AS revision"
+        )
+        try:
+            for session_zone, batch in (("America/New_York", changed), ("UTC", moved)):
+                spark.conf.set("spark.sql.session.timeZone", session_zone)
+                write_table(batch, spec, path, "upsert")
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+    return read_table(spark, path)
+
+
 def _bounds_query(spark, sf, start: str, end: str, at: str) -> DataFrame:
     s = fx.shipments(spark, sf).filter("vehicle_id IS NOT NULL").selectExpr(
         "order_id", "vehicle_id", f"{start} AS opens", f"{end} AS closes"
@@ -507,6 +544,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_telemetry_means": q_order_telemetry_means,
     "order_means_fleet50": q_order_means_fleet50,
     "order_means_fleet50_plain": q_order_means_fleet50_plain,
+    "order_means_prefix": q_order_means_prefix,
+    "order_means_fleet50_prefix": q_order_means_fleet50_prefix,
     "interval_join_dates": q_interval_join_dates,
     "interval_join_date_bounds": q_interval_join_date_bounds,
     "interval_join_zoned": q_interval_join_zoned,
@@ -533,6 +572,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layouts_read_back": q_layouts_read_back,
     "upsert_unpartitioned": q_upsert_unpartitioned,
     "upsert_moved_partitions": q_upsert_moved_partitions,
+    "upsert_zone_free_partitions": q_upsert_zone_free_partitions,
     # ingest
     "ingest_orders_csv": q_ingest_orders_csv,
     "ingest_telemetry_csv": q_ingest_telemetry_csv,

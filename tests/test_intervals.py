@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from convoy.operators.intervals import interval_join, window_enrich_left
+from convoy.operators.intervals import interval_join, interval_means, window_enrich_left
 
 T0 = datetime(2024, 1, 1)
 ORDERS = "order_id string, vehicle_id string, ws timestamp_ntz, we timestamp_ntz"
@@ -260,3 +260,70 @@ def test_bounds_of_every_kind_equal_the_plain_join(spark, zone):
                 interval_join(iv, pts.select("k", at), start=lo, end=hi, at=at, on=["k"])
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def _means_of_pairs(orders, samples, measures, **kw):
+    pairs = interval_join(orders, samples, method="plain", **kw)
+    return pairs.groupBy(*orders.columns).agg(*[F.avg(m).alias(m) for m in measures])
+
+
+def _same_means(got, want, measures):
+    def rows(df):
+        out = [F.round(F.col(m).cast("double"), 6).alias(m) for m in measures]
+        keys = [c for c in df.columns if c not in measures]
+        return sorted(map(repr, (tuple(r) for r in df.select(*sorted(keys), *out).distinct().collect())))
+
+    assert rows(got) == rows(want)
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    wins=st.lists(window, min_size=1, max_size=15),
+    pts=st.lists(st.tuples(st.integers(0, 3), st.integers(-50, 5000), st.sampled_from([None, 0.1, -7.25, 1e9, float("nan"), float("inf"), float("-inf")])), min_size=1, max_size=60),
+    block=st.sampled_from([60, 3600, 86_400]),
+)
+def test_means_from_running_sums_equal_means_of_pairs(spark, wins, pts, block):
+    orders = spark.createDataFrame(
+        [(f"o{i}", f"v{v}" if v else None, t(s), t(s + d)) for i, (v, s, d) in enumerate([*wins, *wins[:2]])], ORDERS
+    )
+    samples = spark.createDataFrame([(f"v{v}" if v else None, t(m), x) for v, m, x in pts], SAMPLES)
+    kw = {"start": "ws", "end": "we", "at": "ts", "on": ["vehicle_id"]}
+    got = interval_means(orders, samples, measures=["speed"], block_seconds=block, **kw)
+    _same_means(got, _means_of_pairs(orders, samples, ["speed"], **kw), ["speed"])
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "bigint", "double"])
+def test_running_means_of_every_kind_of_bound(spark, kind):
+    orders = spark.range(40).selectExpr("id AS o", "id % 3 AS k", "id * 7 % 50 AS s", "id * 7 % 50 + id % 9 AS e")
+    samples = spark.range(300).selectExpr("id % 4 AS k", "id * 13 % 60 AS at", "id * 0.37 AS m", "cast(id % 5 AS int) AS n")
+
+    def typed(c):
+        if kind in ("bigint", "double"):
+            return F.col(c).cast(kind)
+        day = F.date_add(F.lit("1970-01-20").cast("date"), F.col(c).cast("int"))
+        return day if kind == "date" else day.cast("timestamp")
+
+    orders, samples = orders.withColumns({"s": typed("s"), "e": typed("e")}), samples.withColumn("at", typed("at"))
+    kw = {"start": "s", "end": "e", "at": "at", "on": ["k"]}
+    want = _means_of_pairs(orders, samples, ["m", "n"], **kw)
+    _same_means(interval_means(orders, samples, measures=["m", "n"], **kw), want, ["m", "n"])
+
+
+def test_running_means_of_a_hot_vehicle_and_moment(spark):
+    """A third of the samples at one moment of one vehicle, a third more on that vehicle, and a
+    third of the orders with one window: no task holds a vehicle, and no pair row is made."""
+    samples = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 < 2 THEN 'hot' ELSE concat('v', id % 50) END AS vehicle_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, CASE WHEN id % 3 = 0 THEN 7000 ELSE id % 20000 END) AS ts",
+        "cast(id % 97 AS double) / 7 AS speed",
+    )
+    orders = spark.range(3_000).selectExpr(
+        "concat('o', id) AS order_id",
+        "CASE WHEN id % 2 = 0 THEN 'hot' ELSE concat('v', id % 50) END AS vehicle_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, CASE WHEN id % 3 = 0 THEN 600 ELSE id % 15000 END) AS ws",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, CASE WHEN id % 3 = 0 THEN 9000 ELSE id % 15000 + id % 900 END) AS we",
+    )
+    kw = {"start": "ws", "end": "we", "at": "ts", "on": ["vehicle_id"]}
+    got = interval_means(orders, samples, measures=["speed"], **kw)
+    _same_means(got, _means_of_pairs(orders, samples, ["speed"], **kw), ["speed"])
+    assert got.count() == len(got.select("order_id").distinct().collect())
