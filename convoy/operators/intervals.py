@@ -288,22 +288,23 @@ def interval_means(
     iv = intervals.where(valid).withColumns({"__lo": F.expr(lo), "__hi": F.expr(hi)})
     block = F.floor(F.col("__t") / F.lit(width)).cast("long") if kind == "number" else F.expr(f"floor(__t / {width}L)")
 
-    # per moment: the number of points, and of each measure count, finite sum, NaN or infinity
+    # per moment: the number of points, and of each measure count, finite sum and other values
+    # (NaN and infinity count 1, NaN and -infinity 2^32, so one number holds both counts)
     ms = range(len(measures))
     pt = points.where(f"`{at}` IS NOT NULL").select(
         *named, F.expr(t).alias("__t"), *[F.col(f"`{m}`").cast("double").alias(f"__m{i}") for i, m in enumerate(measures)]
     )
     for k in keys:
         pt = pt.where(f"{k} IS NOT NULL")
-    infinity = F.lit(float("inf"))
-    sums = {"__n": F.count(F.lit(1))}
+    sums = {"__n": "count(1)"}
     for i in ms:
-        m = F.col(f"__m{i}")
-        sums[f"__c{i}"] = F.count(m)
-        sums[f"__s{i}"] = F.coalesce(F.sum(F.when(F.abs(m) < infinity, m)), F.lit(0.0))
-        sums[f"__p{i}"] = F.count_if(m >= infinity)  # NaN is above infinity
-        sums[f"__q{i}"] = F.count_if((m == -infinity) | F.isnan(m))
-    moments = pt.withColumn("__b", block).groupBy(*keys, "__b", "__t").agg(*[v.alias(n) for n, v in sums.items()])
+        sums[f"__c{i}"] = f"count(__m{i})"
+        sums[f"__s{i}"] = f"coalesce(sum(CASE WHEN abs(__m{i}) < double('inf') THEN __m{i} END), 0D)"
+        sums[f"__f{i}"] = (
+            f"sum(CASE WHEN __m{i} >= double('inf') THEN 1L ELSE 0L END "
+            f"+ CASE WHEN isnan(__m{i}) OR __m{i} = double('-inf') THEN 4294967296L ELSE 0L END)"
+        )
+    moments = pt.withColumn("__b", block).groupBy(*keys, "__b", "__t").agg(*[F.expr(v).alias(n) for n, v in sums.items()])
 
     probes = (
         iv.select(*named, "__lo", "__hi").distinct()
@@ -319,12 +320,10 @@ def interval_means(
     inside = rows.select(*keys, "__b", "__lo", "__hi", "__sign", *[F.coalesce(F.sum(n).over(up_to), F.lit(0)).alias(n) for n in sums])
     inside = inside.where("__sign IS NOT NULL")
 
-    def whole(n):  # block totals as exact numbers
-        return F.col(n).try_cast("decimal(38,10)") if n.startswith("__s") else F.col(n)
-
-    totals = moments.groupBy(*keys, "__b").agg(*[F.sum(n).alias(n) for n in sums]).select(*keys, "__b", *[whole(n).alias(n) for n in sums])
-    blocks = totals.unionByName(probes.select(*keys, "__b").distinct(), allowMissingColumns=True)
-    blocks = blocks.groupBy(*keys, "__b").agg(*[F.sum(n).alias(n) for n in sums])
+    # sums of the blocks before a block; sums of values as exact numbers
+    blocks = rows.groupBy(*keys, "__b").agg(
+        *[(F.sum(n).try_cast("decimal(38,10)") if n.startswith("__s") else F.sum(n)).alias(n) for n in sums]
+    )
     before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(*keys, "__b", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in sums])
 
@@ -339,13 +338,10 @@ def interval_means(
     found = found.groupBy(*keys, "__lo", "__hi").agg(*signed).where("__n > 0")
 
     def mean(i):
-        above, below, count = (F.col(f"__{x}{i}") for x in "pqc")
-        return (
-            F.when(count == 0, F.lit(None))
-            .when((above > 0) & (below > 0), F.lit(float("nan")))
-            .when(above > 0, infinity)
-            .when(below > 0, -infinity)
-            .otherwise(F.col(f"__s{i}") / count)
+        return F.expr(
+            f"CASE WHEN __c{i} = 0 THEN NULL WHEN __f{i} % 4294967296L > 0 AND __f{i} >= 4294967296L THEN double('NaN') "
+            f"WHEN __f{i} > 0 AND __f{i} < 4294967296L THEN double('inf') WHEN __f{i} > 0 THEN double('-inf') "
+            f"ELSE __s{i} / __c{i} END"
         )
 
     # a table of its own: the join back then reads two plain exchanges, which adaptive execution
