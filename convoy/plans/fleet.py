@@ -30,13 +30,18 @@ DAILY_AS_OF = "2024-01-01"  # the "today" of the daily orders table
 SALT = 1
 
 def chained_windows(
-    parcels: DataFrame, seq: str = "seq", duration: str = "delivery_time", number_as: str | None = None
+    parcels: DataFrame, seq: str = "seq", duration: str = "delivery_time", number_as: str | None = None,
+    partition_by: tuple[str, ...] = (), strict: bool = False,
 ) -> DataFrame:
     """Windows laid end to end in ``seq`` order: the end of order i is the chain start plus
     the durations of orders 1..i; its start is the end of order i-1.  A NULL duration gives a
     NULL end and is skipped by later orders.  ``number_as`` also numbers the orders 1..n in
-    the same pass."""
-    d = accumulate(parcels, seq, sums={"__elapsed": duration}, row_number=number_as)
+    the same pass.  ``partition_by`` lays a chain (and numbers) per group, such as the vehicle.
+    ``strict``: an order without a duration makes the job fail instead."""
+    if strict:
+        missing = F.raise_error(F.concat(F.lit("no duration for order "), F.col(seq).cast("string"))).cast("bigint")
+        parcels = parcels.withColumn(duration, F.when(F.col(duration).isNull(), missing).otherwise(F.col(duration)))
+    d = accumulate(parcels, seq, sums={"__elapsed": duration}, row_number=number_as, partition_by=tuple(partition_by))
     end_epoch = F.lit(CHAIN_START_EPOCH).cast("bigint") + F.col("__elapsed")
     return (
         d.withColumn("delivery_end_epoch", end_epoch)
@@ -106,6 +111,11 @@ def bronze_of(
     return enriched.select(*[c for c in enriched.columns if c != "order_id"], "order_id")
 
 
+def orders_with_status(orders: DataFrame, status: str = IN_TRANSIT) -> DataFrame:
+    """The status question: orders of exactly this status (an unknown status is no status)."""
+    return orders.filter(F.col("delivery_status") == status)
+
+
 def transit_orders(bronze_df: DataFrame) -> DataFrame:
     return bronze_df.filter(F.col("delivery_status").isin(IN_TRANSIT, PENDING)).na.drop("any")
 

@@ -13,6 +13,7 @@ without one directory per vehicle, date and status.
 from __future__ import annotations
 
 import time
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,7 +107,7 @@ def _publish_fleet(spark, parcels, samples, root, bucket_seconds, as_of) -> dict
     paths: dict[str, str] = {}
 
     def put(df: DataFrame, layer: str, name: str, unique: bool = True) -> DataFrame:
-        spec = TableSpec(name, FLEET_SPEC.keys, FLEET_SPEC.order_by, FLEET_SPEC.partition_by)
+        spec = replace(FLEET_SPEC, name=name)
         paths[name] = write_table(df, spec, _path(root, layer, name), assume_unique=unique)
         return read_table(spark, paths[name])
 

@@ -17,12 +17,12 @@ from convoy.functions.casts import cast_columns, flatten_struct
 from convoy.functions.time import parse_date, parse_timestamp, timestamp_micros_sql
 from convoy.operators.intervals import interval_join
 from convoy.operators.normalise import normalise_telemetry
-from convoy.operators.sequence import surrogate_key
+from convoy.operators.sequence import number_rows, surrogate_key
 from convoy.operators.tables import TableSpec, dedupe_latest, read_table, write_layouts, write_table
 from convoy.plans import deliveries as dl
 from convoy.plans import fleet as fl
 from convoy.plans import oracles as oq
-from convoy.plans.publish import RAW_LAYOUTS, SAMPLE_SCHEMA
+from convoy.plans.publish import FLEET_SPEC, RAW_LAYOUTS, SAMPLE_SCHEMA
 from convoy.session import checkpoint_root, materialize, staging, workspace
 from convoy.sources import files
 from convoy.sources import fixtures as fx
@@ -139,6 +139,19 @@ HAVING count(DISTINCT order_date) > 1
 """
 
 
+DELIVERED_PER_DAY_SQL = """
+SELECT order_date, count(*) AS n_orders, count(vehicle_id) AS n_with_vehicle
+FROM {orders}
+WHERE order_status = 'delivered'
+GROUP BY order_date
+"""
+
+
+def q_sql_equality(spark, sf):
+    """SQL text with an equality filter: orders delivered per day."""
+    return files.run_sql(spark, DELIVERED_PER_DAY_SQL, orders=fx.shipments(spark, sf))
+
+
 def q_sql_query(spark, sf):
     """SQL text over a published table: the activity of vehicles that were out on several days."""
     return files.run_sql(spark, VEHICLE_ACTIVITY_SQL, orders=dl.compliance_orders(_enriched(spark, sf)))
@@ -447,6 +460,19 @@ def q_chained_windows(spark, sf):
     return fl.chained_windows(fx.parcels(spark, sf))
 
 
+def q_chained_windows_per_vehicle(spark, sf):
+    """A chain of windows, and numbers, per vehicle; every third order is on one vehicle."""
+    vehicle = "CASE WHEN seq % 3 = 0 THEN 0 ELSE 1 + cast(split(delivery_address, ' ')[0] AS bigint) % 50 END"
+    p = fx.parcels(spark, sf).withColumn("vehicle_id", F.expr(vehicle))
+    return fl.chained_windows(p, number_as="stop", partition_by=("vehicle_id",))
+
+
+def q_row_numbers(spark, sf):
+    """Orders numbered by status, start and id: text, moments with NULLs, and a tiebreak."""
+    s = fx.shipments(spark, sf).select("order_id", "order_status", "delivery_start_datetime")
+    return number_rows(s, ("order_status", "delivery_start_datetime", "order_id"), "place")
+
+
 def q_surrogate_key(spark, sf):
     return surrogate_key(fx.parcels(spark, sf), "seq", "order_id")
 
@@ -510,30 +536,22 @@ def q_job_fleet_files(spark, sf):
     return rounded(read_table(spark, paths["bronze_layer"])).drop("seq")
 
 
-#: Parcels on the road, and those whose status is not known.
-STATUS_SQL = """
-SELECT *
-FROM {bronze_layer}
-WHERE coalesce(delivery_status, 'in transit') = 'in transit'
-"""
-BRONZE_SPEC = TableSpec("bronze_layer", "order_id", "delivery_end_time", (), cluster_by=("delivery_status", "vehicle_id"))
-
-
 def q_status_lookup(spark, sf):
     # the status is an order column: look it up among the orders, then enrich those found
-    found = files.run_sql(spark, STATUS_SQL, bronze_layer=fl.numbered_chain(fx.parcels(spark, sf)))
+    found = fl.orders_with_status(fl.numbered_chain(fx.parcels(spark, sf)))
     return rounded(fl.bronze_of(found, fx.samples(spark, sf)))
 
 
 def q_status_lookup_base(spark, sf):
     """The same question to the stored base file (plain parquet, millisecond timestamps)."""
     path = files.sink_parquet_ms(_fleet(spark, sf)["bronze_layer"], workspace(spark, "base"))
-    return rounded(files.run_sql(spark, STATUS_SQL, bronze_layer=files.scan_parquet(spark, path)))
+    return rounded(fl.orders_with_status(files.scan_parquet(spark, path)))
 
 
 def q_status_lookup_table(spark, sf):
-    path = write_table(_fleet(spark, sf)["bronze_layer"], BRONZE_SPEC, workspace(spark, "bronze_layer"))
-    return rounded(files.run_sql(spark, STATUS_SQL, bronze_layer=read_table(spark, path)))
+    """The same question to the table as it is published, clustered by status."""
+    path = write_table(_fleet(spark, sf)["bronze_layer"], FLEET_SPEC, workspace(spark, "bronze_layer"), assume_unique=True)
+    return rounded(fl.orders_with_status(read_table(spark, path)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -561,6 +579,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_status_counts": q_daily_status_counts,
     "daily_status_counts_curated": q_daily_status_counts_curated,
     "sql_query": q_sql_query,
+    "sql_equality": q_sql_equality,
     "stream_upsert_orders": q_stream_upsert_orders,
     # keyed tables
     "table_partitioned": q_table_partitioned,
@@ -587,6 +606,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_struct": q_flatten_struct,
     # small pipeline
     "chained_windows": q_chained_windows,
+    "chained_windows_per_vehicle": q_chained_windows_per_vehicle,
+    "row_numbers": q_row_numbers,
     "surrogate_key": q_surrogate_key,
     "daily_vehicle_means": q_daily_vehicle_means,
     "window_enrich_left": q_window_enrich_left,
