@@ -26,6 +26,7 @@ or with one class only, the lexicon is empty and every score is 0.
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -34,7 +35,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convoy.llm.common import col, staged
@@ -64,18 +65,23 @@ def _fold_table() -> dict[int, str]:
     return table
 
 
+#: No disguise: four digits or signs in a row.
+JUNK = re.compile(r"[0-9@$!|]{4}")
 _FOLD = _fold_table()
 _SUBSTITUTE = str.maketrans(SUBSTITUTES)
 
 
 def folded_words(text: str | None) -> list[str]:
     """The words of a text after folding.  A digit or sign becomes a letter only in a word that
-    has letters; a trailing sign is punctuation."""
+    has letters, and not in a run of ``JUNK``; a trailing ! or |, and a trailing run of one sign, is
+    punctuation."""
     out = []
     for w in (text or "").translate(_FOLD).split():
         if not w.isalpha():
-            w = w.rstrip("!|")
-            if sum(map(str.isalpha, w)) * 2 <= len(w):
+            last = w[-1]
+            if last in "!|" or last in "$@" and w[-2:] == last * 2:
+                w = w.rstrip(last)
+            if not any(map(str.isalpha, w)) or JUNK.search(w):
                 continue
             w = w.translate(_SUBSTITUTE)
         if w:
@@ -169,6 +175,15 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+def starts_with(term: Column, begins: Sequence[str]) -> Column:
+    """Whether a term starts with one of many beginnings: a set lookup per length, however many."""
+    by_length = {k: sorted({b for b in begins if len(b) == k}) for k in sorted(set(map(len, begins)))}
+    found = F.lit(False)
+    for k, some in by_length.items():
+        found = found | F.substring(term, 1, k).isin(some)
+    return found
+
+
 def learn(rows: DataFrame, exceptions: Sequence[str] = ()) -> Lexicon:
     """A lexicon from a bounded sample of labelled rows (text, label 0 or 1)."""
     rows = rows.select("text", F.col("label").cast("long").alias("toxic"))
@@ -210,10 +225,7 @@ def learn(rows: DataFrame, exceptions: Sequence[str] = ()) -> Lexicon:
     begins = [o[:-1] for o in kept if o.endswith("*")]
     clean: set[str] = set()
     if begins:
-        starts = F.lit(False)
-        for b in begins:
-            starts = starts | F.col("term").startswith(b)
-        usual = terms.where(words & starts & (F.col("n") > 0) & (share <= base)).orderBy(F.desc("n"), "term").limit(EXCEPTIONS)
+        usual = terms.where(words & starts_with(F.col("term"), begins) & (F.col("n") > 0) & (share <= base)).orderBy(F.desc("n"), "term").limit(EXCEPTIONS)
         clean = {r["term"] for r in usual.collect()}
     lexicon = Lexicon(kept, given | clean)
 
