@@ -197,7 +197,14 @@ def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     """(base spans, all spans), each (start, kind index, end) in order."""
     text = text or ""
     base = base_spans(text)
-    extra = [(s, k, e) for s, k, e in entropy_spans(text) if not any(bs <= s and e <= be for bs, _, be in base)]
+    # an entropy span that a base span covers is not repeated: both lists by start, merged once
+    extra, starts, i, reach = [], sorted((s, e) for s, _, e in base), 0, -1
+    for s, k, e in sorted(entropy_spans(text)):
+        while i < len(starts) and starts[i][0] <= s:
+            reach = max(reach, starts[i][1])
+            i += 1
+        if e > reach:
+            extra.append((s, k, e))
     return base, sorted(base + extra)
 
 
