@@ -65,19 +65,20 @@ def dedup_lines(
     ``__lines`` (n_lines, n_dropped).  A text that keeps no line becomes the empty text."""
     drops = dropped_positions(docs, id_col, text_col, min_chars, min_docs)
     text = F.coalesce(col(text_col), F.lit(""))
-    keyed = docs.withColumns(dict(zip(("__r1", "__r2"), _row_key(col(id_col), text), strict=True)))
+    # the other columns travel as a struct, so none of them can clash with the names used here
+    others = [c for c in docs.columns if c != text_col]
+    keyed = docs.select(F.struct(*[col(c) for c in others]).alias("row"), text.alias("text"), *_row_key(col(id_col), text))
     # the drop lists are the small side: hash them, so the texts are not sorted
     joined = keyed.join(drops.hint("shuffle_hash"), ["__r1", "__r2"], "left")
-    lines = F.split(text, "\n", -1)
     drop = F.coalesce(F.col("__drops"), F.array().cast("array<int>"))
-    kept = F.when(F.col("__drops").isNull(), text).otherwise(
+    kept = F.when(F.col("__drops").isNull(), F.col("text")).otherwise(
         F.array_join(
             F.transform(F.array_except(F.sequence(F.lit(0), F.size("__all") - 1), drop), lambda i: F.get("__all", i)), "\n"
         )
     )
     return (
-        joined.withColumn("__all", lines)
+        joined.withColumn("__all", F.split("text", "\n", -1))
         .withColumn("__kept", kept)
         .withColumn("__lines", F.struct(F.size("__all").cast("long").alias("n_lines"), F.size(drop).cast("long").alias("n_dropped")))
-        .select(*[(F.col("__kept").alias(c) if c == text_col else col(c)) for c in docs.columns], "__lines")
+        .select(*[(F.col("__kept").alias(c) if c == text_col else F.col("row")[c].alias(c)) for c in docs.columns], "__lines")
     )

@@ -194,20 +194,21 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """The documents of the mix: every row of ``docs`` as often as it is taken."""
     taken = staged(mix(docs, id_col, text_col, seed=seed, **options).where("copies > 0"), "mix_taken")
     # rows that agree in id and text are one key; their copies are dealt out in rank order
-    ids = taken.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list("copies"), asc=False).alias("__copies"))
+    ids = taken.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list("copies"), asc=False).alias("copies"))
     key = F.xxhash64(F.lit(seed), col(id_col), col(text_col))
-    nth = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
-    keyed = docs.withColumn("__key", key)
+    nth = F.row_number().over(Window.partitionBy("text_key").orderBy("text_key"))
+    # the row travels as a struct, so no column of it can clash with the key
+    keyed = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), key.alias("text_key"))
     counted = taken.groupBy("text_key").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
     if counted == 0:  # the usual case: no two rows agree in id and text
-        joined = keyed.withColumn("__n", F.lit(1))
+        joined = keyed.withColumn("nth", F.lit(1))
     else:
-        joined = keyed.withColumn("__n", nth)
-    ids = ids.select(F.col("text_key").alias("__key"), "__copies")
+        joined = keyed.withColumn("nth", nth)
+    ids = ids.select("text_key", "copies")
     return (
-        joined.join(ids.hint("shuffle_hash"), "__key")
-        .withColumn("__times", F.coalesce(F.get("__copies", F.col("__n") - 1), F.lit(0)))
-        .where("__times > 0")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-        .select(*[col(c) for c in docs.columns])
+        joined.join(ids.hint("shuffle_hash"), "text_key")
+        .withColumn("times", F.coalesce(F.get("copies", F.col("nth") - 1), F.lit(0)))
+        .where("times > 0")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+        .select(*[F.col("row")[c].alias(c) for c in docs.columns])
     )

@@ -244,9 +244,10 @@ def keep_one(
     rows = staged(_labelled(docs, id_col, text_col, shingle, distance, bucket), "labelled")
     first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     # several rows only where an id repeats or is NULL: one text of them stays, and one row of that text
-    one = first.groupBy("root").agg(F.min("text_key").alias("__key"), F.count("*").alias("n"))
-    keyed = docs.withColumn("__key", text_key(id_col, text_col))
-    kept = keyed.join(one.select("__key").distinct().hint("shuffle_hash"), "__key", "left_semi")
+    one = first.groupBy("root").agg(F.min("text_key").alias("text_key"), F.count("*").alias("n"))
+    # the row travels as a struct, so no column of it can clash with the key
+    keyed = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), text_key(id_col, text_col).alias("text_key"))
+    kept = keyed.join(one.select("text_key").distinct().hint("shuffle_hash"), "text_key", "left_semi")
     if not one.where("n > 1").isEmpty():
-        kept = kept.dropDuplicates(["__key"])
-    return kept.select(*[col(c) for c in docs.columns])
+        kept = kept.dropDuplicates(["text_key"])
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
