@@ -85,14 +85,24 @@ def _widths(width: int, fanout: int) -> list[int]:
 
 
 class Buckets(NamedTuple):
-    """Width of the time buckets; ``single_level``: every interval fits the finest level."""
+    """Width of the time buckets; ``single_level``: every interval fits the finest level;
+    ``plain``: the unbucketed join of these inputs costs less."""
 
     seconds: float
     single_level: bool = False
+    plain: bool = False
 
 
 #: Cost of one exploded interval row (shuffled and sorted), in residual range tests (measured).
 ROW_COST = 50
+#: What bucketing a row costs against leaving it as it is (explode, wider key, sort), in range tests
+#: of a plain join (measured).
+BUCKET_ROW_COST = 1000
+#: Range tests that one task of a plain join may be left with: a few seconds of a core.
+PLAIN_TASK_TESTS = 100_000_000
+#: Rows of one bucket that stay in one lane, and the most buckets looked up as hot ones.
+LANE_ROWS = 100_000
+HOT_BUCKETS = 1000
 
 
 def derive_buckets(
@@ -113,7 +123,11 @@ def derive_buckets(
     t, _ = _ordinal(points.schema, at, kind)
     length = F.expr(f"cast({hi} AS double) - cast({lo} AS double)").alias("length")
     lengths = intervals.where(f"`{start}` <= `{end}`").select(length).agg(
-        F.struct(F.percentile_approx("length", 0.5, 1000).alias("mid"), F.max("length").alias("top"))
+        F.struct(
+            F.percentile_approx("length", 0.5, 1000).alias("mid"),
+            F.max("length").alias("top"),
+            F.count(F.lit(1)).cast("double").alias("n"),
+        )
     )
     per_entity = points.where(f"`{at}` IS NOT NULL").groupBy(*on).agg(
         F.count(F.lit(1)).cast("double").alias("n"),
@@ -124,6 +138,8 @@ def derive_buckets(
         F.struct(
             (F.sum(F.col("n") * F.col("n")) / F.nullif(F.sum("n"), F.lit(0.0))).alias("n"),
             (F.max("hi") - F.min("lo")).alias("span"),
+            F.max("n").alias("fullest"),
+            F.sum("n").alias("all"),
         )
     )
     row = intervals.sparkSession.range(1).select(lengths.scalar().alias("iv"), rate.scalar().alias("pt")).first()
@@ -134,7 +150,12 @@ def derive_buckets(
     # not wider than all the points and a median interval: one bucket would hold everything
     width = min(math.sqrt(ROW_COST * max(mid, 1.0) * span / n), span + mid)
     width = max(width, 1.0)
-    return Buckets(width / unit, top / width + 2 < fanout)
+    count, fullest, points_n = row["iv"]["n"], row["pt"]["fullest"], row["pt"]["all"]
+    bucketed_rows = count * (mid / width + 1) + points_n
+    # the fullest entity is taken to have the same share of the intervals as of the points
+    one_task = count * fullest / points_n * fullest
+    plain = bool(on) and count * n <= BUCKET_ROW_COST * bucketed_rows and one_task <= PLAIN_TASK_TESTS
+    return Buckets(width / unit, top / width + 2 < fanout, plain)
 
 
 def interval_join(
@@ -147,8 +168,9 @@ def interval_join(
     on: Sequence[str] = (),
     bucket_seconds: float | Buckets | None = None,
     fanout: int = 64,
-    method: str = "bucket",
+    method: str = "auto",
     salt: int = 1,
+    lane_rows: int | None = None,
 ) -> DataFrame:
     """Inner join of each interval with every point where ``start <= at <= end`` (both ends
     inclusive) and the ``on`` keys are equal.
@@ -156,12 +178,14 @@ def interval_join(
     ``bucket_seconds`` is the bucket width; by default it is derived from the data (one small job).
 
     ``salt > 1`` splits every (key, bucket) into ``salt`` lanes: a point goes to one lane by
-    hash, each bucketed interval to all lanes.  Use it for hot buckets when adaptive skew
-    handling is not available; the result is the same.
+    hash, each bucketed interval to all lanes.  ``lane_rows`` does so for hot buckets alone: those with
+    more points or more intervals than that are found by a sketch and split, see ``hot_buckets``.
+    Use them when adaptive skew handling is not available; the result is the same.
 
     Returns all interval columns and all point columns except the point copies of ``on``.
     NULL keys or bounds never match; an interval with ``start > end`` matches nothing.
-    ``method="plain"`` gives the unbucketed equi + range join (test oracle, needs ``on``).
+    ``method="bucket"`` always buckets, ``"plain"`` never does (an equi + range join, needs ``on``);
+    ``"auto"`` takes the plain join where the width is derived and the same figures say it is cheaper.
     With a given width the plan is lazy: the bucket levels in use are a scalar subquery.
     """
     on = list(on)
@@ -170,6 +194,12 @@ def interval_join(
         raise ValueError(f"columns on both sides of the interval join: {sorted(clash)}")
     p = points.withColumnsRenamed({k: f"__p_{k}" for k in on})
 
+    if method not in ("auto", "bucket", "plain"):
+        raise ValueError(f"unknown method {method}")
+    if bucket_seconds is None and method != "plain":
+        bucket_seconds = derive_buckets(intervals, points, start=start, end=end, at=at, on=on, fanout=fanout)
+        if method == "auto" and bucket_seconds.plain and salt == 1 and lane_rows is None:
+            method = "plain"
     if method == "plain":
         if not on:
             raise ValueError("plain interval join needs equi keys (it would be a cross join)")
@@ -177,15 +207,59 @@ def interval_join(
         in_range = (p[at] >= intervals[start]) & (p[at] <= intervals[end])
         out_cols = [intervals[c] for c in intervals.columns] + [p[c] for c in points.columns if c not in on]
         return intervals.join(p, keys + [in_range], "inner").select(*out_cols)
-    if method != "bucket":
-        raise ValueError(f"unknown method {method}")
+    return _bucketed(intervals, p, points.columns, start, end, at, on, bucket_seconds, fanout, salt=salt, lane_rows=lane_rows)
 
-    if bucket_seconds is None:
-        bucket_seconds = derive_buckets(intervals, points, start=start, end=end, at=at, on=on, fanout=fanout)
-    return _bucketed(intervals, p, points.columns, start, end, at, on, bucket_seconds, fanout, salt=salt)
 
+def hot_buckets(iv: DataFrame, pt: DataFrame, lane_rows: int = LANE_ROWS) -> DataFrame | None:
+    """(key, point_lanes, interval_lanes) of the buckets that hold more than ``lane_rows`` rows of a
+    side, None where there is none.  ``iv`` and ``pt`` have the bucket's hash in ``__key``.
 
-def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, fanout, how="inner", salt=1):
+    Each side's heavy hitters come from a frequent-items sketch, merged over the tasks (one job, no
+    shuffle of rows); a lane then holds about ``lane_rows`` rows.  At most ``HOT_BUCKETS`` of a side are
+    looked up, so the table is small enough to broadcast at any size of the input; with so
+    many, each of the rest holds less than a thousandth of the rows and is left to adaptive
+    execution; copies of one row share a lane.  A wrong count, or two buckets of one hash, changes the number of lanes only.
+    """
+    def top(side):
+        return side.agg(F.expr(f"approx_top_k(__key, {HOT_BUCKETS}, {10 * HOT_BUCKETS})").alias("top")).scalar()
+
+    spark = pt.sparkSession
+    row = spark.range(1).select(top(pt).alias("pt"), top(iv).alias("iv")).first()
+    lanes: dict[int, list[int]] = {}
+    for side, found in enumerate((row["pt"], row["iv"])):
+        for item in found or []:
+            if item["count"] > lane_rows:
+                lanes.setdefault(item["item"], [1, 1])[side] = math.ceil(item["count"] / lane_rows)
+    if not lanes:
+        return None
+    rows = [(key, a, b) for key, (a, b) in sorted(lanes.items())]
+    return spark.createDataFrame(rows, "key long, point_lanes int, interval_lanes int").coalesce(1)
+
+
+def _laned(iv: DataFrame, pt: DataFrame, on: Sequence[str], lane_rows: int) -> tuple[DataFrame, DataFrame] | None:
+    """Both sides with lanes (``__i_a``, ``__i_b`` and ``__p_a``, ``__p_b``) in their hot buckets: the lanes are a grid,
+    a point keeps its row and is in all columns, an interval keeps its column and is in all rows."""
+    iv = iv.withColumn("__key", F.xxhash64("__i_lvl", "__i_bkt", *[F.col(f"`{k}`") for k in on]))
+    pt = pt.withColumn("__key", F.xxhash64("__p_lvl", "__p_bkt", *[F.col(f"`__p_{k}`") for k in on]))
+    hot = hot_buckets(iv, pt, lane_rows)
+    if hot is None:
+        return None
+
+    def lanes(side, own, other, own_lane, other_lane):
+        found = side.join(F.broadcast(hot.withColumnRenamed("key", "__key")), "__key", "left")
+        # the whole row (maps have no hash), so that equal moments spread, too
+        place = F.xxhash64(*[F.col(f"`{f.name}`") for f in side.schema.fields if "map<" not in f.dataType.simpleString()])
+        found = found.withColumn(own_lane, F.coalesce(F.pmod(place, F.col(own)).cast("int"), F.lit(0)))
+        found = found.withColumn(other_lane, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)))
+        return found.drop("__key", own, other)
+
+    return (
+        lanes(iv, "interval_lanes", "point_lanes", "__i_b", "__i_a"),
+        lanes(pt, "point_lanes", "interval_lanes", "__p_a", "__p_b"),
+    )
+
+
+def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, fanout, how="inner", salt=1, lane_rows=None):
     """The bucketed inner join (``p`` has its ``on`` columns renamed to ``__p_<name>``)."""
     valid = " AND ".join(
         [f"`{start}` IS NOT NULL", f"`{end}` IS NOT NULL", f"`{start}` <= `{end}`"]
@@ -225,6 +299,9 @@ def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, f
     if salt > 1:
         iv = iv.withColumn("__i_salt", F.explode(F.sequence(F.lit(0), F.lit(int(salt) - 1))))
         pt = pt.withColumn("__p_salt", F.expr(f"pmod(hash(`{at}`, __p_bkt), {int(salt)})"))
+    laned = _laned(iv, pt, on, lane_rows) if lane_rows else None
+    if laned:
+        iv, pt = laned
 
     cond = [iv[k] == pt[f"__p_{k}"] for k in on]
     if in_use is not None:
@@ -232,6 +309,8 @@ def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, f
     cond.append(iv["__i_bkt"] == pt["__p_bkt"])
     if salt > 1:
         cond.append(iv["__i_salt"] == pt["__p_salt"])
+    if laned:
+        cond += [iv["__i_a"] == pt["__p_a"], iv["__i_b"] == pt["__p_b"]]
     cond += [(pt[at] >= iv[start]) & (pt[at] <= iv[end])]
     out = [iv[c] for c in intervals.columns] + [pt[c] for c in point_columns if c not in on]
     return iv.join(pt, cond, how).select(*out)
@@ -366,11 +445,14 @@ def window_enrich_left(
     bucket_seconds: float | Buckets | None = None,
     fanout: int = 64,
     salt: int = 1,
+    lane_rows: int | None = LANE_ROWS,
+    groups: str = "first",
 ) -> DataFrame:
     """Left enrichment of intervals with the means of the points inside them.
 
     Points of any entity inside ``[start, end]`` are grouped by ``group_by``; only the first
-    group in ascending ``group_by`` order is attached (its keys and means).  Groups with a
+    group in ascending ``group_by`` order is attached (its keys and means), or with
+    ``groups="all"`` every group, one row per interval and group.  Groups with a
     NULL key are ignored.  Intervals without a point keep their columns; the attached
     columns are NULL.  ``key`` must identify an interval.  A ``group_by`` column that the
     intervals also have is overwritten by the group's value when a group exists.
@@ -379,8 +461,12 @@ def window_enrich_left(
     which it cannot do for the NULL-supplying side of an outer join), means per (interval,
     group), then one aggregate per interval over those candidates unioned with a plain
     projection of all intervals; the union keeps intervals without points, so nothing is
-    joined back.
+    joined back.  Time is the join's only equi key, so a moment that holds a large share of the points
+    is one hot bucket: such buckets are split into lanes (``lane_rows``, None for none).  All groups
+    come from an inner join of the staged means with the intervals, and an anti join for the rest.
     """
+    if groups not in ("first", "all"):
+        raise ValueError(f"unknown groups {groups}")
     renamed = {c: f"__pt_{c}" for c in points.columns if c in intervals.columns or c in ("__iv", "__cand")}
     pts = points.withColumnsRenamed(renamed)
     g = [renamed.get(c, c) for c in group_by]
@@ -393,8 +479,10 @@ def window_enrich_left(
     slim = intervals.select(key, start, end)
     if bucket_seconds is None:
         bucket_seconds = derive_buckets(slim, pts, start=start, end=end, at=p_at, fanout=fanout)
-    pairs = _bucketed(slim, pts, pts.columns, start, end, p_at, [], bucket_seconds, fanout, salt=salt)
+    pairs = _bucketed(slim, pts, pts.columns, start, end, p_at, [], bucket_seconds, fanout, salt=salt, lane_rows=lane_rows)
     per_group = pairs.groupBy(key, *g).agg(*[F.avg(m).alias(m) for m in ms])
+    if groups == "all":
+        return _with_all_groups(intervals, per_group, key, renamed, list(group_by), list(measures))
     iv_type = intervals.select(F.struct(*[F.col(f"`{c}`") for c in intervals.columns]).alias("s")).schema["s"].dataType
     candidates = per_group.select(
         key,
@@ -424,3 +512,22 @@ def window_enrich_left(
         if c not in intervals.columns
     ]
     return first.select(*out)
+
+
+def _with_all_groups(intervals, per_group, key, renamed, group_by, measures):
+    """Intervals times their groups; those without a group keep one row."""
+    means, _ = materialize(per_group.withColumnRenamed(key, "__key"), "groups_of_intervals")
+    new = [c for c in group_by + measures if c not in intervals.columns]
+    kept = [c for c in intervals.columns if c not in group_by + measures]
+    found = {c: means[renamed.get(c, c)] for c in group_by + measures}
+    matched = intervals.join(means, intervals[key] == means["__key"]).select(
+        *[(intervals[c] if c in kept else found[c]).alias(c) for c in intervals.columns], *[found[c].alias(c) for c in new]
+    )
+    nothing = intervals.join(means.select("__key").distinct(), F.col(f"`{key}`") == F.col("__key"), "left_anti").select(
+        *[
+            F.lit(None).cast(means.schema[renamed.get(c, c)].dataType).alias(c) if c in measures else F.col(f"`{c}`")
+            for c in intervals.columns
+        ],
+        *[F.lit(None).cast(means.schema[renamed.get(c, c)].dataType).alias(c) for c in new],
+    )
+    return matched.unionByName(nothing)

@@ -31,7 +31,7 @@ ML_COLUMNS = (*SILVER_ORDER_COLUMNS, "delivery_start_datetime", "delivery_end_da
 
 def telemetry_pairs(
     shipments: DataFrame, telemetry: DataFrame, bucket_seconds: float | Buckets | None = None,
-    method: str = "bucket", salt: int = 1,
+    method: str = "auto", salt: int = 1, lane_rows: int | None = None,
 ) -> DataFrame:
     """One row per (order, sample) with the sample inside the order's window on its vehicle.  The
     bucket width is derived from the data unless given (see ``intervals.derive_buckets``)."""
@@ -45,12 +45,13 @@ def telemetry_pairs(
         bucket_seconds=bucket_seconds,
         method=method,
         salt=salt,
+        lane_rows=lane_rows,
     )
 
 
 def enriched_orders(
     shipments: DataFrame, telemetry: DataFrame, bucket_seconds: float | Buckets | None = None,
-    method: str = "bucket", salt: int = 1,
+    method: str = "auto", salt: int = 1, lane_rows: int | None = None,
 ) -> DataFrame:
     """Per-order mean of each sensor over the samples in the window (orders without a
     sample are not in the result).  Grouped by all order attributes, as published.
@@ -67,7 +68,7 @@ def enriched_orders(
             on=("vehicle_id",),
             measures=SENSORS,
         )
-    pairs = telemetry_pairs(shipments, telemetry, bucket_seconds, method, salt)
+    pairs = telemetry_pairs(shipments, telemetry, bucket_seconds, method, salt, lane_rows)
     return pairs.groupBy(*ORDER_COLUMNS).agg(*[F.avg(s).alias(s) for s in SENSORS])
 
 

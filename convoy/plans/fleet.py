@@ -8,6 +8,8 @@ followed by two hash aggregates and a left join, the order id a blocked row numb
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +26,8 @@ IN_TRANSIT, PENDING, DELIVERED = "in transit", "pending", "delivered"
 DAILY_AS_OF = "2024-01-01"  # the "today" of the daily orders table
 
 # The enrichment joins on the time bucket alone (any vehicle's samples count), so a moment at
-# which the whole fleet reports is one key.  Adaptive execution splits it (the join is inner);
-# where that is off, ``salt`` deals its samples over so many lanes, at the price of as many
-# copies of each window.
+# which the whole fleet reports is one key.  The operator splits such buckets into lanes; ``salt`` deals the
+# samples of every bucket over so many lanes, at the price of as many copies of each window.
 SALT = 1
 
 def chained_windows(
@@ -62,10 +63,11 @@ def daily_vehicle_means(samples: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 def enrich_windows(
     chained: DataFrame, samples: DataFrame, key: str = "seq", bucket_seconds: float | Buckets | None = None,
-    salt: int = SALT,
+    salt: int = SALT, groups: str = "first",
 ) -> DataFrame:
     """Attach, per order, the sensor means of the first (vehicle, date) group of the samples
-    inside ``[end - duration, end]``; orders without samples keep NULL means."""
+    inside ``[end - duration, end]``; orders without samples keep NULL means.  ``groups="all"``: a row
+    per order and group."""
     iv = _with_start(chained)
     out = window_enrich_left(
         iv,
@@ -78,6 +80,7 @@ def enrich_windows(
         measures=SENSORS,
         bucket_seconds=bucket_seconds,
         salt=salt,
+        groups=groups,
     )
     return out.drop("__start")
 
@@ -116,8 +119,9 @@ def orders_with_status(orders: DataFrame, status: str = IN_TRANSIT) -> DataFrame
     return orders.filter(F.col("delivery_status") == status)
 
 
-def transit_orders(bronze_df: DataFrame) -> DataFrame:
-    return bronze_df.filter(F.col("delivery_status").isin(IN_TRANSIT, PENDING)).na.drop("any")
+def transit_orders(bronze_df: DataFrame, required: Sequence[str] | None = None) -> DataFrame:
+    """Open orders whose ``required`` columns (by default all) are known."""
+    return bronze_df.filter(F.col("delivery_status").isin(IN_TRANSIT, PENDING)).na.drop("any", subset=required)
 
 
 def successful_orders(bronze_df: DataFrame) -> DataFrame:

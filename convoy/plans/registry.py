@@ -89,6 +89,11 @@ def q_order_means_fleet50_plain(spark, sf):
     return rounded(dl.enriched_orders(*_dense(spark, sf), method="plain"))
 
 
+def q_order_means_fleet50_lanes(spark, sf):
+    """Bucketed, with buckets of more than four rows of a side split into lanes."""
+    return rounded(dl.enriched_orders(*_dense(spark, sf), method="bucket", lane_rows=4))
+
+
 def q_pending_orders(spark, sf):
     return dl.pending_orders(fx.shipments(spark, sf))
 
@@ -289,7 +294,7 @@ def _bounds_query(spark, sf, start: str, end: str, at: str) -> DataFrame:
         "order_id", "vehicle_id", f"{start} AS opens", f"{end} AS closes"
     )
     t = fx.telemetry(spark, sf).selectExpr("vehicle_id", f"{at} AS at", "speed")
-    pairs = interval_join(s, t, start="opens", end="closes", at="at", on=("vehicle_id",))
+    pairs = interval_join(s, t, start="opens", end="closes", at="at", on=("vehicle_id",), method="bucket")
     return pairs.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_samples"), F.round(F.max("speed"), 6).alias("top_speed"))
 
 
@@ -486,6 +491,17 @@ def q_window_enrich_left(spark, sf):
     return rounded(fl.enrich_windows(chained, fx.samples(spark, sf)))
 
 
+def q_window_enrich_all_groups(spark, sf):
+    """Every (vehicle, date) group of an order's window, a row each; orders without samples keep one."""
+    chained, _ = materialize(fl.chained_windows(fx.parcels(spark, sf)), "chained_orders")
+    return rounded(fl.enrich_windows(chained, fx.samples(spark, sf), groups="all"))
+
+
+def q_fleet_transit_known_speed(spark, sf):
+    """Open orders with a known speed, whatever else is missing."""
+    return rounded(fl.transit_orders(_fleet(spark, sf)["bronze_layer"], required=("speed",)))
+
+
 def _fleet_table(name):
     def q(spark, sf):
         return rounded(_fleet(spark, sf)[name])
@@ -611,6 +627,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "surrogate_key": q_surrogate_key,
     "daily_vehicle_means": q_daily_vehicle_means,
     "window_enrich_left": q_window_enrich_left,
+    "window_enrich_all_groups": q_window_enrich_all_groups,
+    "fleet_transit_known_speed": q_fleet_transit_known_speed,
+    "order_means_fleet50_lanes": q_order_means_fleet50_lanes,
     "fleet_bronze": _fleet_table("bronze_layer"),
     "fleet_transit": _fleet_table("transit_orders"),
     "fleet_successful": _fleet_table("successful_orders"),

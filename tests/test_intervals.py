@@ -5,7 +5,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from convoy.operators.intervals import interval_join, interval_means, window_enrich_left
+from convoy.operators import intervals as iv_module
+from convoy.operators.intervals import Buckets, derive_buckets, interval_join, interval_means, window_enrich_left
 
 T0 = datetime(2024, 1, 1)
 ORDERS = "order_id string, vehicle_id string, ws timestamp_ntz, we timestamp_ntz"
@@ -327,3 +328,127 @@ def test_running_means_of_a_hot_vehicle_and_moment(spark):
     got = interval_means(orders, samples, measures=["speed"], **kw)
     _same_means(got, _means_of_pairs(orders, samples, ["speed"], **kw), ["speed"])
     assert got.count() == len(got.select("order_id").distinct().collect())
+
+
+def _hot_moment(spark, points=20_000, orders=300):
+    """Half of the samples at one moment, the rest over a day; all windows over that moment."""
+    samples = spark.range(points).selectExpr(
+        "id % 3 AS vehicle_id",
+        "timestamp_ntz'2024-01-01 06:00:00' + make_dt_interval(0, 0, 0, IF(id % 2 = 0, 0, id * 4)) AS ts",
+        "cast(id AS double) AS speed",
+    ).withColumn("event_date", F.to_date("ts"))
+    windows = spark.range(orders).selectExpr(
+        "id AS seq", "cast(9 AS bigint) AS vehicle_id",
+        "timestamp_ntz'2024-01-01 06:00:00' - make_dt_interval(0, 0, 0, id) AS ws",
+        "timestamp_ntz'2024-01-01 06:00:00' + make_dt_interval(0, 0, 0, id * 100) AS we",
+    )
+    return windows, samples
+
+
+def test_lanes_split_hot_moments_alone_and_keep_the_result(spark, monkeypatch):
+    monkeypatch.setattr(iv_module, "HOT_BUCKETS", 1000)
+    windows, samples = _hot_moment(spark)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        options = dict(key="seq", start="ws", end="we", at="ts", group_by=["vehicle_id", "event_date"], measures=["speed"])
+        columns = ["seq", "vehicle_id", "event_date", "speed"]
+        plain = window_enrich_left(windows, samples, **options, bucket_seconds=3600, lane_rows=None).select(columns)
+        laned = window_enrich_left(windows, samples, **options, bucket_seconds=3600, lane_rows=500).select(columns)
+        rounded = [sorted((*r[:3], round(r[3], 9)) for r in d.collect()) for d in (plain, laned)]
+        assert rounded[0] == rounded[1] and len(rounded[0]) == 300
+
+        sides = []
+        kept = iv_module._laned
+        monkeypatch.setattr(iv_module, "_laned", lambda *a: sides.append((a, kept(*a))) or sides[-1][1])
+        window_enrich_left(windows, samples, **options, bucket_seconds=3600, lane_rows=500)
+        (before_iv, before_pt, _, _), (iv, pt) = sides[0]
+        # a task holds whole lanes: the fullest bucket had half of the points, its fullest lane far fewer
+        assert before_pt.groupBy("__p_bkt").count().agg(F.max("count")).first()[0] >= 10_000
+        fullest = pt.groupBy("__p_bkt", "__p_a", "__p_b").count().agg(F.max("count")).first()[0]
+        assert fullest <= 700
+        # every point once per column of its bucket, buckets that are not hot in one lane
+        assert pt.where("__p_b = 0").count() == before_pt.count()
+        cold = before_pt.groupBy("__p_bkt").count().where("count <= 400").select("__p_bkt")
+        assert pt.join(cold, "__p_bkt").where("__p_a > 0 OR __p_b > 0").count() == 0
+        assert iv.where("__i_a = 0").count() == before_iv.count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_lanes_of_both_sides_and_map_columns(spark):
+    windows, samples = _hot_moment(spark, points=2_000, orders=400)
+    windows = windows.drop("vehicle_id").withColumn("tags", F.create_map(F.lit("a"), F.col("seq")))
+    samples = samples.drop("event_date").withColumn("extra", F.create_map(F.lit("b"), F.col("speed")))
+    counted = []
+    for rows in (None, 50):
+        got = interval_join(windows, samples, start="ws", end="we", at="ts", bucket_seconds=3600, lane_rows=rows)
+        assert got.columns == [*windows.columns, *samples.columns]
+        counted.append(sorted(map(tuple, got.groupBy("seq").agg(F.count("*"), F.sum("vehicle_id"), F.sum("speed")).collect())))
+    assert counted[0] == counted[1] and sum(r[1] for r in counted[0]) > 400 * 1000
+
+
+def test_lanes_without_rows(spark):
+    windows, samples = _hot_moment(spark, points=20, orders=5)
+    for w, p in ((windows.limit(0), samples), (windows, samples.limit(0))):
+        got = interval_join(
+            w.drop("vehicle_id"), p.drop("event_date"), start="ws", end="we", at="ts", bucket_seconds=60, lane_rows=1
+        )
+        assert got.count() == 0
+
+
+def test_all_groups_of_a_window(spark):
+    orders = spark.createDataFrame(
+        [(1, 9, t(0), t(10)), (2, 9, t(23 * 60 + 50), t(24 * 60 + 10)), (3, 8, t(500), t(510)), (4, None, None, t(5))],
+        "seq long, vehicle_id long, ws timestamp_ntz, we timestamp_ntz",
+    )
+    samples = spark.createDataFrame(
+        [
+            (2, t(1), 10.0), (1, t(2), 20.0), (1, t(3), 40.0), (None, t(4), 99.0),
+            (1, t(23 * 60 + 55), 5.0), (1, t(24 * 60 + 5), 7.0), (5, t(24 * 60 + 6), None),
+        ],
+        "vehicle_id long, ts timestamp_ntz, speed double",
+    ).withColumn("event_date", F.to_date("ts"))
+    got = window_enrich_left(
+        orders, samples, key="seq", start="ws", end="we", at="ts",
+        group_by=["vehicle_id", "event_date"], measures=["speed"], bucket_seconds=300, groups="all",
+    )
+    assert got.columns == ["seq", "vehicle_id", "ws", "we", "event_date", "speed"]
+    rows = {(r["seq"], r["vehicle_id"], str(r["event_date"]), r["speed"]) for r in got.collect()}
+    assert rows == {
+        (1, 1, "2024-01-01", 30.0), (1, 2, "2024-01-01", 10.0),
+        (2, 1, "2024-01-01", 5.0), (2, 1, "2024-01-02", 7.0), (2, 5, "2024-01-02", None),
+        (3, 8, "None", None), (4, None, "None", None),
+    } and got.count() == 7
+    with pytest.raises(ValueError):
+        window_enrich_left(
+            orders, samples, key="seq", start="ws", end="we", at="ts", group_by=["vehicle_id"], measures=["speed"], groups="some"
+        )
+
+
+def test_plain_join_is_chosen_by_cost(spark):
+    def inputs(vehicles, points, orders, seconds):
+        samples = spark.range(points).selectExpr(
+            f"id % {vehicles} AS v", f"timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * {seconds} / {points}) AS ts"
+        )
+        windows = spark.range(orders).selectExpr(
+            "id AS o", f"id % {vehicles} AS v",
+            f"timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * {seconds} / {orders}) AS ws",
+            f"timestamp_ntz'2024-01-01 00:00:10' + make_dt_interval(0, 0, 0, id * {seconds} / {orders}) AS we",
+        )
+        return windows, samples
+
+    def bucketed(windows, samples, **options):
+        got = interval_join(windows, samples, start="ws", end="we", at="ts", on=("v",), **options)
+        return "__i_bkt" in got._jdf.queryExecution().optimizedPlan().toString(), got.count()
+
+    few = inputs(100, 10_000, 1_000, 86_400)  # 100 samples a vehicle
+    assert bucketed(*few)[0] is False
+    assert bucketed(*few, method="bucket") == (True, bucketed(*few)[1])
+    assert bucketed(*few, lane_rows=10)[0] is True  # lanes need buckets
+    many = inputs(2, 200_000, 6_000, 86_400)  # 100,000 samples a vehicle: every window would test them all
+    assert bucketed(*many)[0] is True
+    width = derive_buckets(*few, start="ws", end="we", at="ts", on=("v",))
+    assert isinstance(width, Buckets) and width.plain
+    # time alone as key: never plain, it would be a cross join
+    assert not derive_buckets(*few, start="ws", end="we", at="ts").plain
