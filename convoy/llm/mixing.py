@@ -146,7 +146,7 @@ def mix(
         col(id_col).alias("doc_id"),
         col(source_col).cast("string").alias("source"),
         word_count(col(text_col)).alias("size"),
-        F.xxhash64(F.lit(seed), col(id_col), col(text_col)).alias("h"),
+        *[h.alias(n) for n, h in zip(("h", "h2"), _hashes(id_col, text_col, seed), strict=True)],
     ).withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int"))
     slim = staged(slim, "mix_sizes")  # the texts are read once
     fine = slim.groupBy("source", "size", "bucket").agg(F.count("*").alias("n"))
@@ -173,29 +173,35 @@ def mix(
             F.greatest(F.lit(0), F.least(F.col("n"), F.col("extra") - F.col("before"))).alias("quota"),
         )
     )
-    rank = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("h", "doc_id"))
+    rank = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("h", "h2", "doc_id"))
     picked = (
         slim.withColumn("rank", rank)
         .alias("l")
         .join(quota.alias("r"), same("l", "r") & (F.col("l.size") == F.col("r.size")) & (F.col("l.bucket") == F.col("r.bucket")))
-        .select("doc_id", "l.source", "l.size", "h", (F.col("passes") + (F.col("rank") <= F.col("quota")).cast("int")).alias("copies"))
+        .select("doc_id", "l.source", "l.size", "h", "h2", (F.col("passes") + (F.col("rank") <= F.col("quota")).cast("int")).alias("copies"))
     )
     return (
         picked.alias("l")
         .join(goal.alias("r"), same("l", "r"))
         .select(
             "doc_id", "l.source", "size", "source_size", "target", "copies",
-            (F.col("copies") * F.col("size")).alias("taken"), F.col("h").alias("text_key"),
+            (F.col("copies") * F.col("size")).alias("taken"), F.struct("h", "h2").alias("text_key"),
         )
     )
 
 
+def _hashes(id_col: str, text_col: str, seed: int) -> tuple[Column, Column]:
+    """128 bits of hash of a row's id and text: the first also deals the rows to buckets."""
+    i, t = col(id_col), col(text_col)
+    return F.xxhash64(F.lit(seed), i, t), F.xxhash64(F.lit("2"), F.lit(seed), t, i)
+
+
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 42, **options) -> DataFrame:
     """The documents of the mix: every row of ``docs`` as often as it is taken."""
     taken = staged(mix(docs, id_col, text_col, seed=seed, **options).where("copies > 0"), "mix_taken")
     # rows that agree in id and text are one key; their copies are dealt out in rank order
     ids = taken.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list("copies"), asc=False).alias("copies"))
-    key = F.xxhash64(F.lit(seed), col(id_col), col(text_col))
+    key = F.struct(*[h.alias(n) for n, h in zip(("h", "h2"), _hashes(id_col, text_col, seed), strict=True)])
     nth = F.row_number().over(Window.partitionBy("text_key").orderBy("text_key"))
     # the row travels as a struct, so no column of it can clash with the key
     keyed = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), key.alias("text_key"))

@@ -68,12 +68,14 @@ def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def text_key(id_col: str, text_col: str) -> Column:
-    """A hash of a row's id and text."""
-    return F.xxhash64(col(id_col), col(text_col))
+    """128 bits of hash of a row's id and text, as two numbers."""
+    return F.struct(
+        F.xxhash64(col(id_col), col(text_col)).alias("h1"), F.xxhash64(F.lit("2"), col(text_col), col(id_col)).alias("h2")
+    )
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, text_key, fp long): the fingerprint's bits as a signed 64-bit integer."""
+    """(doc_id, text_key struct, fp long): the fingerprint's bits as a signed 64-bit integer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,7 +89,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         text_key(id_col, text_col).alias("text_key"),
         col(text_col).cast("string").cast("binary").alias("text"),
     )
-    return slim.mapInArrow(run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, text_key long, fp long")
+    types = {c: slim.schema[c].dataType.simpleString() for c in ("doc_id", "text_key")}
+    return slim.mapInArrow(run, f"doc_id {types['doc_id']}, text_key {types['text_key']}, fp long")
 
 
 def _remainder(words: np.ndarray) -> np.ndarray:
