@@ -4,7 +4,7 @@ Each text becomes a row of document statistics (lengths, shares of character cla
 of words and lines, punctuation at line ends).  Standardised and projected on random frequencies,
 their cosines approximate a Gaussian kernel; ridge regression on them needs only the sums Z'Z and
 Z'y, which every partition adds up on its own rows and Spark adds over partitions.  A
-monotone step curve (pool adjacent violators) fitted on rows the ridge has not seen turns
+monotone curve (pool adjacent violators, straight lines between the pools) fitted on rows the ridge has not seen turns
 its output into a probability.
 
 Bounds: at most ``SAMPLE`` labelled rows of the training folds, the smallest by a hash of their
