@@ -28,11 +28,13 @@ def main(argv=None) -> None:
     ap.add_argument("--root", required=True, help="folder for the published tables (shared storage)")
     ap.add_argument("--as-of", default=AS_OF)
     a = ap.parse_args(argv)
-    if not a.sf_dir and not (a.orders and a.telemetry and a.job != "compare"):
-        ap.error("name --orders and --telemetry, or --sf-dir (compare: --sf-dir)")
+    if not a.sf_dir and not (a.orders and a.telemetry):
+        ap.error("name --orders and --telemetry, or --sf-dir")
     spark = SparkSession.builder.appName("convoy").getOrCreate()
     checkpoint_root(spark)
-    if a.job == "compare":
+    if a.job == "compare" and not a.sf_dir:
+        out = publish.compare_files(spark, a.orders, a.telemetry, a.root, a.as_of)
+    elif a.job == "compare":
         out = publish.compare(spark, fx.shipments(spark, a.sf_dir), fx.telemetry(spark, a.sf_dir), a.root, a.as_of)
     elif a.job == "deliveries" and a.sf_dir:
         out = publish.publish_deliveries(spark, fx.shipments(spark, a.sf_dir), fx.telemetry(spark, a.sf_dir), a.root)

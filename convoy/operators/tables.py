@@ -134,20 +134,35 @@ def _write_meta(spark: SparkSession, spec: TableSpec, schema: StructType, path:
 NEXT, OLD = ".__next", ".__old"
 
 
-def _replace(df: DataFrame, spec: TableSpec, schema: StructType, path: str) -> None:
+def _replace(df: DataFrame, spec: TableSpec, schema: StructType, path: str, verify: bool = False) -> None:
     """Write a whole table beside the one at ``path``, then let them change places.  The
-    description is written last: it tells a complete table from one whose write failed."""
+    description is written last: it tells a complete table from one whose write failed.
+    ``verify``: a key written twice fails the write before the tables change places."""
     spark, path = df.sparkSession, path.rstrip("/")
     _recover(spark, path)
     for rest in (NEXT, OLD):
         remove_path(spark, path + rest)
     _save(df, spec, path + NEXT, dynamic=False)
+    if verify:
+        _refuse_repeats(spark, spec, schema, path + NEXT)
     _write_meta(spark, spec, schema, path + NEXT)
     _move(spark, path, path + OLD)
     _move(spark, path + NEXT, path)
     remove_path(spark, path + OLD)
 
 
+def _refuse_repeats(spark: SparkSession, spec: TableSpec, schema: StructType, path: str) -> None:
+    """Raise if two written rows share a key.  Reads the key columns alone from the files just
+    written and counts them with map-side combine, so a key that a third of the rows share is
+    one row a task before the shuffle."""
+    written = spark.read.schema(schema).parquet(path)
+    keys = [F.col(f"`{c}`") for c in spec.unique_by]
+    repeated = written.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").first()
+    if repeated is not None:
+        remove_path(spark, path)
+        raise ValueError(f"the rows for {spec.name} are not unique by {', '.join(spec.unique_by)}: {tuple(repeated)[:-1]} comes {repeated['__n']} times")
+
+
 def _move(spark: SparkSession, source: str, target: str) -> None:
     a, fs = _fs(spark, source)
     if fs.exists(a) and not fs.rename(a, _fs(spark, target)[0]):
@@ -199,17 +214,19 @@ def read_table(spark: SparkSession, path: str, view: str | None = None, schema:
 
 
 def write_table(
-    df: DataFrame, spec: TableSpec, path: str, mode: str = "replace", assume_unique: bool = False
+    df: DataFrame, spec: TableSpec, path: str, mode: str = "replace", assume_unique: bool = False, verify: bool = True
 ) -> str:
     """Write ``df`` as the table at ``path``: ``replace`` or ``upsert``; returns ``path``.
 
     ``assume_unique`` skips the latest-row-wins shuffle of a replace when the rows are unique by
     key by construction (a filter or projection of a keyed table, or an aggregate grouped by
-    exactly the key); the caller vouches for it."""
+    exactly the key).  The keys are counted once they are written, and a repeated one fails the
+    write with the old table left as it was; ``verify=False`` skips that for rows copied from a
+    table with the same key."""
     spark = df.sparkSession
     if mode == "replace":
         rows = df if assume_unique else dedupe_latest(df, spec.unique_by, spec.order_by)
-        _replace(rows, spec, df.schema, path)
+        _replace(rows, spec, df.schema, path, verify=assume_unique and verify)
         return path
     if mode != "upsert":
         raise ValueError(f"unknown write mode {mode}")
@@ -314,7 +331,9 @@ def write_layouts(df: DataFrame, specs: dict[str, TableSpec], root: str) -> dict
     for name, spec in specs.items():
         path = f"{root.rstrip('/')}/{name}"
         # copies of the first layout are unique by key already
-        write_table(df if source is None else source, spec, path, "replace", assume_unique=source is not None)
+        rows = df if source is None else source
+        same_key = source is not None and spec.unique_by == next(iter(specs.values())).unique_by
+        write_table(rows, spec, path, "replace", assume_unique=source is not None, verify=not same_key)
         if source is None:
             source = read_table(df.sparkSession, path)
         paths[name] = path

@@ -26,6 +26,7 @@ from convoy.plans import fleet as fl
 from convoy.operators.typed import typed_with_rejects
 from convoy.session import materialize, staging
 from convoy.sources import files
+from convoy.sources.arrays import scan_json_array
 
 # Table specs of the scaled pipeline: name -> (record key, ordering field, partitions, cluster).
 RAW_LAYOUTS = {
@@ -142,12 +143,16 @@ SAMPLE_SCHEMA = (
 PARCEL_TYPES = {"delivery_time": ("bigint", None), "delivery_cost": ("double", None)}
 
 
+#: Column of the rejects with the whole line, where its number of fields was wrong.
+LINE = "malformed_line"
+
+
 def _typed(scanned: DataFrame, types: dict, root: str, name: str) -> DataFrame:
-    """The typed rows, staged once for all their readers; rows with text that does not convert
-    are also written to ``<root>/rejects/<name>``."""
-    typed, rejects = typed_with_rejects(scanned, types)
+    """The typed rows, parsed and staged once for all their readers; rows with text that does not
+    convert or a wrong number of fields are also written to ``<root>/rejects/<name>``."""
+    typed, rejects = typed_with_rejects(scanned, types, malformed=LINE, stage=name)
     rejects.write.mode("overwrite").parquet(f"{root.rstrip('/')}/rejects/{name}")
-    return materialize(typed, name)[0]
+    return typed
 
 
 def deliveries_from_files(
@@ -156,8 +161,8 @@ def deliveries_from_files(
     """The scaled pipeline from its raw inputs, orders CSV and telemetry CSV (all text, with
     header): cast with rejects, then publish."""
     with staging(spark):
-        shipments = _typed(files.scan_csv(spark, orders), ORDER_TYPES, root, "orders")
-        samples = _typed(files.scan_csv(spark, telemetry), TELEMETRY_TYPES, root, "telemetry")
+        shipments = _typed(files.scan_csv(spark, orders, malformed=LINE), ORDER_TYPES, root, "orders")
+        samples = _typed(files.scan_csv(spark, telemetry, malformed=LINE), TELEMETRY_TYPES, root, "telemetry")
         return publish_deliveries(
             spark, shipments, samples.withColumnRenamed("timestamp", "sample_ts"), root, bucket_seconds
         )
@@ -171,13 +176,21 @@ def fleet_from_files(
     and telemetry JSON (``multiline``: files that each hold one array).  A record that names no
     vehicle belongs to vehicle 1."""
     with staging(spark):
-        rows = files.in_file_order(files.scan_csv(spark, orders))
+        rows = files.in_file_order(files.scan_csv(spark, orders, malformed=LINE))
         parcels = normalise_orders(_typed(rows, PARCEL_TYPES, root, "orders"), keep=("seq",))
-        raw = files.scan_json(spark, telemetry, SAMPLE_SCHEMA, multiline)
+        scan = scan_json_array if multiline else files.scan_json
+        raw = scan(spark, telemetry, SAMPLE_SCHEMA)
         samples = normalise_telemetry(raw, vehicle_id=F.coalesce("vehicle", F.lit(1).cast("bigint")))
         return publish_fleet(spark, parcels, materialize(samples, "samples")[0], root, bucket_seconds, as_of)
 
 
+def compare_files(spark: SparkSession, orders: str, telemetry: str, root: str, as_of: str) -> dict[str, float]:
+    """``compare`` from the raw files of the scaled pipeline, read and cast anew by each raw question."""
+    shipments, _ = typed_with_rejects(files.scan_csv(spark, orders), ORDER_TYPES)
+    samples, _ = typed_with_rejects(files.scan_csv(spark, telemetry), TELEMETRY_TYPES)
+    return compare(spark, shipments, samples.withColumnRenamed("timestamp", "sample_ts"), root, as_of)
+
+
 def compare(
     spark: SparkSession, shipments: DataFrame, telemetry: DataFrame, root: str, as_of: str
 ) -> dict[str, float]:

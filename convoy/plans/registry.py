@@ -25,6 +25,7 @@ from convoy.plans import oracles as oq
 from convoy.plans.publish import FLEET_SPEC, RAW_LAYOUTS, SAMPLE_SCHEMA
 from convoy.session import checkpoint_root, materialize, staging, workspace
 from convoy.sources import files
+from convoy.sources.arrays import scan_json_array
 from convoy.sources import fixtures as fx
 
 AS_OF = "2024-01-17"  # the "D-1" of the daily status question on the fixture dates
@@ -389,6 +390,44 @@ def q_ingest_rejects(spark, sf):
     return rejects.select("order_id", "order_priority", "order_date", F.col("rejected_columns")[0].alias("rejected"))
 
 
+def q_ingest_malformed(spark, sf):
+    """Order lines of which some lack their last field, some have one too many and some a date that
+    does not parse: the rejects of a scan that parses the text once."""
+    from convoy.operators.typed import typed_with_rejects
+
+    fields = fx.read_table(spark, sf, "orders").selectExpr(
+        "o_orderpriority AS p",
+        "format_string('O%07d', o_orderkey) AS id",
+        "CASE WHEN o_orderpriority = '1-URGENT' THEN 'soon' ELSE date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') END AS d",
+        "cast(o_custkey AS string) AS c",
+    )
+    line = F.when(F.col("p") == "2-HIGH", F.concat_ws(",", "id", "d")).when(
+        F.col("p") == "3-MEDIUM", F.concat_ws(",", "id", "d", "c", F.lit("more"))
+    )
+    path = workspace(spark, "order_lines")
+    # the header is a line of every file, as a CSV writer leaves it
+    files.sink_csv(fields.select(F.coalesce(line, F.concat_ws(",", "id", "d", "c")).alias("line")), path)
+    lines = spark.read.text(path).select(F.when(F.col("value") == "line", "order_id,order_date,customer").otherwise(
+        F.regexp_replace("value", '^"|"$', "")).alias("value"))
+    text = workspace(spark, "order_text")
+    lines.write.text(text)
+    _, rejects = typed_with_rejects(
+        files.scan_csv(spark, text, malformed="line"), {"order_date": ("date", None), "customer": ("bigint", None)},
+        malformed="line", stage="order_text",
+    )
+    return rejects.select("order_id", "customer", "line", F.array_join("rejected_columns", ",").alias("rejected"))
+
+
+def q_ingest_telemetry_json_array(spark, sf):
+    """Telemetry from files that hold arrays of a thousand records, read by the scan that splits them."""
+    path = workspace(spark, "samples_arrays")
+    numbered = fx.raw_samples(spark, sf, keep=("event_id",))
+    record = F.to_json(F.struct(*[c for c in numbered.columns if c != "event_id"]))
+    arrays = numbered.groupBy(F.expr("event_id div 1000")).agg(F.concat_ws(", ", F.collect_list(record)).alias("all"))
+    arrays.select(F.concat(F.lit("["), "all", F.lit("]"))).write.text(path)
+    return normalise_telemetry(scan_json_array(spark, path, SAMPLE_SCHEMA), vehicle_id=F.col("vehicle"))
+
+
 def q_ingest_telemetry_csv(spark, sf):
     t = fx.telemetry(spark, sf).withColumn(
         "sample_ts", F.date_format("sample_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
@@ -614,7 +653,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_telemetry_csv_typed": q_ingest_telemetry_csv_typed,
     "view_by_name": q_view_by_name,
     "ingest_rejects": q_ingest_rejects,
+    "ingest_malformed": q_ingest_malformed,
     "ingest_telemetry_json": q_ingest_telemetry_json,
+    "ingest_telemetry_json_array": q_ingest_telemetry_json_array,
     "normalise_telemetry": q_normalise_telemetry,
     "normalise_service": q_normalise_service,
     "normalise_orders": q_normalise_orders,

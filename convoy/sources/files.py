@@ -9,23 +9,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from convoy.session import materialize
 
 
 def scan_json(spark: SparkSession, path: str, schema: StructType | str | None = None, multiline: bool = False) -> DataFrame:
     """JSON records.  ``multiline=True`` reads files that each hold one array of records
-    (one task per file); JSON Lines (the default) splits large files across tasks."""
+    (one task per file; ``arrays.scan_json_array`` splits them); JSON Lines (the default)
+    splits large files across tasks."""
     r = spark.read.option("multiLine", multiline)
     if schema is not None:
         r = r.schema(schema)
     return r.json(path)
 
 
-def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header line; without a schema every column is text.  Empty fields are NULL."""
+def scan_csv(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, malformed: str | None = None
+) -> DataFrame:
+    """CSV with a header line; without a schema every column is text.  Empty fields are NULL.
+
+    A line with too few fields is padded with NULLs and one with too many is cut.  ``malformed``
+    names one more column, which holds the whole line where that happened (or a typed field did
+    not convert) and NULL elsewhere.  All fields are parsed for it, whichever columns are read."""
     r = spark.read.option("header", True)
+    if malformed:
+        fields = r.csv(path).schema if schema is None else schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        schema = StructType([*fields.fields, StructField(malformed, StringType())])
+        r = r.option("columnNameOfCorruptRecord", malformed).option("columnPruning", False)
     if schema is not None:
         r = r.schema(schema)
     return r.csv(path)

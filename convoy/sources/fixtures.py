@@ -105,9 +105,11 @@ def raw_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Telemetry records as the small JSON file holds them (epoch seconds, coordinates)."""
+def raw_samples(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Telemetry records as the small JSON file holds them (epoch seconds, coordinates), and the
+    columns ``keep`` of ``events``."""
     return read_table(spark, sf_dir, "events").selectExpr(
+        *keep,
         f"user_id % {SMALL_FLEET} AS vehicle",
         "cast(((event_id * 7) % 721) / 4.0 - 90.0 AS double) AS latitude",
         "cast(((event_id * 11) % 1441) / 4.0 - 180.0 AS double) AS longitude",

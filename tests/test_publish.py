@@ -1,6 +1,11 @@
+import os
+
+from pyspark.sql import functions as F
+
 from convoy.operators.tables import read_table
 from convoy.plans import publish
 from convoy.plans import registry as r
+from convoy.sources import files
 from convoy.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -40,9 +45,23 @@ def test_published_tables_equal_lazy_queries(spark, tmp_dir):
     }
 
 
-def test_staging_removes_stages(spark):
-    import os
+def test_compare_and_rejects_from_files(spark, tmp_dir):
+    """The job and the comparison from CSV files, one order line cut short: it is published and listed."""
+    t = fx.telemetry(spark, SF).withColumn("timestamp", F.date_format("sample_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    telemetry = files.sink_csv(t.drop("sample_ts"), os.path.join(tmp_dir, "telemetry"))
+    orders = files.sink_csv(r._shipments_text(spark, SF), os.path.join(tmp_dir, "orders"))
+    with open(os.path.join(orders, "part-cut.csv"), "w") as f:
+        f.write(",".join(r._shipments_text(spark, SF).columns) + "\nO9999999,pending,2024-01-17 00:00:00.000000\n")
+    root = os.path.join(tmp_dir, "root")
+    paths = publish.deliveries_from_files(spark, orders, telemetry, root)
+    assert read_table(spark, paths["orders"]).where("order_id = 'O9999999'").count() == 1
+    listed = spark.read.parquet(os.path.join(root, "rejects", "orders")).collect()
+    assert [(x["order_id"], x["malformed_line"]) for x in listed] == [("O9999999", "O9999999,pending,2024-01-17 00:00:00.000000")]
+    times = publish.compare_files(spark, orders, telemetry, root, "2024-01-17")
+    assert len(times) == 4 and all(v > 0 for v in times.values())
 
+
+def test_staging_removes_stages(spark):
     from convoy.session import materialize, staging
 
     with staging(spark):

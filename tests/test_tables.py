@@ -310,3 +310,18 @@ def test_upsert_refuses_other_columns(spark, tmp_dir):
     path = write_table(_kv(spark, [(1, True, 1)]), spec, f"{tmp_dir}/t")
     with pytest.raises(ValueError, match="columns"):
         write_table(_kv(spark, [(1, True, 2)]).withColumn("more", F.lit(1)), spec, path, "upsert")
+
+
+def test_a_repeated_key_fails_a_write_of_unique_rows(spark, tmp_dir):
+    """The old table stays, NULL keys count, and nothing is left beside it."""
+    spec = TableSpec("t", ("k", "p"), "v", ("p",))
+    path = os.path.join(tmp_dir, "t")
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, p int, v int")
+    write_table(rows(("a", 1, 1), ("a", 2, 2), (None, 1, 3)), spec, path, assume_unique=True)
+    for again in [(("a", 1, 1), ("a", 1, 2)), ((None, 1, 3), (None, 1, 4))]:
+        with pytest.raises(ValueError, match="not unique by k, p"):
+            write_table(rows(*again), spec, path, assume_unique=True)
+        assert sorted(os.listdir(tmp_dir)) == ["t"]
+        assert read_table(spark, path).count() == 3
+    write_table(rows(("a", 1, 1), ("a", 1, 2)), spec, path)  # without the promise the latest row wins
+    assert [r["v"] for r in read_table(spark, path).collect()] == [2]
