@@ -129,7 +129,9 @@ def order_rules(
     text = col(text_col).cast("string")
     taken = docs.where(F.coalesce(F.octet_length(text), F.lit(0)) <= SAMPLE_BYTES).select(text.alias("text")).limit(sample).collect()
     texts = docs.sparkSession.createDataFrame(taken, "text string").coalesce(1).withColumn("id", F.lit(0))
-    rows = staged(figures(texts, "id", "text").where(~base_failed()), "rules_sample")
+    # the base is judged on the staged rows: a filter before would be pushed below the projections of
+    # ``figures``, which repeats the sort of a text's windows for every window
+    rows = staged(figures(texts, "id", "text"), "rules_sample").where(~base_failed())
     shares = rows.agg(F.count("*").alias("n"), *[F.avg(r().cast("double")).alias(name) for name, r in rules.items()]).first()
     repeats = math.ceil(EVALUATIONS / max(1, shares["n"]))
     repeated = rows.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(repeats)))) if shares["n"] else rows
