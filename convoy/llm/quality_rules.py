@@ -29,7 +29,7 @@ from convoy.llm.common import WHITE, col, staged
 #: sample passes through the driver; longer texts are judged like all others, only not timed).
 SAMPLE, SAMPLE_BYTES = 256, 1 << 16
 #: Evaluations of a rule that are timed, and how often; the least time counts.
-EVALUATIONS, TIMES = 1 << 12, 2
+EVALUATIONS, TIMES = 1 << 14, 2
 MIN_WORDS, WINDOW = 10, 5
 MAX_REPEAT_PERCENT = 20
 
