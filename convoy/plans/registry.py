@@ -404,13 +404,8 @@ def q_ingest_malformed(spark, sf):
     line = F.when(F.col("p") == "2-HIGH", F.concat_ws(",", "id", "d")).when(
         F.col("p") == "3-MEDIUM", F.concat_ws(",", "id", "d", "c", F.lit("more"))
     )
-    path = workspace(spark, "order_lines")
-    # the header is a line of every file, as a CSV writer leaves it
-    files.sink_csv(fields.select(F.coalesce(line, F.concat_ws(",", "id", "d", "c")).alias("line")), path)
-    lines = spark.read.text(path).select(F.when(F.col("value") == "line", "order_id,order_date,customer").otherwise(
-        F.regexp_replace("value", '^"|"$', "")).alias("value"))
-    text = workspace(spark, "order_text")
-    lines.write.text(text)
+    lines = fields.select(F.coalesce(line, F.concat_ws(",", "id", "d", "c")))
+    text = files.sink_csv_lines(lines, workspace(spark, "order_text"), "order_id,order_date,customer")
     _, rejects = typed_with_rejects(
         files.scan_csv(spark, text, malformed="line"), {"order_date": ("date", None), "customer": ("bigint", None)},
         malformed="line", stage="order_text",

@@ -90,6 +90,14 @@ def sink_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+def sink_csv_lines(lines: DataFrame, path: str, header: str) -> str:
+    """Ready CSV lines (one text column), as they are, below the line ``header`` in every file: the
+    header is the column's name, and nothing is quoted or parted."""
+    line = lines.toDF(header)
+    line.write.mode("overwrite").options(header=True, sep="\x01", quote="", escape="\x02").csv(path)
+    return path
+
+
 def millis(df: DataFrame) -> DataFrame:
     """Cut every timestamp column to milliseconds, keeping its type (zone-free stays zone-free)."""
     out = []

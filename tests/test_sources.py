@@ -122,3 +122,27 @@ def test_lines_with_wrong_number_of_fields_are_rejects(spark, tmp_dir):
     assert rejects.select("line").where("line IS NOT NULL").count() == 2  # staged: the line alone can be read
     with pytest.raises(Exception, match="wrong number of fields|cannot convert"):
         typed_with_rejects(scanned.where("id <> 'd'"), {"day": ("date", None)}, mode="strict", malformed="line")[0].collect()
+
+
+def test_malformed_lines_keep_their_header_when_files_are_split(spark, tmp_dir):
+    from convoy.plans.registry import q_ingest_malformed
+
+    kinds = ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")
+    rows = [(i, i % 70, "O", 1.0, datetime(2000, 1, 1 + i % 28), kinds[i % 4]) for i in range(4000)]
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    spark.createDataFrame(rows, schema).repartition(5).write.parquet(os.path.join(tmp_dir, "orders.parquet"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        for size in (3_000, 100_000_000):  # files cut into many splits, and all files in one
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = q_ingest_malformed(spark, tmp_dir).collect()
+            assert len(got) == len({r["order_id"] for r in got}) == 3000
+            low = sorted((tuple(r) for r in got if int(r["order_id"][1:]) < 3))
+            assert low == [
+                ("O0000000", "0", None, "order_date"), ("O0000001", None, "O0000001,2000-01-02 00:00:00", ""),
+                ("O0000002", "2", "O0000002,2000-01-03 00:00:00,2,more", ""),
+            ]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
