@@ -29,7 +29,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegralType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, DecimalType, IntegralType, NumericType, TimestampNTZType, TimestampType
 
 from convoy.functions.time import timestamp_micros_sql
 from convoy.session import materialize
@@ -103,6 +103,8 @@ PLAIN_TASK_TESTS = 100_000_000
 #: Rows of one bucket that stay in one lane, and the most buckets looked up as hot ones.
 LANE_ROWS = 100_000
 HOT_BUCKETS = 1000
+#: Moments of a bucket whose sums are joined: two more tested a point of width, against a row more for each halving.
+MOMENTS = 36
 
 
 def derive_buckets(
@@ -116,7 +118,13 @@ def derive_buckets(
     point sees), so an entity that holds a third of the points narrows the buckets.  One job,
     two column-pruned aggregates, one row to the driver.
     """
-    on = list(on)
+    figures, unit = _figures(intervals, points, start, end, at, list(on))
+    return _derived(figures, unit, bool(on), fanout)
+
+
+def _figures(intervals, points, start, end, at, on):
+    """The lengths of the intervals (``iv``) and the rate and span of the points (``pt``) as one row, and the
+    units of the bounds' numbers per second."""
     kind = _kind(intervals.schema[start].dataType, intervals.schema[end].dataType, points.schema[at].dataType)
     lo, unit = _ordinal(intervals.schema, start, kind)
     hi, _ = _ordinal(intervals.schema, end, kind)
@@ -138,11 +146,17 @@ def derive_buckets(
         F.struct(
             (F.sum(F.col("n") * F.col("n")) / F.nullif(F.sum("n"), F.lit(0.0))).alias("n"),
             (F.max("hi") - F.min("lo")).alias("span"),
+            F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"),
             F.max("n").alias("fullest"),
             F.sum("n").alias("all"),
         )
     )
-    row = intervals.sparkSession.range(1).select(lengths.scalar().alias("iv"), rate.scalar().alias("pt")).first()
+    figures = intervals.sparkSession.range(1).select(lengths.scalar().alias("iv"), rate.scalar().alias("pt")).first()
+    return figures, unit
+
+
+def _derived(row, unit: float, keyed: bool, fanout: int) -> Buckets:
     mid, top = (row["iv"]["mid"] or 0.0), (row["iv"]["top"] or 0.0)
     n, span = (row["pt"]["n"] or 0.0), (row["pt"]["span"] or 0.0)
     if not n or not span:
@@ -154,7 +168,7 @@ def derive_buckets(
     bucketed_rows = count * (mid / width + 1) + points_n
     # the fullest entity is taken to have the same share of the intervals as of the points
     one_task = count * fullest / points_n * fullest
-    plain = bool(on) and count * n <= BUCKET_ROW_COST * bucketed_rows and one_task <= PLAIN_TASK_TESTS
+    plain = keyed and count * n <= BUCKET_ROW_COST * bucketed_rows and one_task <= PLAIN_TASK_TESTS
     return Buckets(width / unit, top / width + 2 < fanout, plain)
 
 
@@ -296,6 +310,15 @@ def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, f
         pt = pt.withColumn("__p_lvl", F.explode(F.array_intersect(all_levels, in_use)))
     pt = pt.withColumn("__p_bkt", F.expr(f"floor({t} / element_at({width_of}, __p_lvl + 1))"))
 
+    in_range = lambda iv, pt: (pt[at] >= iv[start]) & (pt[at] <= iv[end])
+    iv, pt, cond = _on_buckets(iv, pt, at, on, in_use is not None, in_range, salt, lane_rows)
+    out = [iv[c] for c in intervals.columns] + [pt[c] for c in point_columns if c not in on]
+    return iv.join(pt, cond, how).select(*out)
+
+
+def _on_buckets(iv, pt, at, on, levels, in_range, salt, lane_rows):
+    """Both sides with the lanes they need, and the condition that joins them on keys, level (if there are
+    ``levels``), bucket and lanes, and ``in_range``."""
     if salt > 1:
         iv = iv.withColumn("__i_salt", F.explode(F.sequence(F.lit(0), F.lit(int(salt) - 1))))
         pt = pt.withColumn("__p_salt", F.expr(f"pmod(hash(`{at}`, __p_bkt), {int(salt)})"))
@@ -304,16 +327,139 @@ def _bucketed(intervals, p, point_columns, start, end, at, on, bucket_seconds, f
         iv, pt = laned
 
     cond = [iv[k] == pt[f"__p_{k}"] for k in on]
-    if in_use is not None:
+    if levels:
         cond.append(iv["__i_lvl"] == pt["__p_lvl"])
     cond.append(iv["__i_bkt"] == pt["__p_bkt"])
     if salt > 1:
         cond.append(iv["__i_salt"] == pt["__p_salt"])
     if laned:
         cond += [iv["__i_a"] == pt["__p_a"], iv["__i_b"] == pt["__p_b"]]
-    cond += [(pt[at] >= iv[start]) & (pt[at] <= iv[end])]
-    out = [iv[c] for c in intervals.columns] + [pt[c] for c in point_columns if c not in on]
-    return iv.join(pt, cond, how).select(*out)
+    return iv, pt, [*cond, in_range(iv, pt)]
+
+
+def interval_averages(
+    intervals: DataFrame,
+    points: DataFrame,
+    *,
+    start: str,
+    end: str,
+    at: str,
+    on: Sequence[str],
+    measures: Sequence[str],
+    bucket_seconds: float | Buckets | None = None,
+    fanout: int = 64,
+    method: str = "auto",
+    salt: int = 1,
+    lane_rows: int | None = None,
+) -> DataFrame:
+    """``interval_join(...)`` grouped by all interval columns, with the mean of each measure; arguments and
+    methods as there.  Decimal measures are averaged from the pairs themselves.
+
+    The mean is taken over the join without a row per pair.  Points of one moment, then those of a time
+    bucket are added up before they are joined.  An interval reads single moments, with the closed-interval test, in
+    the two buckets where it begins and ends only; buckets it holds whole give their sums.  Sums
+    add up and are never subtracted, so NaN, infinities and large values stay in the intervals that hold them.
+
+    ``"bucket"``: buckets of buckets, each twice as wide as the level below, so that an interval of n buckets
+    joins about log2(n) sums by key, level and bucket; ``salt`` and ``lane_rows`` split those as they do for pairs.
+    ``"plain"``: an equi + range join of intervals with the sums of buckets, and one with the moments of
+    end buckets; its range tests per interval grow with the root of an entity's points.
+    ``"auto"``: the pairs of a plain join where the derived figures say that it is cheaper, else buckets.
+    """
+    on, measures = list(on), list(measures)
+    if method not in ("auto", "bucket", "plain"):
+        raise ValueError(f"unknown method {method}")
+    columns = list(dict.fromkeys([*on, at, *measures]))
+    options = dict(start=start, end=end, at=at, on=on, bucket_seconds=bucket_seconds, fanout=fanout, salt=salt, lane_rows=lane_rows)
+
+    def from_pairs(how):
+        pairs = interval_join(intervals, points.select(*columns), method=how, **options)
+        return pairs.groupBy(*intervals.columns).agg(*[F.avg(m).alias(m) for m in measures])
+
+    if not on or any(isinstance(points.schema[m].dataType, DecimalType) for m in measures):
+        return from_pairs(method)
+    clash = set(intervals.columns) & {at, *measures}
+    if clash:
+        raise ValueError(f"columns on both sides of the interval join: {sorted(clash)}")
+
+    row, unit = _figures(intervals, points, start, end, at, on)
+    buckets = _derived(row, unit, True, fanout) if bucket_seconds is None else bucket_seconds
+    if method == "auto" and bucket_seconds is None and buckets.plain and salt == 1 and lane_rows is None:
+        return from_pairs("plain")
+    kind = _kind(intervals.schema[start].dataType, intervals.schema[end].dataType, points.schema[at].dataType)
+    lo, _ = _ordinal(intervals.schema, start, kind)
+    hi, _ = _ordinal(intervals.schema, end, kind)
+    t, _ = _ordinal(points.schema, at, kind)
+    width = max(1, int(round((buckets.seconds if isinstance(buckets, Buckets) else buckets) * unit)))
+    n, span = (row["pt"]["n"] or 0.0), (row["pt"]["span"] or 0.0)
+    if bucket_seconds is None and n and span:
+        # points of an end bucket against rows of sums: see MOMENTS; the plain join halves the sum of both
+        per_bucket = math.sqrt(n / 2) if method == "plain" else MOMENTS
+        width = max(1, min(width, math.ceil(per_bucket * span / n)) if method != "plain" else math.ceil(per_bucket * span / n))
+    # buckets that hold points, one more at either end: what lies beyond joins nothing
+    first, last = (math.floor((row["pt"][c] or 0.0) / width) + step for c, step in (("lo", -1), ("hi", 1)))
+
+    # moments: count and sum of each measure, and those of buckets
+    valid = F.col(f"`{at}`").isNotNull()
+    for k in on:
+        valid = valid & F.col(f"`{k}`").isNotNull()
+    keys = [f"__p_{k}" for k in on]
+    pt = points.where(valid).select(
+        *[F.col(f"`{k}`").alias(p) for k, p in zip(on, keys, strict=True)], F.col(f"`{at}`"),
+        F.expr(f"floor({t} / {width}L)").alias("__p_bkt"),
+        *[F.col(f"`{m}`").cast("double").alias(f"__m{i}") for i, m in enumerate(measures)],
+    )
+    values = [v for i in range(len(measures)) for v in (f"__n{i}", f"__s{i}")]
+    added = [F.sum(v).alias(v) for v in values]
+    first_sums = [a for i in range(len(measures)) for a in (F.count(f"__m{i}").alias(f"__n{i}"), F.sum(f"__m{i}").alias(f"__s{i}"))]
+    moments = pt.groupBy(*keys, "__p_bkt", at).agg(*first_sums)
+    sums = moments.groupBy(*keys, "__p_bkt").agg(*added)
+
+    held = F.col(f"`{start}`") <= F.col(f"`{end}`")
+    for k in on:
+        held = held & F.col(f"`{k}`").isNotNull()
+    bound = lambda x: F.expr(f"greatest(least(floor({x} / {width}L), {last}L), {first}L)")
+    iv = intervals.where(held).select(*on, start, end).distinct().withColumns({"__lo": bound(lo), "__hi": bound(hi)})
+    window = [*on, start, end]
+    if method == "plain":
+        inner = interval_join(
+            iv.withColumns({"__from": F.col("__lo") + 1, "__to": F.col("__hi") - 1}), sums.withColumnsRenamed(dict(zip(keys, on, strict=True))),
+            start="__from", end="__to", at="__p_bkt", on=on, method="plain",
+        )
+        ends = iv.withColumn("__bkt", F.explode(F.array_distinct(F.array("__lo", "__hi"))))
+        outer = interval_join(
+            ends, moments.withColumnsRenamed({**dict(zip(keys, on, strict=True)), "__p_bkt": "__bkt"}),
+            start=start, end=end, at=at, on=[*on, "__bkt"], method="plain",
+        )
+        parts = inner.select(*window, *values).unionByName(outer.select(*window, *values))
+    else:
+        inside = max(1, min(int((row["iv"]["top"] or 0.0) / width) + 2, last - first + 1))
+        top = max(0, inside.bit_length() - 1)  # levels of sums are 1 + the power of two of their width
+        # the ends of what is left to cover on a level; odd first and even last nodes have no parent inside
+        iv = iv.withColumn("__i_lvl", F.explode(F.sequence(F.lit(0), F.lit(top + 1))))
+        iv = iv.withColumns({
+            "__a": F.expr("-shiftright(-(__lo + 1), greatest(__i_lvl - 1, 0))"), "__z": F.expr("shiftright(__hi, greatest(__i_lvl - 1, 0)) - 1"),
+        })
+        iv = iv.withColumn("__i_bkt", F.explode(F.expr(
+            "CASE WHEN __i_lvl = 0 THEN array_distinct(array(__lo, __hi)) WHEN __a > __z THEN cast(array() AS array<bigint>) "
+            f"WHEN __i_lvl = {top + 1} THEN sequence(__a, __z) "
+            "ELSE array_compact(array(CASE WHEN __a % 2 <> 0 THEN __a END, CASE WHEN __z % 2 = 0 THEN __z END)) END"
+        ))).select(*window, "__i_lvl", "__i_bkt")
+        by_level = sums.withColumn("__p_lvl", F.explode(F.sequence(F.lit(1), F.lit(top + 1))))
+        by_level = by_level.withColumn("__p_bkt", F.expr("shiftright(__p_bkt, __p_lvl - 1)")).groupBy(*keys, "__p_lvl", "__p_bkt").agg(*added)
+        rows = moments.withColumn("__p_lvl", F.lit(0)).unionByName(by_level, allowMissingColumns=True)
+        in_range = lambda iv, pt: (iv["__i_lvl"] > 0) | ((pt[at] >= iv[start]) & (pt[at] <= iv[end]))
+        iv, rows, cond = _on_buckets(iv, rows, at, on, True, in_range, salt, lane_rows)
+        parts = iv.join(rows, cond).select(*[iv[c] for c in window], *[rows[v] for v in values])
+
+    found = parts.groupBy(*window).agg(*added)
+    named = found.select(
+        *[F.col(f"`{c}`").alias(f"__w{i}") for i, c in enumerate(window)],
+        *[(F.col(f"__s{i}") / F.nullif(F.col(f"__n{i}"), F.lit(0))).alias(m) for i, m in enumerate(measures)],
+    )
+    rows = intervals.distinct()
+    same = [rows[c] == named[f"__w{i}"] for i, c in enumerate(window)]
+    return rows.join(named, same).select(*[rows[c] for c in intervals.columns], *[named[m] for m in measures])
 
 
 #: A day: the default width of the blocks of ``interval_means``.

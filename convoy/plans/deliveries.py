@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.operators.intervals import Buckets, interval_join, interval_means
+from convoy.operators.intervals import Buckets, interval_averages, interval_join, interval_means
 
 # Sensor columns, order attributes and status names of the source.
 SENSORS = ("fuel_level", "engine_temperature", "battery_temperature", "speed")
@@ -56,8 +56,8 @@ def enriched_orders(
     """Per-order mean of each sensor over the samples in the window (orders without a
     sample are not in the result).  Grouped by all order attributes, as published.
 
-    ``method="prefix"`` takes the means from running sums, without a row per (order, sample);
-    it pays off where windows overlap or hold many samples."""
+    Windows that hold whole time buckets take the buckets' sums (``intervals.interval_averages``).
+    ``method="prefix"`` takes the means from running sums; neither makes a row per (order, sample)."""
     if method == "prefix":
         return interval_means(
             shipments.select(*ORDER_COLUMNS).distinct(),
@@ -68,8 +68,19 @@ def enriched_orders(
             on=("vehicle_id",),
             measures=SENSORS,
         )
-    pairs = telemetry_pairs(shipments, telemetry, bucket_seconds, method, salt, lane_rows)
-    return pairs.groupBy(*ORDER_COLUMNS).agg(*[F.avg(s).alias(s) for s in SENSORS])
+    return interval_averages(
+        shipments.select(*ORDER_COLUMNS),
+        telemetry,
+        start="delivery_start_datetime",
+        end="delivery_end_datetime",
+        at="sample_ts",
+        on=("vehicle_id",),
+        measures=SENSORS,
+        bucket_seconds=bucket_seconds,
+        method=method,
+        salt=salt,
+        lane_rows=lane_rows,
+    )
 
 
 def pending_orders(shipments: DataFrame) -> DataFrame:
