@@ -452,3 +452,84 @@ def test_plain_join_is_chosen_by_cost(spark):
     assert isinstance(width, Buckets) and width.plain
     # time alone as key: never plain, it would be a cross join
     assert not derive_buckets(*few, start="ws", end="we", at="ts").plain
+
+
+def _rows_joined(df):
+    """Collect, and the largest number of rows a join or an explode made on the way."""
+    rows, seen = df.collect(), []
+
+    def visit(plan):
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return visit(plan.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return visit(plan.plan())
+        found = plan.metrics().get("numOutputRows")
+        if ("Join" in name or name == "GenerateExec") and found.isDefined():
+            seen.append(found.get().value())
+        for i in range(plan.children().size()):
+            visit(plan.children().apply(i))
+
+    visit(df._jdf.queryExecution().executedPlan())
+    return rows, max(seen)
+
+
+@pytest.mark.parametrize("method,lane_rows", [("bucket", None), ("bucket", 4), ("plain", None)])
+def test_order_means_make_no_row_per_pair(spark, method, lane_rows):
+    from convoy.plans import deliveries as dl
+
+    orders = spark.range(400).selectExpr(
+        "cast(id AS string) AS order_id", "'delivered' AS order_status", "date'2024-01-01' AS order_date",
+        "0F AS delivery_latitude", "0F AS delivery_longitude",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(id AS int)) AS delivery_start_datetime",
+        "timestamp_ntz'2024-01-02 00:00:00' + make_dt_interval(0, 0, cast(id AS int)) AS delivery_end_datetime",
+        "concat('v', id % 2) AS vehicle_id",
+    )
+    samples = spark.range(12000).selectExpr(
+        "concat('v', id % 2) AS vehicle_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, 15 * cast(id AS int)) AS sample_ts",
+        *[f"cast(id % {k} AS double) AS {c}" for k, c in zip((7, 11, 13, 17), dl.SENSORS, strict=True)],
+    )
+    rows, largest = _rows_joined(dl.enriched_orders(orders, samples, method=method, lane_rows=lane_rows))
+    pairs = dl.telemetry_pairs(orders, samples, method="plain")
+    want = {r["order_id"]: r for r in pairs.groupBy("order_id").agg(*[F.avg(c).alias(c) for c in dl.SENSORS]).collect()}
+    assert len(rows) == len(want) == 400 and pairs.count() > 1_000_000
+    for r in rows:
+        assert [r[c] for c in dl.SENSORS] == pytest.approx([want[r["order_id"]][c] for c in dl.SENSORS])
+    assert largest < 200_000
+
+
+@pytest.mark.parametrize("kind", ["fraction", "time"])
+def test_averages_equal_those_of_the_pairs(spark, kind):
+    """Random intervals, some open, inverted, NULL, of one point, or alike; moments that repeat; NaN, infinite
+    and huge values that stay in their intervals."""
+    import random
+
+    from convoy.operators.intervals import interval_averages
+
+    rng = random.Random(5)
+    top = 2000
+    ivs, pts = [], []
+    for i in range(300):
+        a = rng.randrange(-50, top)
+        b = rng.choice([a, a + rng.randrange(40), a + rng.randrange(top), 10**6, a - 5, None])
+        ivs.append((i // 2 if i < 40 else i, rng.choice(["a", "b", "c", None]), a, b))
+    for i in range(1500):
+        v = rng.choice([rng.random(), float(i), None]) if i % 300 else rng.choice([float("nan"), float("inf"), float("-inf"), 1e30])
+        pts.append((rng.choice(["a", "a", "b", None]), rng.choice([rng.randrange(top), rng.randrange(30), None]), v, float(i % 9)))
+    to = {
+        "fraction": "cast({0} / 7 AS double)",
+        "time": "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, {0} / 7.0)",
+    }[kind]
+    iv = spark.createDataFrame(ivs, "i int, v string, a long, b long").selectExpr("i", "v", f"{to.format('a')} AS ws", f"{to.format('b')} AS we")
+    pt = spark.createDataFrame(pts, "v string, t long, m double, k double").selectExpr("v", f"{to.format('t')} AS ts", "m", "k")
+    at = {"start": "ws", "end": "we", "at": "ts", "on": ("v",)}
+    show = lambda df: sorted(
+        str(tuple(f"{x:.9g}" if isinstance(x, float) else x for x in r)) for r in df.select("i", "v", "ws", "we", "m", "k").collect()
+    )
+    want = show(interval_join(iv, pt, method="plain", **at).groupBy("i", "v", "ws", "we").agg(F.avg("m").alias("m"), F.avg("k").alias("k")))
+    assert len(want) > 50
+    for how in ({"method": "bucket"}, {"method": "plain"}, {"method": "bucket", "lane_rows": 3}, {"method": "bucket", "salt": 3},
+                {"bucket_seconds": 3.0}, {}):
+        assert show(interval_averages(iv, pt, measures=("m", "k"), **how, **at)) == want, how
+    empty = interval_averages(iv, pt.where("false"), measures=("m", "k"), method="bucket", **at)
+    assert empty.columns == ["i", "v", "ws", "we", "m", "k"] and empty.count() == 0
