@@ -16,9 +16,9 @@ Hive-style partition columns and the key scope.  Writes are deterministic:
   partitions are not rewritten.  A partition left empty by a key that moved away is removed.
   One writer per table at a time.
 
-Layout: every write is rebalanced on the partition columns (adaptive execution splits a hot
-partition value over several tasks) and sorted by partition and key inside each file, so the
-parquet min/max statistics of the key and ordering columns are tight for data skipping.
+Layout: every write to partitions is dealt out by ranges of partition and key (a hot partition
+value is split over several tasks by its rows) and sorted by them inside each file, so the parquet
+min/max statistics of the key and ordering columns are tight for data skipping.
 """
 
 from __future__ import annotations
@@ -87,13 +87,12 @@ def dedupe_latest(df: DataFrame, keys, order_by) -> DataFrame:
 
 def _layout(df: DataFrame, spec: TableSpec) -> DataFrame:
     order = [*spec.partition_by, *spec.cluster_by, *spec.keys]
-    if spec.cluster_by:
-        # contiguous ranges of the cluster columns per file (tight min/max statistics); the key
-        # is part of the range so a hot cluster value is still split across tasks
+    if spec.cluster_by or spec.partition_by:
+        # contiguous ranges per file (tight min/max statistics); the key is part of the range, so a
+        # hot partition or cluster value is split across tasks by its rows, however few bytes
+        # they compress to
         return df.repartitionByRange(*order).sortWithinPartitions(*order)
-    if not spec.partition_by:
-        return df.sortWithinPartitions(*spec.keys)
-    return df.hint("rebalance", *spec.partition_by).sortWithinPartitions(*order)
+    return df.sortWithinPartitions(*spec.keys)
 
 
 def _save(df: DataFrame, spec: TableSpec, path: str, dynamic: bool) -> None:

@@ -325,3 +325,25 @@ def test_a_repeated_key_fails_a_write_of_unique_rows(spark, tmp_dir):
         assert read_table(spark, path).count() == 3
     write_table(rows(("a", 1, 1), ("a", 1, 2)), spec, path)  # without the promise the latest row wins
     assert [r["v"] for r in read_table(spark, path).collect()] == [2]
+
+
+def test_hot_partition_is_split_by_rows_however_small_its_bytes(spark, tmp_dir):
+    """Rows that compress to almost nothing: a partition value with nearly all of them is several
+    tasks' work and several files, each a range of keys."""
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    old = spark.conf.get(key)
+    spec = TableSpec("t", "k", "v", "p")
+    rows = spark.range(200_000).selectExpr("id AS k", "0 AS v", "CASE WHEN id < 10 THEN 'b' ELSE 'a' END AS p")
+    try:
+        spark.conf.set(key, "10k")
+        path = write_table(rows, spec, f"{tmp_dir}/t")
+        write_table(rows.where("k % 2 = 0").selectExpr("k", "1 AS v", "p"), spec, path, "upsert")
+    finally:
+        spark.conf.set(key, old)
+    got = read_table(spark, path)
+    assert got.count() == 200_000 and got.where("v = (1 - k % 2)").count() == 200_000
+    files = spark.read.parquet(path).where("p = 'a'").groupBy("_metadata.file_name").agg(
+        F.count("*").alias("n"), F.min("k").alias("low"), F.max("k").alias("high")
+    ).orderBy("low").collect()
+    assert len(files) >= 3 and max(f["n"] for f in files) < 100_000
+    assert all(a["high"] < b["low"] for a, b in zip(files, files[1:]))
